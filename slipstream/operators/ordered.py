@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from slipstream.operators.staging import stage
 
 # Largest number of rows of one group that a single task works through.
-TASK_ROWS = 2_000_000
+TASK_ROWS = 5_000_000
+# Most pieces of one table; beyond it pieces grow instead, so that a shuffle keeps a sane width.
+MAX_PIECES = 20_000
 
 PIECE = "_piece"
 
@@ -32,7 +34,7 @@ class Split:
 
 
 def _cut(df: DataFrame, group: Sequence[str], order: Sequence[Column], rows: int, task_rows: int):
-    pieces = max(1, -(-rows // task_rows))
+    pieces = min(MAX_PIECES, max(1, -(-rows // task_rows)))
     placed = df.repartitionByRange(pieces, *[F.col(g) for g in group], *order)
     # Written at once: the range bounds come from a sample, so piece numbers must be fixed here.
     return stage(placed.withColumn(PIECE, F.spark_partition_id()))

@@ -69,7 +69,9 @@ def prepare_scenarios(scenarios: DataFrame, routes: DataFrame | None = None) ->
         .join(strategies, F.col("schedule_change") == F.col("strategy"), "left")
         .withColumns({
             "daily_flights_after": after,
-            "label": F.when(F.col("label") == "", change).otherwise(F.col("label")),
+            "label": F.when(F.col("label") != "", F.col("label")).when(
+                F.col("strategy_label").isNotNull(), change
+            ),
             "reject_reason": reason,
         })
         .drop("_route", "strategy")

@@ -1,0 +1,537 @@
+"""Score evaluation, data checks, forecasts, what-if and the classifier over the given tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from slipstream import fixed_values as fv
+from slipstream.functions.columns import rounded
+from slipstream.operators import classifier, forecast, ordered, quality, scoring, whatif
+from slipstream.operators.staging import shared_folder, stage
+from slipstream.plans import reports
+from slipstream.registry.base import (
+    LEGS, SHIPMENTS, WEATHER, capacity_sql, query, rnd, with_sql,
+)
+from slipstream.registry.feature_queries import SCORED_SQL, leg_features, scored_legs
+from slipstream.registry.report_queries import legs_with_weather
+from slipstream.sources import adapters as ad
+
+FL, LG = with_sql(SHIPMENTS), with_sql(LEGS)
+
+
+def _rounded(df: DataFrame, columns, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: rounded(c, digits) for c in columns})
+
+
+# ---- exact evaluation of scores -----------------------------------------------------------------
+STEPS_SQL = SCORED_SQL + """,
+steps as (
+  select score, pos, neg, sum(pos) over w as tp, sum(neg) over w as fp,
+    sum(pos) over () as n_pos, sum(neg) over () as n_neg
+  from (select score, count(*) filter (label = 1) as pos, count(*) filter (label <> 1) as neg
+    from scored group by 1)
+  window w as (order by score desc))"""
+
+
+def _steps(s: SparkSession, d: str) -> DataFrame:
+    return scoring.score_steps(stage(scored_legs(s, d)))
+
+
+query("w8_roc_points", with_sql(STEPS_SQL) + f"""
+select score as threshold, {rnd("fp / n_neg", 6)} as fpr, {rnd("tp / n_pos", 6)} as tpr from steps
+union all select null, 0.0::double, 0.0::double"""
+)(lambda s, d: _rounded(scoring.roc_points(_steps(s, d)), ["fpr", "tpr"]))
+query("w8_precision_recall_points", with_sql(STEPS_SQL) + f"""
+select score as threshold, {rnd("tp / (tp + fp)", 6)} as precision,
+  {rnd("tp / n_pos", 6)} as recall from steps
+union all select null, 1.0::double, 0.0::double"""
+)(lambda s, d: _rounded(scoring.pr_points(_steps(s, d)), ["precision", "recall"]))
+
+EVALUATION_SQL = STEPS_SQL + f""",
+evaluation as (
+  select (select {rnd("sum(neg * (tp - pos / 2)) / (any_value(n_pos) * any_value(n_neg))", 6)}
+      from steps) as auc_roc,
+    (select {rnd("sum(pos * (tp / (tp + fp))) / any_value(n_pos)", 6)} from steps)
+      as average_precision,
+    {rnd("2 * count(*) filter (label = 1 and score >= {t}) / (2 * count(*) filter (label = 1 and score >= {t}) + count(*) filter (label = 0 and score >= {t}) + count(*) filter (label = 1 and score < {t}))", 6).replace("{t}", "0.5")} as f1_score,
+    count(*) filter (label = 0 and score < 0.5) as true_negatives,
+    count(*) filter (label = 0 and score >= 0.5) as false_positives,
+    count(*) filter (label = 1 and score < 0.5) as false_negatives,
+    count(*) filter (label = 1 and score >= 0.5) as true_positives
+  from scored)"""
+METRICS = ["auc_roc", "average_precision", "f1_score"]
+
+
+def _evaluation(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(scoring.evaluation(stage(scored_legs(s, d))), METRICS)
+
+
+query("m7_evaluation", with_sql(EVALUATION_SQL) + "select * from evaluation")(_evaluation)
+query("m7_a18_confusion", with_sql(SCORED_SQL) + """
+select label as actual, (score >= 0.5)::int as predicted, count(*) as n,
+  case when label = 0 and score >= 0.5 then 'False Positive'
+    when label = 1 and score < 0.5 then 'False Negative'
+    when label = 1 and score >= 0.5 then 'True Positive' else 'True Negative' end as error_type
+from scored group by 1, 2, 4""")(lambda s, d: scoring.confusion(
+    scoring.with_prediction(scored_legs(s, d))))
+REPORT_SQL = SCORED_SQL + """,
+cells as (
+  select count(*) filter (label = 1 and score >= 0.5)::double as tp,
+    count(*) filter (label = 0 and score >= 0.5)::double as fp,
+    count(*) filter (label = 1 and score < 0.5)::double as fn,
+    count(*) filter (label = 0 and score < 0.5)::double as tn from scored),
+classes as (
+  select '0' as class, tn / (tn + fn) as p, tn / (tn + fp) as r, 2 * tn / (2 * tn + fn + fp) as f,
+    tn + fp as support, (tp + tn) / (tp + tn + fp + fn) as acc from cells
+  union all
+  select '1', tp / (tp + fp), tp / (tp + fn), 2 * tp / (2 * tp + fp + fn), tp + fn,
+    (tp + tn) / (tp + tn + fp + fn) from cells)"""
+
+
+def _report_row(name: str, p: str, r: str, f: str, support: str, group: str = "") -> str:
+    return f"""select {name} as class, {rnd(p, 6)} as precision, {rnd(r, 6)} as recall,
+  {rnd(f, 6)} as f1_score, cast({support} as bigint) as support from classes {group}
+"""
+
+
+query("m7_class_report", with_sql(REPORT_SQL) + "union all ".join([
+    _report_row("class", "p", "r", "f", "support"),
+    _report_row("'accuracy'", *["any_value(acc)"] * 3, "sum(support)"),
+    _report_row("'macro avg'", "avg(p)", "avg(r)", "avg(f)", "sum(support)"),
+    _report_row("'weighted avg'", *[f"sum({c} * support) / sum(support)" for c in "prf"],
+                "sum(support)"),
+]))(lambda s, d: _rounded(
+    scoring.class_report(scoring.with_prediction(scored_legs(s, d))),
+    ["precision", "recall", "f1_score"]))
+
+
+@query("m11_quality_gates", with_sql(EVALUATION_SQL) + """,
+storm as (
+  select avg(score) filter (thunderstorm_flag = 1) > avg(score) filter (thunderstorm_flag = 0) as ok
+  from scored join legs_wx using (event_id))
+select auc_roc, f1_score, auc_roc >= 0.75 as auc_ok, f1_score >= 0.4 as f1_ok, ok as storm_ok,
+  auc_roc >= 0.75 and f1_score >= 0.4 and ok as release
+from evaluation, storm""")
+def _gates(s: SparkSession, d: str) -> DataFrame:
+    scored = stage(scored_legs(s, d))
+    storms = legs_with_weather(s, d).select("event_id", "thunderstorm_flag")
+    by_weather = scored.join(storms, "event_id").agg(
+        F.avg(F.when(F.col("thunderstorm_flag") == 1, F.col("score"))).alias("storm"),
+        F.avg(F.when(F.col("thunderstorm_flag") == 0, F.col("score"))).alias("clear"),
+    )
+    metrics = _rounded(scoring.evaluation(scored), METRICS)
+    return scoring.quality_gates(
+        metrics, by_weather.select("storm").scalar(), by_weather.select("clear").scalar()
+    )
+
+
+THRESHOLDS = (0.3, 0.4, 0.5)
+
+
+def _f1_sql(t: float) -> str:
+    hit = f"count(*) filter (label = 1 and score >= {t})"
+    miss = f"count(*) filter (label = 0 and score >= {t}) + count(*) filter (label = 1 and score < {t})"
+    return f"select 'threshold-{t}' as run_id, {rnd(f'2 * {hit} / (2 * {hit} + {miss})', 6)} as f1_score from scored"
+
+
+@query("m10_w11_best_run", with_sql(SCORED_SQL) + f"""
+select run_id, f1_score from ({" union all ".join(_f1_sql(t) for t in THRESHOLDS)})
+order by f1_score desc, run_id limit 1""")
+def _best_run(s: SparkSession, d: str) -> DataFrame:
+    scored = stage(scored_legs(s, d))
+    path = f"{shared_folder(s)}/runs-{uuid.uuid4().hex}"
+    for t in THRESHOLDS:
+        metrics = scoring.evaluation(scored, threshold=t)
+        quality.log_run(s, path, f"threshold-{t}", metrics, {"threshold": t}, 6)
+    best = quality.best_run(quality.read_runs(s, path), "f1_score")
+    return best.select("run_id", rounded("f1_score", 6).alias("f1_score"))
+
+
+# ---- data checks --------------------------------------------------------------------------------
+CHECKED = ("DepDelay", "ArrDelay", "AirTime", "LateAircraftDelay", "Route")
+query("m12_null_rates", FL + " union all ".join(
+    f"""select '{c}' as column_name, count(*) as rows, count(*) filter ("{c}" is null) as nulls,
+  count(*) filter ("{c}" is null)::double / count(*) as null_rate from flights"""
+    for c in CHECKED))(lambda s, d: quality.null_rates(ad.shipments(s, d), CHECKED))
+query("m12_rule_violations", FL + """
+select 'delay_in_range' as rule, count(*) filter (not "DepDelay" between -30 and 500) as violations
+from flights union all
+select 'hour_in_range', count(*) filter (not "DepHour" between 0 and 23) from flights union all
+select 'cause_known_when_late', count(*) filter ("ArrDel15" = 1 and "LateAircraftDelay" is null)
+from flights""")(lambda s, d: quality.rule_violations(ad.shipments(s, d), {
+    "delay_in_range": F.col("DepDelay").between(-30, 500),
+    "hour_in_range": F.col("DepHour").between(0, 23),
+    "cause_known_when_late": ~(
+        (F.col("ArrDel15") == 1) & F.col("LateAircraftDelay").isNull()
+    ),
+}))
+@query("m12_route_coverage", FL + """
+select distinct "Route" from flights f where not exists (
+  select 1 from flights e where e."Route" = f."Route" and e."DepDelay" = 600
+    and e."FlightDate" < date '1996-01-01')""")
+def _coverage(s: SparkSession, d: str) -> DataFrame:
+    """Routes without any maximal delay before 1996."""
+    flights = ad.shipments(s, d)
+    early = flights.where(
+        (F.col("DepDelay") == 600) & (F.col("FlightDate") < F.lit("1996-01-01").cast("date"))
+    )
+    return quality.missing_keys(flights, early, "Route")
+
+
+query("s11_freshness", with_sql(SHIPMENTS, LEGS, WEATHER) + """
+select 'flights' as dataset, count(*) as rows, max("FlightDate") as latest,
+  count(distinct "Route") as distinct_keys from flights union all
+select 'legs', count(*), max("FlightDate"), count(distinct "Tail_Number") from legs union all
+select 'weather', count(*), cast(max(valid) as date), count(distinct station) from weather"""
+)(lambda s, d: quality.freshness({
+    "flights": (ad.shipments(s, d), "FlightDate", "Route"),
+    "legs": (ad.legs(s, d), "FlightDate", "Tail_Number"),
+    "weather": (ad.weather(s, d), "valid", "station"),
+}))
+query("s11_file_freshness")(lambda s, d: quality.file_freshness(
+    s, {t: f"{d}/{t}.parquet" for t in ("lineitem", "orders", "events")}))
+
+# ---- percentiles of any column ------------------------------------------------------------------
+query("a11_a12_percentiles_by_rank", FL + f"""
+select "Route", {rnd("quantile_cont(l_extendedprice, 0.1)", 6)} as p10,
+  {rnd("quantile_cont(l_extendedprice, 0.9)", 6)} as p90 from flights group by 1"""
+)(lambda s, d: _rounded(ordered.percentiles(
+    ad.shipments(s, d), ["Route"], "l_extendedprice", {"p10": 0.1, "p90": 0.9}), ["p10", "p90"]))
+
+# ---- forecast -----------------------------------------------------------------------------------
+PANEL_SQL = SHIPMENTS + "," + capacity_sql("Origin") + """,
+panel as (
+  select * from (
+    select "Route" as route, make_date("Year", "Month", 1) as period, "Month" as month,
+      cast(row_number() over (partition by "Route" order by "Year", "Month") - 1 as integer) as t,
+      cast(count(*) over (partition by "Route") as integer) as n, "Passengers"::double as x,
+      "Seats"::double as seats from capacity)
+  where n >= 12)"""
+DECOMPOSE_SQL = PANEL_SQL + """,
+smoothed as (
+  select *, case when t between 6 and n - 7 then (
+      sum(x) over (s rows between 6 preceding and 6 following)
+      + sum(x) over (s rows between 5 preceding and 5 following)) / 24 end as smooth
+  from panel where n >= 24 window s as (partition by route order by t)),
+ends as (
+  select route,
+    regr_slope(smooth, t) filter (t >= 6 and t < least(18, n - 7)) as hs,
+    regr_intercept(smooth, t) filter (t >= 6 and t < least(18, n - 7)) as hi,
+    regr_slope(smooth, t) filter (t >= greatest(6, n - 19) and t < n - 7) as ts,
+    regr_intercept(smooth, t) filter (t >= greatest(6, n - 19) and t < n - 7) as ti
+  from smoothed group by 1),
+season_raw as (select route, month, avg(x - smooth) as m from smoothed group by 1, 2),
+season as (select route, month, m - avg(m) over (partition by route) as seasonal from season_raw),
+parts as (
+  select s.route, s.period, s.month, s.t, s.n, s.x,
+    coalesce(s.smooth, case when s.t < 6 then hi + hs * s.t else ti + ts * s.t end) as trend,
+    seasonal
+  from smoothed s join ends using (route) join season using (route, month))"""
+
+
+def _panel(s: SparkSession, d: str) -> DataFrame:
+    return forecast.monthly_panel(ad.capacity(ad.shipments(s, d), "Origin"))
+
+
+query("t1_monthly_panel", with_sql(PANEL_SQL) + "select * from panel")(_panel)
+query("t1_short_series", FL + """
+select "Route" as route, count(distinct ("Year", "Month")) as months from flights
+where "ArrDelay" = 600 and "Cancelled" = 0 group by 1 having months < 12"""
+)(lambda s, d: forecast.short_series(
+    ad.shipments(s, d).where((F.col("ArrDelay") == 600) & (F.col("Cancelled") == 0))))
+query("t2_w9_decomposition", with_sql(DECOMPOSE_SQL) + f"""
+select route, period, month, t, n, x, {rnd("trend", 4)} as trend, {rnd("seasonal", 4)} as seasonal,
+  {rnd("x - trend - seasonal", 4)} as resid from parts"""
+)(lambda s, d: _rounded(forecast.decompose(_panel(s, d)), ["trend", "seasonal", "resid"], 4))
+RATIO_SQL = """,
+ratios as (select route, avg(seats / nullif(x, 0)) as seats_per_pax from panel where t >= n - 3
+  group by 1)"""
+query("w10_seats_per_passenger", with_sql(PANEL_SQL + RATIO_SQL) + f"""
+select route, {rnd("seats_per_pax", 6)} as seats_per_pax from ratios"""
+)(lambda s, d: _rounded(forecast.seats_per_passenger(_panel(s, d)), ["seats_per_pax"]))
+
+FIT_SQL = DECOMPOSE_SQL + RATIO_SQL + """,
+index as (select route, month, max(seasonal) as seasonal from parts group by 1, 2),
+level as (
+  select p.*, x - coalesce(seasonal, 0) as y from panel p left join index using (route, month)),
+lines as (
+  select route, max(period) as last_period, max(n) as n, regr_slope(y, t) as slope,
+    regr_intercept(y, t) as intercept,
+    sqrt(greatest(var_pop(y) - regr_slope(y, t) * covar_pop(y, t), 0)) as sigma
+  from level group by 1)"""
+PATH_SQL = FIT_SQL + """,
+ahead as (
+  select *, cast(last_period + to_months(h) as date) as period
+  from lines, (select unnest(range(1, 13))::int as h)),
+path as (
+  select a.route, h, a.period,
+    intercept + slope * (n - 1 + h) + coalesce(seasonal, 0) as f, sigma
+  from ahead a left join index i on i.route = a.route and i.month = month(a.period))"""
+
+
+def _whole(x: str) -> str:
+    return f"cast(round_even({x}, 0) as bigint)"
+
+
+def _forecast_sql(path: str, source: str = "path") -> str:
+    return path + f""",
+forecast as (
+  select period, route, {_whole("greatest(f, 0)")} as forecast_passengers,
+    {_whole("greatest(f - 1.28::double * sigma * sqrt(h), 0)")} as lower_80,
+    {_whole("f + 1.28::double * sigma * sqrt(h)")} as upper_80,
+    {_whole("greatest(f - 1.96::double * sigma * sqrt(h), 0)")} as lower_95,
+    {_whole("f + 1.96::double * sigma * sqrt(h)")} as upper_95,
+    {_whole("greatest(f, 0) * seats_per_pax")} as forecast_seats,
+    case when greatest(f, 0) * seats_per_pax > 0
+      then {rnd("greatest(f, 0) / (greatest(f, 0) * seats_per_pax)", 4)} end as forecast_lf
+  from {source} left join ratios using (route))"""
+
+
+FORECAST_SQL = _forecast_sql(PATH_SQL)
+
+
+def _forecast(model: str):
+    def build(s: SparkSession, d: str) -> DataFrame:
+        return forecast.forecast(
+            ad.capacity(ad.shipments(s, d), "Origin"), horizon=12, model=model
+        )
+
+    return build
+
+
+query("t4_t5_t7_trend_season_forecast", with_sql(FORECAST_SQL) + "select * from forecast")(
+    _forecast("trend_season"))
+query("q26_sheet_demand_forecast", with_sql(FORECAST_SQL) + """
+select route as "Route", period as "Forecast Month", forecast_passengers as "Forecast Passengers",
+  lower_80 as "Lower Bound (80% CI)", upper_80 as "Upper Bound (80% CI)",
+  lower_95 as "Lower Bound (95% CI)", upper_95 as "Upper Bound (95% CI)",
+  forecast_seats as "Forecast Seats", forecast_lf as "Forecast Load Factor" from forecast"""
+)(lambda s, d: reports.sheet_demand_forecast(_forecast("trend_season")(s, d)))
+
+
+def _values(numbers) -> str:
+    return ", ".join(f"({v}::double)" for v in numbers)
+
+
+G = forecast.DEFAULT_GRID
+SMOOTHING_SQL = PANEL_SQL + RATIO_SQL + f""",
+year1 as (select route, avg(x) as m1, list(x order by t) as xs from panel where t < 12 group by 1),
+year2 as (select route, avg(x) as m2 from panel where t between 12 and 23 and n >= 24 group by 1),
+fold as (
+  select route, alpha, beta, gamma, 0 as i, m1 as level, coalesce((m2 - m1) / 12, 0) as trend,
+    list_transform(xs, lambda v: v - m1) as season, 0.0::double as sse, 0.0::double as se
+  from year1 left join year2 using (route), (values {_values(G["alpha"])}) a(alpha),
+    (values {_values(G["beta"])}) b(beta), (values {_values(G["gamma"])}) g(gamma)
+  union all
+  select route, alpha, beta, gamma, i + 1, new_level,
+    beta * (new_level - level) + (1 - beta) * trend,
+    list_append(season[2:12], gamma * (x - level - trend) + (1 - gamma) * season[1]),
+    sse + e * e, se + e
+  from (
+    select f.*, p.x, p.x - (f.level + f.trend + f.season[1]) as e,
+      f.alpha * (p.x - f.season[1]) + (1 - f.alpha) * (f.level + f.trend) as new_level
+    from fold f join panel p on p.route = f.route and p.t = f.i)),
+best as (
+  select f.*, p.last_period, p.n, row_number() over (
+      partition by f.route order by sse, alpha, beta, gamma) as place
+  from fold f
+  join (select route, max(period) as last_period, max(n) as n from panel group by 1) p
+    on p.route = f.route and f.i = p.n),
+path as (
+  select route, h, cast(last_period + to_months(h) as date) as period,
+    level + h * trend + season[(h - 1) % 12 + 1] as f,
+    sqrt(greatest(sse / n - (se / n) * (se / n), 0)) as sigma
+  from best, (select unnest(range(1, 13))::int as h) where place = 1)"""
+
+
+def recursive_sql(*parts: str) -> str:
+    return with_sql(*parts).replace("with ", "with recursive ", 1)
+
+
+query("t3_t6_holt_winters_forecast", recursive_sql(_forecast_sql(SMOOTHING_SQL)) + """
+select * from forecast""")(_forecast("holt_winters"))
+query("t3_holt_winters_fit", recursive_sql(SMOOTHING_SQL) + f"""
+select route, alpha, beta, gamma, {rnd("level", 4)} as level, {rnd("trend", 4)} as trend,
+  {rnd("sse", 2)} as sse from best where place = 1""")(lambda s, d: _rounded(_rounded(
+    forecast.fit_holt_winters(_panel(s, d)).select(
+        "route", "alpha", "beta", "gamma", "level", "trend", "sse"),
+    ["level", "trend"], 4), ["sse"], 2))
+
+# ---- what-if ------------------------------------------------------------------------------------
+CONFIG_SQL = SHIPMENTS + f""",
+config as (
+  select "Route" as route, max("Distance")::double as distance,
+    {rnd("sum(l_quantity) / (count(*) * 30)", 4)} as base_lf, {rnd('avg(1 - "ArrDel15")', 4)} as base_otp,
+    cast(1 + count(*) % 6 as integer) as daily_flights
+  from flights group by 1),
+scenarios as (
+  select cast(distance as bigint) as scenario_id,
+    case when distance % 70 = 0 then 'UNKNOWN' else route end as route,
+    cast(distance // 10 % 6 as integer) - 2 as additional_daily_flights,
+    case cast(distance // 10 as integer) % 4 when 0 then 'all_day' when 1 then 'peak_only'
+      when 2 then 'off_peak' else 'night' end as schedule_change
+  from config),
+strategies(strategy, lf_capture, otp_multiplier, strategy_label) as (
+  values {", ".join(f"('{k}', {a}::double, {b}::double, '{c}')" for k, a, b, c in fv.STRATEGIES)}),
+prepared as (
+  select s.*, distance, base_lf, base_otp, daily_flights, lf_capture, otp_multiplier,
+    strategy_label, daily_flights + additional_daily_flights as daily_flights_after,
+    s.route || ': ' || case when additional_daily_flights >= 0 then '+' else '' end
+      || additional_daily_flights || ' daily flight(s), ' || strategy_label as label,
+    case when strategy is null then 'unknown schedule_change'
+      when c.route is null then 'unknown route'
+      when daily_flights + additional_daily_flights <= 0 then 'no flights left' end
+      as reject_reason
+  from scenarios s left join config c on s.route = c.route
+  left join strategies t on s.schedule_change = t.strategy)"""
+
+
+def route_config(s: SparkSession, d: str) -> DataFrame:
+    """Settings per route from the flights themselves."""
+    return ad.shipments(s, d).groupBy(F.col("Route").alias("route")).agg(
+        F.max("Distance").cast("double").alias("distance"),
+        rounded(F.sum("l_quantity") / (F.count("*") * 30), 4).alias("base_lf"),
+        rounded(F.avg(1 - F.col("ArrDel15")), 4).alias("base_otp"),
+        (1 + F.count("*") % 6).cast("int").alias("daily_flights"),
+    )
+
+
+def scenario_table(config: DataFrame) -> DataFrame:
+    """One scenario per route; some name an unknown route or strategy."""
+    distance = F.col("distance").cast("long")
+    step = F.floor(F.col("distance") / 10).cast("int")
+    strategies = F.array(*map(F.lit, ("all_day", "peak_only", "off_peak", "night")))
+    return config.select(
+        distance.alias("scenario_id"),
+        F.when(distance % 70 == 0, "UNKNOWN").otherwise(F.col("route")).alias("route"),
+        (step % 6 - 2).alias("additional_daily_flights"),
+        F.element_at(strategies, step % 4 + 1).alias("schedule_change"),
+    )
+
+
+def _prepared(s: SparkSession, d: str) -> DataFrame:
+    config = stage(route_config(s, d))
+    return whatif.prepare_scenarios(scenario_table(config), config)
+
+
+query("x1_scenario_inputs", with_sql(CONFIG_SQL) + """
+select scenario_id, route, additional_daily_flights, schedule_change, label, reject_reason
+from prepared""")(lambda s, d: _prepared(s, d).select(
+    "scenario_id", "route", "additional_daily_flights", "schedule_change", "label",
+    "reject_reason"))
+query("j7_rejected_scenarios", with_sql(CONFIG_SQL) + """
+select reject_reason, count(*) as n from prepared where reject_reason is not null group by 1"""
+)(lambda s, d: whatif.rejected(_prepared(s, d)).groupBy("reject_reason").agg(
+    F.count("*").alias("n")))
+query("j6_scenarios_by_strategy", with_sql(CONFIG_SQL) + """
+select scenario_id, strategy as schedule_change from scenarios, strategies"""
+)(lambda s, d: whatif.compare_strategies(scenario_table(route_config(s, d))).select(
+    "scenario_id", "schedule_change"))
+EFFECTS = {
+    "frequency_ratio": "fr", "demand_stimulus": "st", "new_lf_mean":
+        "least(greatest(base_lf * st / fr * lf_capture, 0.2::double), 0.97::double)",
+    "existing_lf_mean": "base_lf - 0.005::double * abs(additional_daily_flights)",
+    "otp_mean": "base_otp - additional_daily_flights * 0.003::double"
+                " - (otp_multiplier - 1) * 0.025::double",
+}
+query("x2_expected_effects", with_sql(CONFIG_SQL) + "select scenario_id, schedule_change, " + ", ".join(
+    f"{rnd(v, 6)} as {k}" for k, v in EFFECTS.items()) + """
+from (select *, daily_flights_after / daily_flights as fr,
+    1 + 0.3::double * (daily_flights_after / daily_flights - 1) as st
+  from prepared where reject_reason is null)"""
+)(lambda s, d: _rounded(whatif.expected_effects(whatif.accepted(_prepared(s, d))).select(
+    "scenario_id", "schedule_change", *EFFECTS), EFFECTS))
+
+
+def _comparison(s: SparkSession, d: str) -> DataFrame:
+    """All strategies for one more flight on every route."""
+    config = stage(route_config(s, d))
+    plus_one = config.select(
+        F.col("distance").cast("long").alias("scenario_id"), "route",
+        F.lit(1).alias("additional_daily_flights"),
+    )
+    return whatif.compare(plus_one, config, runs=fv.EXPORT_RUNS)
+
+
+@query("x2_a17_outcome_histogram")
+def _outcomes(s: SparkSession, d: str) -> DataFrame:
+    runs = stage(whatif.simulate(_prepared(s, d).withColumn("simulation_runs", F.lit(1000))))
+    return whatif.histogram(runs, "lf", 60, whatif.KEY)
+
+
+@query("x3_a12_outcome_summary")
+def _summary(s: SparkSession, d: str) -> DataFrame:
+    prepared = _prepared(s, d).withColumn("simulation_runs", F.lit(1000))
+    return whatif.summarise(whatif.simulate(prepared), max_runs=1000)
+
+
+query("x4_comparison_table")(_comparison)
+query("x5_narrative")(lambda s, d: whatif.narrative(_comparison(s, d)))
+query("w11_best_strategy")(lambda s, d: whatif.best_strategy(_comparison(s, d)))
+query("q25_sheet_scenario_summary")(
+    lambda s, d: reports.sheet_scenario_summary(_comparison(s, d)))
+
+# ---- classifier ---------------------------------------------------------------------------------
+# Small trees: these entries show the work on any data size; defaults are in fixed_values.
+QUICK = {"maxIter": 6, "maxDepth": 4, "stepSize": 0.2}
+MATRIX = ("weather_severity", "prev_tail_dep_delay", "legs_today_before", "hour_of_day")
+
+
+@query("p25_training_matrix", with_sql(SCORED_SQL) + f"""
+select l.event_id, l."ArrDel15" as label, {rnd("l.weather_severity", 6)} as weather_severity,
+  coalesce(r.p_dep, 0) as prev_tail_dep_delay,
+  least(r.before_today, 10)::double as legs_today_before, l."DepHour"::double as hour_of_day
+from legs_wx l join rotation r using (event_id) where l."Cancelled" = 0""")
+def _matrix(s: SparkSession, d: str) -> DataFrame:
+    rows, _ = classifier.prepare_training(leg_features(s, d), keep=["event_id"], features=MATRIX)
+    return _rounded(rows, ["weather_severity"])
+
+
+query("p26_aligned_columns", LG + """
+select event_id, "DepHour"::double as "DepHour", coalesce("DepDelay", 0) as "DepDelay",
+  0.0::double as unseen from legs""")(lambda s, d: classifier.align_features(
+    ad.legs(s, d), ["DepHour", "DepDelay", "unseen"], keep=["event_id"]))
+
+
+def _training(s: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    # Strict trailing means: no flight sees its own delay.
+    rows, names = classifier.prepare_training(leg_features(s, d, "strict"), keep=["event_id"])
+    return stage(classifier.split_rows(rows, ["event_id"])), names
+
+
+@query("m2_split")
+def _split(s: SparkSession, d: str) -> DataFrame:
+    legs = ad.legs(s, d).where(F.col("Cancelled") == 0)
+    return classifier.split_rows(legs, ["event_id"]).groupBy("part").agg(
+        F.count("*").alias("n"), F.avg("ArrDel15").alias("late_share")
+    )
+
+
+def _model(s: SparkSession, d: str) -> tuple[classifier.Classifier, DataFrame]:
+    rows, names = _training(s, d)
+    part = F.col("part")
+    model = classifier.train(
+        rows.where(part == "train"), names, rows.where(part == "validation"), **QUICK
+    )
+    return model, rows.where(part == "test")
+
+
+@query("m3_m4_m6_train_and_score")
+def _train(s: SparkSession, d: str) -> DataFrame:
+    model, test = _model(s, d)
+    return model.score(test).select(
+        "event_id", "label", "delay_probability", "prediction", "risk_level"
+    )
+
+
+@query("m5_cross_validation")
+def _cross_validation(s: SparkSession, d: str) -> DataFrame:
+    rows, names = _training(s, d)
+    result = classifier.cross_validate(rows, names, ["event_id"], folds=3, maxIter=2, maxDepth=3)
+    return s.range(1).select(*[F.lit(v).alias(k) for k, v in result.items()])
+
+
+query("m8_feature_importance")(lambda s, d: _model(s, d)[0].importance())

@@ -16,7 +16,7 @@ from slipstream.registry.base import (
 )
 from slipstream.sources import adapters as ad
 
-ROUTE = "FRANCE-ASIA"
+ROUTE = "NATION_5-ASIA"
 
 
 def _performance(s: SparkSession, d: str) -> DataFrame:
@@ -457,9 +457,9 @@ def _concat(s: SparkSession, d: str) -> DataFrame:
 
 query("p18_p19_filtered_routes", FL + f"""
 select "Route", count(*) as n from flights
-where "Cancelled" = 0 and "ArrDel15" = 1 and "Route" in ('{ROUTE}', 'CHINA-EUROPE') group by 1"""
+where "Cancelled" = 0 and "ArrDel15" = 1 and "Route" in ('{ROUTE}', 'NATION_1-EUROPE') group by 1"""
 )(lambda s, d: dashboards.delayed_only(
-    dashboards.operated(ad.shipments(s, d), [ROUTE, "CHINA-EUROPE"])
+    dashboards.operated(ad.shipments(s, d), [ROUTE, "NATION_1-EUROPE"])
 ).groupBy("Route").agg(F.count("*").alias("n")))
 query("p21_weather_category", W + """
 select case when avg_weather_severity >= 4 then 'Severe' when avg_weather_severity >= 2

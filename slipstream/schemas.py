@@ -55,3 +55,32 @@ RUNS = T.StructType([
     T.StructField("f1_score", _DBL), T.StructField("average_precision", _DBL),
     T.StructField("n_features", _INT),
 ])
+
+# Star schema and event log that the adapters read. Given here so that opening a table does not
+# start a job that reads file footers.
+_LONG, _NTZ = T.LongType(), T.TimestampNTZType()
+TABLES = {
+    "region": _struct(("r_regionkey", _INT), ("r_name", _STR)),
+    "nation": _struct(("n_nationkey", _INT), ("n_name", _STR), ("n_regionkey", _INT)),
+    "customer": _struct(
+        ("c_custkey", _LONG), ("c_name", _STR), ("c_nationkey", _INT), ("c_acctbal", _DBL),
+        ("c_mktsegment", _STR),
+    ),
+    "supplier": _struct(
+        ("s_suppkey", _LONG), ("s_name", _STR), ("s_nationkey", _INT), ("s_acctbal", _DBL)
+    ),
+    "orders": _struct(
+        ("o_orderkey", _LONG), ("o_custkey", _LONG), ("o_orderstatus", _STR),
+        ("o_totalprice", _DBL), ("o_orderdate", _NTZ), ("o_orderpriority", _STR),
+    ),
+    "lineitem": _struct(
+        ("l_orderkey", _LONG), ("l_partkey", _LONG), ("l_suppkey", _LONG), ("l_linenumber", _INT),
+        ("l_quantity", _DBL), ("l_extendedprice", _DBL), ("l_discount", _DBL), ("l_tax", _DBL),
+        ("l_returnflag", _STR), ("l_linestatus", _STR), ("l_shipdate", _NTZ),
+    ),
+    "events": _struct(
+        ("event_id", _LONG), ("ts", _NTZ), ("user_id", _LONG), ("event_type", _STR),
+        ("value", _DBL), ("props", _STR),
+    ),
+    "conversations": _struct(("conv_id", _LONG), ("turn", _LONG), ("role", _STR), ("text", _STR)),
+}

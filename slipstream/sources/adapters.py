@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.operators.cleaning import clean_capacity, clean_flights, clean_weather
+from slipstream.schemas import TABLES
 
 SHIPMENT_TIE_BREAK = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -20,7 +21,7 @@ LEG_TIE_BREAK = ("event_id",)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def shipments_raw(spark: SparkSession, folder: str) -> DataFrame:
