@@ -1,4 +1,7 @@
-"""Aggregate expressions of the punctuality reports."""
+"""Aggregate expressions of the punctuality reports.
+
+Conditions and columns are SQL text: an aggregate is then one parsed expression.
+"""
 
 from __future__ import annotations
 
@@ -7,39 +10,31 @@ from pyspark.sql import functions as F
 
 from slipstream.functions.columns import ColumnOrName, as_column, ratio
 
-
-def operated_flight() -> Column:
-    return F.col("Cancelled") == 0
-
-
-def late_flight() -> Column:
-    return operated_flight() & (F.col("ArrDel15") == 1)
-
-
-def punctual_flight() -> Column:
-    return operated_flight() & (F.col("ArrDel15") == 0)
+OPERATED = "Cancelled = 0"
+LATE = "Cancelled = 0 and ArrDel15 = 1"
+PUNCTUAL = "Cancelled = 0 and ArrDel15 = 0"
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
+def count_where(condition: str) -> Column:
+    return F.expr(f"count_if({condition})")
 
 
-def mean_where(c: ColumnOrName, condition: Column) -> Column:
-    return F.avg(F.when(condition, as_column(c)))
+def mean_where(value: str, condition: str) -> Column:
+    return F.expr(f"avg(case when {condition} then {value} end)")
 
 
-def sum_where(c: ColumnOrName, condition: Column) -> Column:
+def sum_where(value: str, condition: str) -> Column:
     """Sum over matching rows; rows that do not match add zero."""
-    return F.sum(F.when(condition, as_column(c)).otherwise(F.lit(0.0)))
+    return F.expr(f"sum(case when {condition} then {value} else 0.0D end)")
 
 
 def punctuality() -> Column:
     """Share of operated flights that arrived less than 15 minutes late."""
-    return ratio(count_where(punctual_flight()), count_where(operated_flight()))
+    return F.expr(f"double(count_if({PUNCTUAL})) / nullif(count_if({OPERATED}), 0)")
 
 
-def percent_of_rows(condition: Column) -> Column:
-    return F.avg(condition.cast("double")) * F.lit(100.0)
+def percent_of_rows(condition: str) -> Column:
+    return F.expr(f"avg(double({condition})) * 100.0D")
 
 
 def weighted_mean(value: ColumnOrName, weight: ColumnOrName) -> Column:

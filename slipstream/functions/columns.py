@@ -14,10 +14,18 @@ def as_column(c: ColumnOrName) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+def _templated(template: str, c: ColumnOrName) -> Column | None:
+    """The SQL template applied to a plain column name: one parsed expression is much cheaper to
+    build than a chain of function calls. None for anything but a plain name."""
+    return F.expr(template.format(c)) if isinstance(c, str) and c.isidentifier() else None
+
+
 def number(c: ColumnOrName) -> Column:
     """Text or number to double; bad text and NaN become null."""
-    value = as_column(c).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    made = _templated("nullif(try_cast({0} as double), double('NaN'))", c)
+    if made is not None:
+        return made
+    return F.nullif(as_column(c).try_cast("double"), F.lit(float("nan")))
 
 
 def clamp(c: ColumnOrName, low, high) -> Column:
@@ -28,6 +36,9 @@ def clamp(c: ColumnOrName, low, high) -> Column:
 
 def rounded(c: ColumnOrName, digits: int) -> Column:
     """Round half up on the decimal value, so 0.285 gives 0.29 on every engine."""
+    made = _templated(f"cast(round(cast({{0}} as decimal(28,10)), {digits}) as double)", c)
+    if made is not None:
+        return made
     return F.round(as_column(c).cast("decimal(28,10)"), digits).cast("double")
 
 
@@ -46,8 +57,8 @@ def ratio(top: ColumnOrName, bottom: ColumnOrName) -> Column:
     return as_column(top).cast("double") / F.nullif(as_column(bottom).cast("double"), F.lit(0.0))
 
 
-def year_month(year: ColumnOrName, month: ColumnOrName) -> Column:
-    return F.format_string("%d-%02d", as_column(year), as_column(month))
+def year_month(year: str, month: str) -> Column:
+    return F.format_string("%d-%02d", year, month)
 
 
 def first_match(pairs, default=None) -> Column:

@@ -19,37 +19,44 @@ FLIGHT_MEASURES = (
 
 
 def calendar_parts(date: str) -> dict[str, Column]:
-    d = F.col(date)
+    """Year to quarter of a date; Monday is day 0 of the week."""
     return {
-        "Year": F.year(d),
-        "Month": F.month(d),
-        "DayOfWeek": F.weekday(d),  # Monday is 0
-        "DayOfYear": F.dayofyear(d),
-        "Quarter": F.quarter(d),
+        "Year": F.year(date), "Month": F.month(date), "DayOfWeek": F.weekday(date),
+        "DayOfYear": F.dayofyear(date), "Quarter": F.quarter(date),
     }
 
 
-def clock_hour(hhmm: str) -> Column:
-    """Hour of an HHMM clock time; missing counts as midnight."""
-    minutes = F.coalesce(number(hhmm), F.lit(0.0))
-    return clamp(F.floor(minutes / F.lit(100)).cast("int"), *fv.HOUR_OF_DAY)
+def limited(value: str, low: float, high: float) -> Column:
+    """``clamp`` of SQL text that is cheap to repeat."""
+    return F.expr(
+        f"case when {value} is not null then least(greatest({value}, {low}D), {high}D) end"
+    )
+
+
+def typed(column: str, kind: str) -> str:
+    """SQL text of a measure as double; text that is no number and NaN become null."""
+    if kind in ("int", "bigint", "smallint", "tinyint"):
+        return f"double({column})"
+    return f"nullif(try_cast({column} as double), double('NaN'))"
 
 
 def clean_flights(flights: DataFrame) -> DataFrame:
     """Drop rows without keys, type the measures, clamp delays, add calendar columns."""
-    present = [c for c in FLIGHT_MEASURES if c in flights.columns]
-    typed = {c: number(c) for c in present}
+    kinds = dict(flights.dtypes)
+    made = {c: F.expr(typed(c, kinds[c])) for c in FLIGHT_MEASURES if c in kinds}
     for delay in ("DepDelay", "ArrDelay"):
-        typed[delay] = clamp(number(delay), *fv.DELAY_MINUTES)
+        made[delay] = limited(typed(delay, kinds[delay]), *fv.DELAY_MINUTES)
     for marker in ("ArrDel15", "Cancelled"):
-        typed[marker] = F.coalesce(number(marker), F.lit(0.0)).cast("int")
-    if "Distance" in flights.columns:
-        typed["Distance"] = number("Distance").cast("int")
-    typed["FlightDate"] = F.col("FlightDate").cast("date")
-    typed["DepHour"] = clock_hour("CRSDepTime")
+        made[marker] = F.expr(f"int(coalesce({typed(marker, kinds[marker])}, 0.0D))")
+    if kinds.get("Distance", "int") != "int":
+        made["Distance"] = F.expr(f"int({typed('Distance', kinds['Distance'])})")
+    made["FlightDate"] = F.col("FlightDate").cast("date")
+    low, high = fv.HOUR_OF_DAY
+    hhmm = f"coalesce({typed('CRSDepTime', kinds['CRSDepTime'])}, 0.0D)"
+    made["DepHour"] = F.expr(f"least(greatest(int(floor({hhmm} / 100)), {low}), {high})")
     return (
         flights.dropna(subset=list(FLIGHT_KEYS))
-        .withColumns(typed)
+        .withColumns(made)
         .withColumns(calendar_parts("FlightDate"))
     )
 

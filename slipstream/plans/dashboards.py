@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.functions.aggregates import operated_flight, percent_of_rows
+from slipstream.functions.aggregates import OPERATED, count_where, percent_of_rows
 from slipstream.functions.columns import right_closed_bin, rounded
 from slipstream.operators.ordered import percentiles
 from slipstream.plans.views import CAUSES
 
+ON_TIME = "ArrDel15 = 0"
+# Share of operated flights, in percent, that were on time; over rows that include cancelled ones.
+OTP_PERCENT = f"avg(case when {OPERATED} then double({ON_TIME}) end) * 100.0D"
 MONTHS = tuple(range(1, 13))
 SEVERITY_BINS = (
     (-0.1, 0.5, 2.0, 4.0, 6.0, 10.1), ("Clear", "Light", "Moderate", "Significant", "Severe"),
@@ -23,13 +26,9 @@ CAUSE_LABELS = {
 }
 
 
-def on_time() -> Column:
-    return F.col("ArrDel15") == 0
-
-
 def operated(flights: DataFrame, routes: Sequence[str] | None = None) -> DataFrame:
     """Flights that took place, optionally of some routes only."""
-    out = flights.where(operated_flight())
+    out = flights.where(OPERATED)
     return out if routes is None else out.where(F.col("Route").isin(*routes))
 
 
@@ -44,8 +43,8 @@ def kpi_row(flights: DataFrame, capacity: DataFrame) -> DataFrame:
         F.sum("Passengers").alias("total_passengers"),
     )
     return flights.agg(
-        (F.avg(F.when(operated_flight(), on_time().cast("double"))) * 100.0).alias("otp_pct"),
-        F.avg(F.when(operated_flight(), F.col("ArrDelay"))).alias("avg_arr_delay"),
+        F.expr(OTP_PERCENT).alias("otp_pct"),
+        F.expr(f"avg(case when {OPERATED} then ArrDelay end)").alias("avg_arr_delay"),
         (F.avg("Cancelled") * 100.0).alias("cancel_rate_pct"),
         F.count_distinct("Route").alias("routes"),
     ).select(
@@ -57,8 +56,8 @@ def kpi_row(flights: DataFrame, capacity: DataFrame) -> DataFrame:
 
 def monthly_punctuality(flights: DataFrame) -> DataFrame:
     return operated(flights).groupBy("Year", "Month").agg(
-        F.count("ArrDel15").alias("total"), F.count_if(on_time()).alias("ontime"),
-        F.avg("ArrDelay").alias("avg_delay"), percent_of_rows(on_time()).alias("otp_pct"),
+        F.count("ArrDel15").alias("total"), count_where(ON_TIME).alias("ontime"),
+        F.avg("ArrDelay").alias("avg_delay"), percent_of_rows(ON_TIME).alias("otp_pct"),
     ).withColumn("period", F.make_date("Year", "Month", F.lit(1))).orderBy("Year", "Month")
 
 
@@ -66,7 +65,7 @@ def route_summary(flights: DataFrame) -> DataFrame:
     """Operated flights per route; none of them is cancelled, so that column is always 0."""
     return operated(flights).groupBy("Route").agg(
         F.count("ArrDel15").alias("operated_flights"),
-        rounded(percent_of_rows(on_time()), 1).alias("otp_pct"),
+        rounded(percent_of_rows(ON_TIME), 1).alias("otp_pct"),
         rounded(F.avg("ArrDelay"), 1).alias("avg_delay_min"),
         F.sum("Cancelled").alias("cancelled"),
     ).orderBy(F.col("otp_pct").desc_nulls_last(), "Route")
@@ -76,7 +75,7 @@ def punctuality_grid(flights: DataFrame, row: str, names: Sequence[str] | None =
     """Punctuality in percent, one row per ``row`` and one column per month."""
     labels = list(names or [f"m{m:02d}" for m in MONTHS])
     cells = operated(flights).groupBy(row).pivot("Month", list(MONTHS)).agg(
-        percent_of_rows(on_time())
+        percent_of_rows(ON_TIME)
     )
     return cells.toDF(row, *labels)
 
@@ -101,7 +100,7 @@ def route_detail(flights: DataFrame, capacity: DataFrame) -> DataFrame:
     flown = operated(flights)
     main = flown.groupBy("Route").agg(
         F.count("ArrDel15").alias("operated"),
-        rounded(percent_of_rows(on_time()), 1).alias("otp_pct"),
+        rounded(percent_of_rows(ON_TIME), 1).alias("otp_pct"),
         rounded(F.avg("ArrDelay"), 1).alias("avg_delay"),
         F.avg("CarrierDelay").alias("avg_carrier"), F.avg("WeatherDelay").alias("avg_weather"),
     )
@@ -120,7 +119,7 @@ def route_detail(flights: DataFrame, capacity: DataFrame) -> DataFrame:
 def route_volume(flights: DataFrame) -> DataFrame:
     return flights.groupBy("Route").agg(
         F.count("ArrDel15").alias("total_flights"),
-        F.count_if(operated_flight()).alias("operated"), F.sum("Cancelled").alias("cancelled"),
+        count_where(OPERATED).alias("operated"), F.sum("Cancelled").alias("cancelled"),
     ).orderBy("total_flights", "Route")
 
 
@@ -134,7 +133,7 @@ def _by_severity(flights: DataFrame, bins, *measures: Column) -> DataFrame:
 def punctuality_by_severity(flights: DataFrame) -> DataFrame:
     return _by_severity(
         flights, SEVERITY_BINS,
-        percent_of_rows(on_time()).alias("otp_pct"), F.avg("ArrDelay").alias("avg_delay"),
+        percent_of_rows(ON_TIME).alias("otp_pct"), F.avg("ArrDelay").alias("avg_delay"),
         F.count("ArrDel15").alias("n"),
     )
 
@@ -161,10 +160,10 @@ def load_factor_boxes(capacity: DataFrame) -> DataFrame:
 
 def exploration_summary(flights: DataFrame) -> DataFrame:
     return flights.agg(
-        F.count("*").alias("total_flights"), F.count_if(operated_flight()).alias("operated_flights"),
+        F.count("*").alias("total_flights"), count_where(OPERATED).alias("operated_flights"),
         F.sum("Cancelled").alias("cancelled_flights"),
-        (F.avg(F.when(operated_flight(), on_time().cast("double"))) * 100.0).alias("otp_pct"),
-        F.avg(F.when(operated_flight(), F.col("ArrDelay"))).alias("avg_arr_delay"),
+        F.expr(OTP_PERCENT).alias("otp_pct"),
+        F.expr(f"avg(case when {OPERATED} then ArrDelay end)").alias("avg_arr_delay"),
         F.count_distinct("Route").alias("routes"),
         F.min("FlightDate").alias("first_date"), F.max("FlightDate").alias("last_date"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.functions.aggregates import (
-    count_where, late_flight, mean_where, operated_flight, punctual_flight, punctuality, sum_where,
+    LATE, OPERATED, PUNCTUAL, count_where, mean_where, punctuality, sum_where,
 )
 from slipstream.functions.columns import ratio, rounded, year_month
 
@@ -24,8 +24,8 @@ def _cancel_rate() -> Column:
     return rounded(ratio(F.sum("Cancelled"), F.count("*")), 4)
 
 
-def _mean(c: str, condition: Column | None = None) -> Column:
-    return rounded(mean_where(c, operated_flight() if condition is None else condition), 2)
+def _mean(c: str, condition: str = OPERATED) -> Column:
+    return rounded(mean_where(c, condition), 2)
 
 
 def route_performance(flights: DataFrame) -> DataFrame:
@@ -39,8 +39,8 @@ def route_performance(flights: DataFrame) -> DataFrame:
         F.count("*").alias("total_flights"),
         F.sum("Cancelled").alias("cancelled_flights"),
         _cancel_rate().alias("cancel_rate"),
-        count_where(operated_flight()).alias("operated_flights"),
-        count_where(late_flight()).alias("delayed_flights"),
+        count_where(OPERATED).alias("operated_flights"),
+        count_where(LATE).alias("delayed_flights"),
         rounded(punctuality(), 4).alias("otp_rate"),
         *[_mean(source).alias(name) for name, source in means.items()],
     )
@@ -55,17 +55,16 @@ def monthly_otp_summary(flights: DataFrame) -> DataFrame:
     per_route = flights.groupBy("Year", "Month", "Route").agg(
         F.count("*").alias("total"),
         F.sum("Cancelled").alias("cancelled"),
-        count_where(operated_flight()).alias("operated"),
-        count_where(punctual_flight()).alias("punctual"),
+        count_where(OPERATED).alias("operated"),
+        count_where(PUNCTUAL).alias("punctual"),
         *[
-            f(c, operated_flight()).alias(f"{name}_{c}")
-            for c in ("ArrDelay", "DepDelay")
-            for name, f in (("sum", _sum_known), ("n", _count_known))
+            F.expr(f"{f}(case when {OPERATED} then {c} end)").alias(f"{f}_{c}")
+            for c in ("ArrDelay", "DepDelay") for f in ("sum", "count")
         ],
     )
 
     def mean(c: str) -> Column:
-        return rounded(ratio(F.sum(f"sum_{c}"), F.sum(f"n_{c}")), 2)
+        return rounded(ratio(F.sum(f"sum_{c}"), F.sum(f"count_{c}")), 2)
 
     return per_route.groupBy("Year", "Month").agg(
         year_month("Year", "Month").alias("YearMonth"),
@@ -79,26 +78,18 @@ def monthly_otp_summary(flights: DataFrame) -> DataFrame:
     )
 
 
-def _sum_known(c: str, condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col(c)))
-
-
-def _count_known(c: str, condition: Column) -> Column:
-    return F.count(F.when(condition, F.col(c)))
-
-
 def delay_cause_decomposition(flights: DataFrame) -> DataFrame:
     """Mean minutes per cause over late flights, and the share of four causes in all minutes.
 
     Security minutes are part of the whole but get no share, so shares need not add up to one.
     """
-    minutes = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in CAUSES.values()), F.lit(0.0))
-    whole = sum_where(minutes, late_flight())
+    minutes = " + ".join(f"coalesce({c}, 0.0D)" for c in CAUSES.values())
+    whole = sum_where(minutes, LATE)
     return flights.groupBy("Route", "Year", "Month").agg(
-        *[_mean(c, late_flight()).alias(f"avg_{name}_delay") for name, c in CAUSES.items()],
-        count_where(late_flight()).alias("delayed_count"),
+        *[_mean(c, LATE).alias(f"avg_{name}_delay") for name, c in CAUSES.items()],
+        count_where(LATE).alias("delayed_count"),
         *[
-            rounded(ratio(sum_where(c, late_flight()), whole), 4).alias(f"{name}_delay_pct")
+            rounded(ratio(sum_where(c, LATE), whole), 4).alias(f"{name}_delay_pct")
             for name, c in CAUSES.items() if name != "security"
         ],
     )

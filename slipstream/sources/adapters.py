@@ -8,7 +8,7 @@ decides for itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.operators.cleaning import clean_capacity, clean_flights, clean_weather
@@ -48,32 +48,24 @@ def shipments_raw(spark: SparkSession, folder: str) -> DataFrame:
         sources, F.col("l_suppkey") == F.col("s_suppkey")
     )
 
-    cancelled = (F.col("l_returnflag") == "R") & (F.col("l_orderkey") % 10 == 0)
-
-    def flown(value: Column) -> Column:
-        return F.when(~F.col("_cancelled"), value)
-
-    dep = (F.col("l_quantity") - 36) * 45
-    arr = dep - F.col("l_orderkey") % 5
-    distance = (100 + F.col("n_nationkey") * 90 + F.col("r_regionkey") * 20).cast("int")
-    return joined.withColumns({"_cancelled": F.coalesce(cancelled, F.lit(False))}).select(
-        F.col("l_shipdate").cast("date").alias("FlightDate"),
-        F.col("l_suppkey").alias("Tail_Number"),
-        "Origin", "Dest", F.concat("Origin", F.lit("-"), "Dest").alias("Route"),
-        (F.col("l_partkey") % 24 * 100 + F.col("l_orderkey") % 60).cast("int").alias("CRSDepTime"),
-        F.when(F.col("_cancelled"), 1).otherwise(0).alias("Cancelled"),
-        flown(dep).alias("DepDelay"),
-        flown(arr).alias("ArrDelay"),
-        F.when(~F.col("_cancelled") & (arr >= 15), 1).otherwise(0).alias("ArrDel15"),
-        flown((F.col("l_partkey") % 30).cast("double")).alias("CarrierDelay"),
-        flown((F.col("l_suppkey") % 20).cast("double")).alias("WeatherDelay"),
-        flown(F.col("l_linenumber").cast("double")).alias("NASDelay"),
-        flown((F.col("l_orderkey") % 3).cast("double")).alias("SecurityDelay"),
-        F.when(
-            ~F.col("_cancelled") & (F.col("l_partkey") % 7 != 0), F.col("l_quantity")
-        ).alias("LateAircraftDelay"),
-        distance.alias("Distance"),
-        flown(distance / 8.0 + 30.0).alias("AirTime"),
+    return joined.withColumn(
+        "_cx", F.expr("coalesce(l_returnflag = 'R' and l_orderkey % 10 = 0, false)")
+    ).selectExpr(
+        "cast(l_shipdate as date) as FlightDate", "l_suppkey as Tail_Number", "Origin", "Dest",
+        "concat(Origin, '-', Dest) as Route",
+        "int(l_partkey % 24 * 100 + l_orderkey % 60) as CRSDepTime",
+        "int(_cx) as Cancelled",
+        "case when not _cx then (l_quantity - 36) * 45 end as DepDelay",
+        "case when not _cx then (l_quantity - 36) * 45 - l_orderkey % 5 end as ArrDelay",
+        "int(not _cx and (l_quantity - 36) * 45 - l_orderkey % 5 >= 15) as ArrDel15",
+        "case when not _cx then double(l_partkey % 30) end as CarrierDelay",
+        "case when not _cx then double(l_suppkey % 20) end as WeatherDelay",
+        "case when not _cx then double(l_linenumber) end as NASDelay",
+        "case when not _cx then double(l_orderkey % 3) end as SecurityDelay",
+        "case when not _cx and l_partkey % 7 <> 0 then l_quantity end as LateAircraftDelay",
+        "int(100 + n_nationkey * 90 + r_regionkey * 20) as Distance",
+        "case when not _cx then (100 + n_nationkey * 90 + r_regionkey * 20) / 8.0D + 30 end"
+        " as AirTime",
         *SHIPMENT_TIE_BREAK,
     )
 
@@ -85,22 +77,18 @@ def shipments(spark: SparkSession, folder: str) -> DataFrame:
 
 def legs_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One leg per event; the user is the vehicle."""
-    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    cancelled = (F.col("event_type") == "error") & (F.col("event_id") % 20 == 0)
-    dep = F.floor("value").cast("double") - 20.0
-    arr = dep - F.col("event_id") % 7
-    return events.withColumn("_cancelled", F.coalesce(cancelled, F.lit(False))).select(
-        "event_id",
-        F.col("user_id").alias("Tail_Number"),
-        F.col("ts").cast("date").alias("FlightDate"),
-        (F.hour("ts") * 100).alias("CRSDepTime"),
-        F.lit("HUB").alias("Origin"), F.col("event_type").alias("Dest"),
-        F.concat(F.lit("HUB-"), "event_type").alias("Route"),
-        F.when(F.col("_cancelled"), 1).otherwise(0).alias("Cancelled"),
-        F.when(~F.col("_cancelled"), dep).alias("DepDelay"),
-        F.when(~F.col("_cancelled"), arr).alias("ArrDelay"),
-        F.when(~F.col("_cancelled") & (arr >= 15), 1).otherwise(0).alias("ArrDel15"),
-        F.when(~F.col("_cancelled"), (25 + F.col("event_id") % 276).cast("double")).alias("AirTime"),
+    return table(spark, folder, "events").selectExpr(
+        "*",
+        "coalesce(event_type = 'error' and event_id % 20 = 0, false) as _cx",
+        "double(floor(value)) - 20.0D as _dep",
+    ).selectExpr(
+        "event_id", "user_id as Tail_Number", "cast(ts as date) as FlightDate",
+        "hour(ts) * 100 as CRSDepTime", "'HUB' as Origin", "event_type as Dest",
+        "concat('HUB-', event_type) as Route", "int(_cx) as Cancelled",
+        "case when not _cx then _dep end as DepDelay",
+        "case when not _cx then _dep - event_id % 7 end as ArrDelay",
+        "int(coalesce(not _cx and _dep - event_id % 7 >= 15, false)) as ArrDel15",
+        "case when not _cx then double(25 + event_id % 276) end as AirTime",
     )
 
 
@@ -117,15 +105,11 @@ def weather_raw(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count("*").alias("n"))
         .where((F.dayofmonth("valid") * 24 + F.hour("valid")) % 11 != 0)
     )
-    n = F.col("n")
-    return hourly.select(
-        "valid", F.lit("HUB").alias("station"),
-        (n + 40).cast("double").alias("tmpf"),
-        (n - 10).cast("double").alias("sknt"),
-        ((n % 5).cast("double") / 10.0).alias("p01i"),
-        (n % 12).cast("double").alias("vsby"),
-        F.when(n % 4 != 0, (n * 2).cast("double")).alias("gust"),
-        F.when(n % 6 == 0, "TSRA").when(n % 3 == 0, "RA").otherwise("").alias("wxcodes"),
+    return hourly.selectExpr(
+        "valid", "'HUB' as station", "double(n + 40) as tmpf", "double(n - 10) as sknt",
+        "double(n % 5) / 10.0D as p01i", "double(n % 12) as vsby",
+        "case when n % 4 <> 0 then double(n * 2) end as gust",
+        "case when n % 6 = 0 then 'TSRA' when n % 3 = 0 then 'RA' else '' end as wxcodes",
     )
 
 
