@@ -49,7 +49,8 @@ def prepare_training(
 
 def hash_band(seed: int, buckets: int, *keys: str) -> Column:
     """Bucket 0..buckets-1 from a row's key: the same in every run, and no shuffle."""
-    return F.pmod(F.xxhash64(F.lit(seed), *map(F.col, keys)), F.lit(buckets)).cast("int")
+    mixed = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), *map(F.col, keys)), 11)
+    return (mixed % F.lit(buckets)).cast("int")
 
 
 def split_rows(

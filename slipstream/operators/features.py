@@ -153,17 +153,18 @@ def build_features(
 ) -> DataFrame:
     """All feature columns; a group that is switched off is constant 0.
 
-    Costs one exchange on the vehicle (rotation) and none on the flights for the rest as long as
-    the hourly totals are small enough to broadcast.
+    The features that need other flights come first, so that the exchange on the vehicle carries
+    the input columns only; everything else is computed behind it without a further exchange.
     """
-    out = add_calendar_features(flights, holidays=holidays)
-    out = add_weather_features(add_route_features(out, routes))
+    out = flights
     if propagation:
         out = trailing_mean_delay(out, mode=mode, tie_break=tie_break, task_rows=task_rows)
     else:
         out = out.withColumn("rolling_avg_dep_delay", F.lit(0.0))
     if tail_lag or rotation_chain:
         out = rotation.rotation_features(out, tie_break, task_rows=task_rows)
+    out = add_calendar_features(out, holidays=holidays)
+    out = add_weather_features(add_route_features(out, routes))
     off = [
         name for name in rotation.FEATURES
         if not (tail_lag if name == "prev_tail_dep_delay" else rotation_chain)

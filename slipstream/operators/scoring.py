@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from slipstream import fixed_values as fv
 from slipstream.functions.columns import clamp, first_match, flag, ratio
 from slipstream.operators.ordered import TASK_ROWS, running_totals
+from slipstream.operators.staging import stage
 
 
 def score_steps(
@@ -27,8 +28,9 @@ def score_steps(
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
+    # Counted, sampled for the ranges and shuffled: written once instead of made three times.
     steps = running_totals(
-        per_score, [], [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")}, task_rows
+        stage(per_score), [], [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")}, task_rows
     )
     return steps.withColumns({
         "n_pos": steps.select(F.sum("pos")).scalar(), "n_neg": steps.select(F.sum("neg")).scalar(),

@@ -18,6 +18,8 @@ from slipstream.operators.ordered import TASK_ROWS, percentiles
 KEY = ["scenario_id", "schedule_change"]
 # Runs one generator row produces; more runs are spread over several rows first.
 BLOCK = 10_000
+# Up to this many runs of a scenario are sorted in memory, as one array.
+SORTED_RUNS = 100_000
 
 
 def strategy_table(spark: SparkSession) -> DataFrame:
@@ -105,14 +107,19 @@ def expected_effects(prepared: DataFrame) -> DataFrame:
     })
 
 
-def uniform(seed: int, stream: int, *keys: str) -> Column:
-    """Uniform draw in (0, 1) that depends on nothing but its keys."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(stream), *map(F.col, keys)), 11)
+def uniform(seed: int, stream: int, scenario: str, strategy: str, run: str) -> Column:
+    """Uniform draw in (0, 1) that depends on nothing but its keys.
+
+    Seed, run, strategy number and stream are packed into one number without overlap (run below
+    2**31, strategy below 8, stream below 4), which is hashed together with the scenario.
+    """
+    code = F.expr(f"{seed * 2**36 + stream}L + bigint({run}) * 32L + {strategy} * 4L")
+    bits = F.shiftrightunsigned(F.xxhash64(F.col(scenario).cast("long"), code), 11)
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**53))
 
 
 def normal_pair(seed: int, pair: int, *keys: str) -> tuple[Column, Column]:
-    """Two independent standard normal draws."""
+    """Two independent standard normal draws for (scenario, strategy number, run)."""
     radius = F.sqrt(F.lit(-2.0) * F.ln(uniform(seed, 2 * pair, *keys)))
     angle = F.lit(2.0) * F.pi() * uniform(seed, 2 * pair + 1, *keys)
     return radius * F.cos(angle), radius * F.sin(angle)
@@ -131,8 +138,9 @@ def simulate(prepared: DataFrame, seed: int = 42) -> DataFrame:
     drawn = blocks.withColumn(
         "run", F.explode(F.sequence(first, F.least(first + BLOCK, runs) - 1))
     )
-    z_demand, z_yield = normal_pair(seed, 0, *KEY, "run")
-    z_cost, z_otp = normal_pair(seed, 1, *KEY, "run")
+    draw_key = ("scenario_id", "strategy_rank", "run")
+    z_demand, z_yield = normal_pair(seed, 0, *draw_key)
+    z_cost, z_otp = normal_pair(seed, 1, *draw_key)
     drawn = drawn.withColumns({
         "_demand": F.lit(1.0) + F.lit(fv.DEMAND_SIGMA) * z_demand,
         "_yield": F.lit(1.0) + F.lit(fv.YIELD_SIGMA) * z_yield,
@@ -165,8 +173,9 @@ def simulate(prepared: DataFrame, seed: int = 42) -> DataFrame:
 def summarise(runs: DataFrame, task_rows: int = TASK_ROWS, max_runs: int | None = None) -> DataFrame:
     """Means and 10th / 90th percentiles per scenario and strategy.
 
-    ``max_runs`` is the largest number of runs of one scenario, if known. Up to ``task_rows`` one
-    aggregate gives the exact percentiles; otherwise they are found by rank in pieces.
+    ``max_runs`` is the largest number of runs of one scenario, if known. A small number is sorted
+    in place, within the same aggregate as the means; otherwise the percentiles are found by rank,
+    in pieces where a scenario has very many runs.
     """
     means = [
         F.avg("lf").alias("mean_lf"), F.avg("otp").alias("mean_otp"),
@@ -174,12 +183,14 @@ def summarise(runs: DataFrame, task_rows: int = TASK_ROWS, max_runs: int | None
         F.avg((F.col("revenue") > 0).cast("double")).alias("p_revenue_positive"),
     ]
     names = {"lf": ("p10_lf", "p90_lf"), "revenue": ("p10_revenue", "p90_revenue")}
-    if max_runs is not None and max_runs <= task_rows:
-        tails = [
-            F.percentile(c, F.lit(p)).alias(n)
+    if max_runs is not None and max_runs <= min(task_rows, SORTED_RUNS):
+        lists = runs.groupBy(*KEY).agg(
+            *means, *[F.sort_array(F.collect_list(c)).alias(f"_{c}") for c in names]
+        )
+        return lists.withColumns({
+            n: _interpolated(f"_{c}", p)
             for c, pair in names.items() for n, p in zip(pair, (0.1, 0.9))
-        ]
-        return runs.groupBy(*KEY).agg(*means, *tails)
+        }).drop(*[f"_{c}" for c in names])
     out = runs.groupBy(*KEY).agg(*means)
     for c, pair in names.items():
         out = out.join(
@@ -188,6 +199,14 @@ def summarise(runs: DataFrame, task_rows: int = TASK_ROWS, max_runs: int | None
     return out
 
 
+def _interpolated(values: str, p: float) -> Column:
+    """Percentile of a sorted array by linear interpolation."""
+    at = f"({p}D * (size({values}) - 1))"
+    low = f"get({values}, int(floor({at})))"
+    high = f"get({values}, int(ceil({at})))"
+    return F.expr(f"{low} + ({high} - {low}) * ({at} - floor({at}))")
+
+
 def verdict(revenue: Column, otp_pp: Column) -> Column:
     return first_match(
         [
@@ -215,7 +234,8 @@ def comparison_table(prepared: DataFrame, summary: DataFrame) -> DataFrame:
     sentence = F.format_string(
         "%s: %s%d daily %s flight (%s) → LF %+.1fpp, OTP %+.1fpp, Revenue $%+.1fM/yr",
         F.col("Verdict"), F.when(delta >= 0, "+").otherwise(""), delta, F.col("route"),
-        F.col("strategy_label"), lf_pp, otp_pp, F.col("mean_revenue") / 1e6,
+        F.col("strategy_label"), rounded(lf_pp, 1), rounded(otp_pp, 1),
+        rounded(F.col("mean_revenue") / 1e6, 1),
     )
     return out.select(
         "scenario_id", F.col("route").alias("Route"), "strategy_rank",
@@ -248,7 +268,8 @@ def narrative(comparison: DataFrame) -> DataFrame:
     line = F.format_string(
         "  [%-10s] LF=%.1f%% (%+.1fpp) | OTP=%.1f%% (%+.1fpp) | Rev=%+.1fM",
         F.upper("Schedule"), F.col("Projected_LF_%"), F.col("LF_Change_pp"),
-        F.col("Projected_OTP_%"), F.col("OTP_Change_pp"), F.col("Annual_Revenue_Delta_M$"),
+        F.col("Projected_OTP_%"), F.col("OTP_Change_pp"),
+        rounded(F.col("Annual_Revenue_Delta_M$"), 1),
     )
     key = F.struct(F.col("Annual_Revenue_Delta_M$"), -F.col("strategy_rank"))
     # At most one line per strategy and scenario.
