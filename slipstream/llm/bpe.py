@@ -65,7 +65,7 @@ class Bpe:
             self.bytes[i] = bytes(letters[c] for c in token)
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
-        self.cut = regex.compile(PATTERN).findall
+        self.cut, self.scan = regex.compile(PATTERN).findall, regex.compile(PATTERN).finditer
         self.marks = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None

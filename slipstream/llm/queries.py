@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, planes, shards, toxicity
+from slipstream.llm import bpe, planes, shards, token_counts, toxicity
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -35,6 +35,28 @@ def op3_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return planes.read_digests(spark, out)
 
 
+def document_edits(docs: DataFrame) -> DataFrame:
+    """Four edits of every document: the first line goes, then every text loses 20 characters in
+    the middle, gets its language put into its first third, and its source at the end."""
+    size = F.length("text")
+    edit = lambda start, length, inserted: F.struct(
+        start.cast("long").alias("start"), length.cast("long").alias("length"), inserted.alias("inserted")
+    )
+    return docs.select("doc_id", F.posexplode(F.array(
+        edit(F.lit(0), F.instr("text", "\n"), F.lit("")),
+        edit(F.floor(size / 2), F.lit(20), F.lit("")),
+        edit(F.floor(size / 3), F.lit(0), F.concat(F.lit(" "), "lang", F.lit(" 2nd's"))),
+        edit(F.lit(1 << 40), F.lit(0), F.concat(F.lit("\n"), "source")),
+    )).alias("seq", "e")).select("doc_id", "seq", "e.*")
+
+
+@query
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document before and after four edits."""
+    docs = table(spark, folder, "documents")
+    return token_counts.count(docs, document_edits(docs), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
