@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, planes, shards, token_counts, toxicity
+from slipstream.llm import bpe, planes, repeats, shards, token_counts, toxicity
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -35,6 +35,14 @@ def op3_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return planes.read_digests(spark, out)
 
 
+@query
+def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the words of 35-word windows that occur more than once."""
+    return repeats.remove(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def document_edits(docs: DataFrame) -> DataFrame:
     """Four edits of every document: the first line goes, then every text loses 20 characters in
     the middle, gets its language put into its first third, and its source at the end."""
