@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, planes, repeats, shards, token_counts, toxicity
+from slipstream.llm import bpe, planes, repeats, shards, token_counts, toxicity, vectors
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -26,6 +26,12 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings with cosine of at least 0.95."""
+    return vectors.link(table(spark, folder, "embeddings"), dims=64)
+
+
 @query
 def op3_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents written as byte planes and read back."""
