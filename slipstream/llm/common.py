@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,41 @@ def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Sorted batches cut so that no group of equal keys is split; holds one group and a batch."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        other = (batch[keys] != batch[keys].iloc[-1]).any(axis=1).to_numpy()
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if cut:
+            yield batch.iloc[:cut].reset_index(drop=True)
+        held = batch.iloc[cut:]
+    if held is not None and len(held):
+        yield held.reset_index(drop=True)
+
+
+def pairs_within(rows: pd.DataFrame, keys: list[str], most: int = 65_536) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions p < q of rows with equal keys in a sorted frame, about ``most`` pairs at a time."""
+    starts = np.flatnonzero(np.r_[True, (rows[keys].to_numpy()[1:] != rows[keys].to_numpy()[:-1]).any(axis=1)])
+    ends = np.r_[starts[1:], len(rows)]
+    end_of, large = np.repeat(ends, ends - starts), (ends - starts) > 64
+    small = np.flatnonzero(~np.repeat(large, ends - starts))
+    for lag in range(1, 64):
+        small = small[small + lag < end_of[small]]
+        for at in range(0, len(small), most):
+            yield small[at:at + most], small[at:at + most] + lag
+    for a, b in zip(starts[large], ends[large]):
+        step = max(1, most // (b - a))
+        for at in range(a, b, step):
+            p, q = np.meshgrid(np.arange(at, min(at + step, b)), np.arange(a, b), indexing="ij")
+            keep = p < q
+            yield p[keep], q[keep]
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python tasks import this package from where the driver has it.
 

@@ -7,12 +7,34 @@ minimum and a join on the node; links of a hot node are split by the adaptive sk
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.llm.common import written
 
 
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest position reachable from each of n positions by the links (a, b)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def spanning(names: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between names that join what the links (a, b) of positions join: at most one a name."""
+    known, place = np.unique(names, return_inverse=True)
+    root = known[forest(len(known), place[a], place[b])]
+    return known[root != known], root[root != known]
+
+
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(
         F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40)),

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, planes, repeats, shards, token_counts, toxicity, vectors
+from slipstream.llm import bpe, minhash, planes, repeats, shards, token_counts, toxicity, vectors
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -49,6 +49,12 @@ def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-word shingles are alike by 85 in 100."""
+    return minhash.near_duplicates(table(spark, folder, "documents"), size=3, num=85, den=100, least=38)
+
+
 def document_edits(docs: DataFrame) -> DataFrame:
     """Four edits of every document: the first line goes, then every text loses 20 characters in
     the middle, gets its language put into its first third, and its source at the end."""

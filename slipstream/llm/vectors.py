@@ -7,10 +7,10 @@ axes of each rotation a vector lies in PROBES ** AXES buckets of a table. At cos
 dimensions two vectors share a bucket of one table with probability 0.78, so the default ten
 tables miss 3 pairs in ten million; nearer pairs are missed less.
 
-Buckets with one vector are dropped after counting. Larger ones are cut into blocks, and every
-pair of blocks is one task's work: cosines in double precision, then for every link a test that
-this is the first bucket the two share, so that it is counted once. What leaves a task is one row
-per vector with its number of links, and the links of a spanning forest, not the pairs.
+Buckets with one vector are dropped after counting. Larger ones are cut into blocks, and pairs of
+blocks are worked through one after another: cosines in double precision, then for every link a
+test that this is the first bucket the two share, so that it is counted once. What leaves a task
+is one row per vector with its number of links, and the links of a spanning forest, not the pairs.
 
 Vectors that are null, zero, of another length than ``dims``, or hold null or non-finite
 components link with nothing. Equal vectors, also under one id, are different vectors; rows that
@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.llm.common import importable, with_names, written
-from slipstream.llm.components import components
+from slipstream.llm.common import importable, pairs_within, whole_groups, with_names, written
+from slipstream.llm.components import components, spanning
 
 TABLES, AXES, PROBES, SEED = 10, 3, 2, 7
 # Most vectors of one bucket that a task holds of each side.
@@ -65,20 +65,6 @@ def buckets(unit: np.ndarray, tables: int = TABLES) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest position reachable from each of n positions by the links (a, b)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = TABLES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for ``vectors(vec_id, embedding)``.
 
@@ -123,38 +109,40 @@ def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = T
     )
     full = sent.join(units, "row")
 
-    def linked(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        bucket, i, j = (int(k) for k in key)
-        own = rows["own"].to_numpy()
-        unit = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), dims)
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
-        a, b = np.nonzero(unit[left] @ unit[right].T >= threshold)
-        a, b = left[a], right[b]
-        if i == j:
-            a, b = a[a < b], b[a < b]
-        codes = np.stack(rows["codes"].to_numpy()).reshape(len(rows), tables, probes)
-        table, code = bucket >> 32, bucket & 0xFFFFFFFF
-        first = np.ones(len(a), bool)
-        for at in range(0, len(a), 4_096):
-            x, y = codes[a[at:at + 4_096]], codes[b[at:at + 4_096]]
-            shared = (x[:, :, :, None] == y[:, :, None, :]).any(3)
-            earlier = shared[:, :table].any((1, 2))
-            lower = (shared[:, table] & (x[:, table] < code)).any(1)
-            first[at:at + 4_096] = ~(earlier | lower)
-        links = np.bincount(a[first], minlength=len(rows)) + np.bincount(b[first], minlength=len(rows))
-        name = rows["vec_id"].to_numpy()
-        order = np.argsort(name, kind="stable")
-        place = np.empty(len(rows), np.int64)
-        place[order] = np.arange(len(rows))
-        root = name[order][_forest(len(rows), place[a], place[b])[place]]
-        return pd.DataFrame({"row": rows["row"], "links": links, "vec_id": name, "root": root})[
-            (links > 0) | (root != name)
-        ]
-
-    parts = written(full.groupBy("bucket", "i", "j").applyInPandas(
-        linked, "row long, links long, vec_id long, root long"
-    ))
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_groups(batches, ["bucket", "i", "j"]):
+            bucket, own, name = (rows[c].to_numpy() for c in ("bucket", "own", "vec_id"))
+            across = (rows["i"] != rows["j"]).to_numpy()
+            unit = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), dims)
+            codes = np.stack(rows["codes"].to_numpy()).reshape(len(rows), tables, probes)
+            table, code = bucket >> 32, bucket & 0xFFFFFFFF
+            links, ends = np.zeros(len(rows), np.int64), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
+            for p, q in pairs_within(rows, ["bucket", "i", "j"]):
+                meet = ~across[p] | (own[p] != own[q])
+                p, q = p[meet], q[meet]
+                near = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
+                p, q = p[near], q[near]
+                if not len(p):
+                    continue
+                # Counted in the first bucket that the two share.
+                shared = codes[p][:, :, :, None] == codes[q][:, :, None, :]
+                before = np.arange(tables) < table[p][:, None]
+                here = np.take_along_axis(shared.any(3), table[p][:, None, None], 1)[:, 0]
+                lower = np.take_along_axis(codes[p], table[p][:, None, None], 1)[:, 0] < code[p][:, None]
+                first = ~((shared.any((2, 3)) & before).any(1) | (here & lower).any(1))
+                links += np.bincount(p[first], minlength=len(rows)) + np.bincount(q[first], minlength=len(rows))
+                ends[0].append(p[first])
+                ends[1].append(q[first])
+            one, root = spanning(name, np.concatenate(ends[0]), np.concatenate(ends[1]))
+            ids, place = np.unique(name, return_inverse=True)
+            total = np.bincount(place, links, len(ids)).astype(np.int64)
+            yield pd.DataFrame({"vec_id": ids, "links": total, "root": ids})[total > 0]
+            yield pd.DataFrame({"vec_id": one, "links": np.zeros(len(one), np.int64), "root": root})
+
+    parts = written(
+        full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        .mapInPandas(linked, "vec_id long, links long, root long")
+    )
     named = components(parts.where("vec_id <> root").select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     links = parts.groupBy("vec_id").agg(F.sum("links").alias("n"))
     out = every.select("vec_id").join(links, "vec_id", "left").join(
