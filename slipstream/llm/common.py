@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -49,8 +49,14 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
         yield held.reset_index(drop=True)
 
 
-def pairs_within(rows: pd.DataFrame, keys: list[str], most: int = 65_536) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions p < q of rows with equal keys in a sorted frame, about ``most`` pairs at a time."""
+def pairs_within(
+    rows: pd.DataFrame, keys: list[str], most: int = 65_536,
+    test: Callable[[slice, slice], np.ndarray] | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions p < q of rows with equal keys in a sorted frame, about ``most`` pairs at a time.
+
+    Pairs of large groups can be tested by blocks first; the test may let too many through.
+    """
     starts = np.flatnonzero(np.r_[True, (rows[keys].to_numpy()[1:] != rows[keys].to_numpy()[:-1]).any(axis=1)])
     ends = np.r_[starts[1:], len(rows)]
     end_of, large = np.repeat(ends, ends - starts), (ends - starts) > 64
@@ -64,6 +70,8 @@ def pairs_within(rows: pd.DataFrame, keys: list[str], most: int = 65_536) -> Ite
         for at in range(a, b, step):
             p, q = np.meshgrid(np.arange(at, min(at + step, b)), np.arange(a, b), indexing="ij")
             keep = p < q
+            if test is not None:
+                keep &= test(slice(at, min(at + step, b)), slice(a, b))
             yield p[keep], q[keep]
 
 

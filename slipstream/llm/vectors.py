@@ -117,7 +117,8 @@ def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = T
             codes = np.stack(rows["codes"].to_numpy()).reshape(len(rows), tables, probes)
             table, code = bucket >> 32, bucket & 0xFFFFFFFF
             links, ends = np.zeros(len(rows), np.int64), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-            for p, q in pairs_within(rows, ["bucket", "i", "j"]):
+            alike = lambda p, q: unit[p] @ unit[q].T >= threshold - 1e-9
+            for p, q in pairs_within(rows, ["bucket", "i", "j"], test=alike):
                 meet = ~across[p] | (own[p] != own[q])
                 p, q = p[meet], q[meet]
                 near = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
@@ -125,8 +126,9 @@ def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = T
                 if not len(p):
                     continue
                 # Counted in the first bucket that the two share.
-                shared = codes[p][:, :, :, None] == codes[q][:, :, None, :]
-                before = np.arange(tables) < table[p][:, None]
+                upto = int(table[p].max()) + 1
+                shared = codes[p, :upto, :, None] == codes[q, :upto, None, :]
+                before = np.arange(upto) < table[p][:, None]
                 here = np.take_along_axis(shared.any(3), table[p][:, None, None], 1)[:, 0]
                 lower = np.take_along_axis(codes[p], table[p][:, None, None], 1)[:, 0] < code[p][:, None]
                 first = ~((shared.any((2, 3)) & before).any(1) | (here & lower).any(1))
