@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, minhash, planes, repeats, shards, token_counts, toxicity, vectors
+from slipstream.llm import bpe, decontam, minhash, planes, repeats, shards, token_counts, toxicity, vectors
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -41,6 +41,17 @@ def op3_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return planes.read_digests(spark, out)
 
 
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlap of every document with the benchmark."""
+    return decontam.mark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op4_decontamination"] = "with " + decontam.OVERLAP_SQL.format(docs="documents") + """
+select doc_id, coalesce(n, 0) as n_overlap, n is not null as contaminated
+from documents left join _over using (doc_id)"""
+
+
 @query
 def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the words of 35-word windows that occur more than once."""
