@@ -137,8 +137,8 @@ _d as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')
     lambda w: w <> '') as ws from {{docs}}),
 _b as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'),
     lambda w: w <> '') as ws from benchmark),
-_dw as (select doc_id, ws[i] as w, i from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from _d)),
-_bw as (select item_id, ws[i] as w, i from (select item_id, ws, unnest(range(1, len(ws) + 1)) as i from _b)),
+_dw as (select doc_id, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as i from _d),
+_bw as (select item_id, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as i from _b),
 _dg as (select *, w || ' ' || lead(w, 1) over p || ' ' || lead(w, 2) over p || ' ' || lead(w, 3) over p as g
     from _dw window p as (partition by doc_id order by i)),
 _bg as (select *, w || ' ' || lead(w, 1) over p || ' ' || lead(w, 2) over p || ' ' || lead(w, 3) over p as g
