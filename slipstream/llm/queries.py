@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, decontam, minhash, planes, repeats, shards, token_counts, toxicity, vectors
+from slipstream.llm import bpe, decontam, lines, minhash, planes, repeats, shards, token_counts, toxicity, vectors
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -32,6 +32,21 @@ def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.link(table(spark, folder, "embeddings"), dims=64)
 
 
+@query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without lines that repeat an earlier line, or one an edit away."""
+    return lines.deduplicate(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+SQL["op2_line_dedup"] = "with " + lines.LINES_SQL.replace("DOCS", "documents") + """
+select doc_id, coalesce(len(string_split(d.text, chr(10))), 0) as n_lines,
+    case when d.text is null then 0 else len(string_split(d.text, chr(10))) - coalesce(n, 0) end as n_removed,
+    case when d.text is not null then sha256(coalesce(_kept.text, '')) end as text_sha256
+from documents d left join _kept using (doc_id)"""
+
+
 @query
 def op3_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents written as byte planes and read back."""
