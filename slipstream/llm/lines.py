@@ -72,10 +72,11 @@ def _cut(rows: DataFrame, parts: Column) -> DataFrame:
 
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows whose key belongs to two lines or more, one of them not as the longer one."""
-    rows = written(rows)
-    keys = rows.groupBy("key").agg(
+    # Pieces are made twice instead of being written; the keys are few, and their size decides
+    # whether the rows must be shuffled at all.
+    keys = written(rows.groupBy("key").agg(
         F.count("*").alias("_n"), F.min("longer").alias("_some")
-    ).where("_n > 1 and not _some").select("key")
+    ).where("_n > 1 and not _some").select("key"))
     return written(rows.join(keys, "key", "left_semi"))
 
 
