@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ PATTERN = (
 )
 SLICE_BYTES = 4 << 20
 # Most pre-tokens whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -174,6 +175,21 @@ def slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch that hold about ``SLICE_BYTES`` of a text or list column, or one row."""
+    values = batch.column(column)
+    text = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
+    sizes = pc.binary_length(values) if text else pc.multiply(pc.list_value_length(values), 4)
+    start, held = 0, 0
+    for at, size in enumerate(pc.fill_null(sizes, 0).to_pylist()):
+        if at > start and held + size > SLICE_BYTES:
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     kept = [n for n in batch.schema.names if n != name]
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], values], [*kept, name])
@@ -187,9 +203,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """``docs`` with the ids of ``text`` as a new array column; null texts give an empty array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            coded = [c for part in slices(texts) for c in bpe.encode(part)]
+        for batch in (p for b in batches for p in parts(b, text)):
+            coded = bpe.encode([t or "" for t in batch.column(text).to_pylist()])
             flat = np.frombuffer(b"".join(coded), np.int32)
             ends = np.cumsum([0, *[len(c) // 4 for c in coded]])
             yield _with_column(batch, ids, pa.ListArray.from_arrays(
@@ -208,14 +223,14 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, ids)):
             column = batch.column(ids)
-            values = column.flatten().to_numpy(zero_copy_only=False).tolist()
-            if len(values) and min(values) < 0:
+            values = column.flatten().to_numpy(zero_copy_only=False)
+            if len(values) and values.min() < 0:
                 raise ValueError("negative token id")
             out, at = [], 0
-            for size in (column.value_lengths().to_pylist() if len(column) else []):
-                out.append(None if size is None else bpe.decode(values[at:at + size]))
+            for size in column.value_lengths().to_pylist():
+                out.append(None if size is None else bpe.decode(values[at:at + size].tolist()))
                 at += size or 0
             yield _with_column(batch, text, pa.array(out, pa.string()))
 
