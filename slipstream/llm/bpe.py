@@ -70,6 +70,7 @@ class Bpe:
         self.marks = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None
+        self.first, self.pairs = self.symbols.tolist(), None
         self.known: dict[str, bytes] = {}
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +125,23 @@ class Bpe:
         ends = (4 * np.cumsum(np.bincount(owner, minlength=len(raw)))).tolist()
         return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
+    def encode_word(self, word: str) -> bytes:
+        """Ids of one short pre-token; rounds over a single word need no arrays."""
+        if self.pairs is None:
+            self.pairs = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+        ids = [self.first[b] for b in word.encode("utf-8", "surrogatepass")]
+        while True:
+            found = [self.pairs.get(a * self.base + b) for a, b in zip(ids, ids[1:])]
+            best = min((f for f in found if f), default=None)
+            if best is None:
+                return np.array(ids, np.int32).tobytes()
+            out, at = [], 0
+            while at < len(ids):
+                hit = at < len(found) and found[at] == best
+                out.append(best[1] if hit else ids[at])
+                at += 2 if hit else 1
+            ids = out
+
     def remember(self, words: list[str]) -> dict[str, bytes]:
         """Ids, as bytes of 32-bit integers, of at least these pre-tokens."""
         missing = set(words).difference(self.known)
@@ -132,7 +150,10 @@ class Bpe:
             missing = set(words)
         if missing:
             new = list(missing)
-            self.known.update(zip(new, self.encode_words(new)))
+            if len(new) < 32 and max(map(len, new)) < 64:
+                self.known.update((w, self.encode_word(w)) for w in new)
+            else:
+                self.known.update(zip(new, self.encode_words(new)))
         return self.known
 
     def pieces(self, text: str) -> list[str]:

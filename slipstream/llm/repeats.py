@@ -6,7 +6,7 @@ places there is a shift below the period that brings both to a cover place. So t
 share an anchor, the words from a cover place that fit into the window whatever the shift
 (``WINDOW - PERIOD + 1`` of them), and only those are hashed: 5 of 21 places.
 
-1. Anchors of every document are hashed (one written row per document).
+1. Anchors of every document are hashed.
 2. Anchor hashes are counted, combined before the shuffle; those that occur once go.
 3. Repeated anchors are joined back, which gives the places in each document where a repeated
    window can lie: up to a period before a repeated anchor.
@@ -151,7 +151,8 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "text"],
             )
 
-    hashed = written(docs.mapInArrow(anchors, "doc_id long, _key long, anchors array<long>"))
+    # Anchors are made for the count and again for the join; written, they are as large as the text.
+    hashed = docs.mapInArrow(anchors, "doc_id long, _key long, anchors array<long>")
     found = hashed.select("doc_id", "_key", F.posexplode("anchors").alias("place", "anchor"))
     likely = written(_repeated(found, ["anchor"]).select("doc_id", "_key", "place"))
     full = written(_with_places(docs, likely).where("places is not null").mapInArrow(

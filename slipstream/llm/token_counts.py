@@ -23,12 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.llm.bpe import Bpe, load
+from slipstream.llm.bpe import Bpe, load, parts
 from slipstream.llm.common import importable, text_key, with_names
 
 # Pre-tokens of a leaf when the tree is built; a leaf that grows to eight times that is split.
@@ -46,38 +45,37 @@ class Counter:
         self.bpe, self.encoded = bpe, 0
 
     def total(self, words: list[str]) -> int:
-        known = self.bpe.remember(words)
         self.encoded += len(words)
-        return sum(len(known[w]) for w in words) // 4
+        try:
+            return sum(map(len, map(self.bpe.known.__getitem__, words))) // 4
+        except KeyError:
+            return sum(map(len, map(self.bpe.remember(words).__getitem__, words))) // 4
 
 
 class Document:
     """Leaves of pre-tokens under a segment tree of character and token sums."""
 
-    def __init__(self, text: str, counter: Counter):
+    def __init__(self, words: list[str], counter: Counter):
         self.counter = counter
-        words = counter.bpe.cut(text)
         self._build([words[i:i + LEAF] for i in range(0, len(words), LEAF)] or [[]])
 
     def _build(self, leaves: list[list[str]], tokens: list[int] | None = None) -> None:
         self.leaves = leaves
-        self.width = 1 << max(0, len(leaves) - 1).bit_length()
-        self.sums = np.zeros((2 * self.width, 2), np.int64)
-        at = slice(self.width, self.width + len(leaves))
-        self.sums[at, 0] = [sum(map(len, leaf)) for leaf in leaves]
-        self.sums[at, 1] = tokens or [self.counter.total(leaf) for leaf in leaves]
-        level = self.width
-        while level > 1:
-            self.sums[level // 2:level] = self.sums[level:2 * level].reshape(-1, 2, 2).sum(1)
-            level //= 2
+        self.width = width = 1 << max(0, len(leaves) - 1).bit_length()
+        empty = [0] * (width - len(leaves))
+        self.chars = [0] * width + [sum(map(len, leaf)) for leaf in leaves] + empty
+        self.tokens = [0] * width + (tokens or [self.counter.total(leaf) for leaf in leaves]) + empty
+        for node in range(width - 1, 0, -1):
+            self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
+            self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     @property
     def n_chars(self) -> int:
-        return int(self.sums[1, 0])
+        return self.chars[1]
 
     @property
     def n_tokens(self) -> int:
-        return int(self.sums[1, 1])
+        return self.tokens[1]
 
     def text(self) -> str:
         return "".join(w for leaf in self.leaves for w in leaf)
@@ -86,18 +84,20 @@ class Document:
         """The leaf that holds a character (the last one for the end), and where the leaf starts."""
         node, start = 1, 0
         while node < self.width:
-            left = int(self.sums[2 * node, 0])
             node *= 2
-            if char >= start + left and self.sums[node + 1, 0] > 0:
+            left = self.chars[node]
+            if char >= start + left and self.chars[node + 1] > 0:
                 node, start = node + 1, start + left
         return node - self.width, start
 
     def _set(self, leaf: int, words: list[str]) -> None:
         self.leaves[leaf] = words
         node = leaf + self.width
-        change = np.array([sum(map(len, words)), self.counter.total(words)]) - self.sums[node]
+        chars = sum(map(len, words)) - self.chars[node]
+        tokens = self.counter.total(words) - self.tokens[node]
         while node:
-            self.sums[node] += change
+            self.chars[node] += chars
+            self.tokens[node] += tokens
             node //= 2
 
     def edit(self, start: int, length: int, inserted: str) -> None:
@@ -149,7 +149,7 @@ class Document:
         """New words for a run of leaves; the tree is built anew if a leaf becomes too large."""
         if len(words) > 8 * LEAF:
             parts = [words[i:i + LEAF] for i in range(0, len(words), LEAF)]
-            tokens = self.sums[self.width:self.width + len(self.leaves), 1].tolist()
+            tokens = self.tokens[self.width:self.width + len(self.leaves)]
             tokens[first:last + 1] = [self.counter.total(p) for p in parts]
             self._build([*self.leaves[:first], *parts, *self.leaves[last + 1:]], tokens)
             return
@@ -166,33 +166,34 @@ def count(docs: DataFrame, edits: DataFrame, path: str) -> DataFrame:
     """
     names = [f.split()[0] for f in RESULT.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, held, now = Counter(load(path)), [], None
 
-        def close() -> Iterator[pd.DataFrame]:
+        def close() -> Iterator[pa.RecordBatch]:
             if held:
-                yield pd.DataFrame(
-                    [(now, n, before, d.n_tokens, d.n_chars, encoded) for d, before, n, encoded in held],
-                    columns=names,
-                ).astype({"doc_id": "Int64"})
+                rows = [(now, n, before, d.n_tokens, d.n_chars, encoded) for d, before, n, encoded in held]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(column, pa.int32() if name == "n_edits" else pa.int64())
+                    for name, column in zip(names, zip(*rows))
+                ], names)
             held.clear()
 
-        for batch in batches:
-            for name, is_edit, text, start, length in zip(
-                batch["doc_id"].astype("Int64").tolist(), batch["_edit"], batch["text"],
-                batch["start"], batch["length"],
-            ):
-                name = None if name is pd.NA or name is None else name
+        for batch in (p for b in batches for p in parts(b, "text")):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "_edit", "text", "start", "length")]
+            # The words of all texts of a piece are encoded together.
+            cut = [None if is_edit else counter.bpe.cut(t or "") for _, is_edit, t, *_ in zip(*columns)]
+            counter.bpe.remember([w for words in cut if words for w in words])
+            for words, name, is_edit, text, start, length in zip(cut, *columns):
                 if name != now or name is None:
                     yield from close()
                     now = name
                 if not is_edit:
-                    document = Document(text or "", counter)
+                    document = Document(words, counter)
                     held.append([document, document.n_tokens, 0, 0])
                 else:
                     for state in held:
                         encoded = counter.encoded
-                        state[0].edit(int(start), int(length), text)
+                        state[0].edit(start, length, text)
                         state[2] += 1
                         state[3] += counter.encoded - encoded
         yield from close()
@@ -215,4 +216,4 @@ def count(docs: DataFrame, edits: DataFrame, path: str) -> DataFrame:
     )
     return rows.unionByName(changes).repartition("_place").sortWithinPartitions(
         "doc_id", "_edit", "seq", "start", "length", "text"
-    ).select("doc_id", "_edit", "text", "start", "length").mapInPandas(run, RESULT)
+    ).select("doc_id", "_edit", "text", "start", "length").mapInArrow(run, RESULT)
