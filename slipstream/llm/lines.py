@@ -47,12 +47,17 @@ def _line(x: Column) -> Column:
     return F.trim(x, F.lit(" \t\r\x0b\x0c"))
 
 
+def _size() -> Column:
+    """Characters of a piece, as the shorter line has it: both lines must be cut alike."""
+    return F.length("piece") - F.col("longer").cast("int")
+
+
 def _cut(rows: DataFrame, parts: Column) -> DataFrame:
     """Pieces of pieces: rows (first, key, longer, piece), each once per part.
 
     A piece of n characters (the shorter line's; a longer line has one more) is cut at i * n / parts.
     """
-    rows = rows.withColumn("_parts", parts).withColumn("_n", F.length("piece") - F.col("longer").cast("int"))
+    rows = rows.withColumn("_parts", parts).withColumn("_n", _size())
     rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     rows = rows.withColumns({
         "_from": F.floor(F.col("_i") * F.col("_n") / F.col("_parts")).cast("int"),
@@ -111,11 +116,11 @@ def near_earlier(firsts: DataFrame) -> DataFrame:
     entered = firsts.select(
         "first", F.explode(F.array(F.lit(False), F.lit(True))).alias("longer"), F.col("line").alias("piece"), size.alias("_l"),
     ).select("first", F.xxhash64(F.col("_l") - F.col("longer").cast("int")).alias("key"), "longer", "piece")
-    rows = _shared(_cut(entered, F.greatest(F.lit(2), F.ceil(F.length("piece") / 512).cast("int"))))
+    rows = _shared(_cut(entered, F.greatest(F.lit(2), F.ceil(_size() / 512).cast("int"))))
     # Pieces become shorter by a factor each time: as many rounds as the longest line needs.
-    while (rows.agg(F.max(F.length("piece"))).first()[0] or 0) > PIECE + 1:
+    while (rows.agg(F.max(_size())).first()[0] or 0) > PIECE:
         rows = _shared(_cut(rows, F.when(
-            F.length("piece") > PIECE + 1, F.least(F.lit(CUTS), F.ceil(F.length("piece") / PIECE).cast("int"))
+            _size() > PIECE, F.least(F.lit(CUTS), F.ceil(_size() / PIECE).cast("int"))
         ).otherwise(F.lit(1))))
     variants = written(_variants(rows))
     entry = F.struct("first", "piece")
