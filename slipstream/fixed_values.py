@@ -87,6 +87,8 @@ INTENT_PATTERNS = (
     (r"fll.atl|atlanta|fll to atl", "one_route_over_time"),
 )
 DEFAULT_INTENT = "best_otp_routes"
+# Route of the report on one route.
+DEFAULT_ROUTE = "FLL-ATL"
 
 # Model features in training order.
 FEATURES = (

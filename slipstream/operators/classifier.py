@@ -175,7 +175,10 @@ def cross_validate(
     validator = CrossValidator(
         estimator=tree_learner(features, **overrides),
         estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
+        # Zero bins: the exact curve, as in the evaluation of scores.
+        evaluator=BinaryClassificationEvaluator(
+            labelCol=LABEL, metricName="areaUnderROC", numBins=0
+        ),
         numFolds=folds, foldCol="fold",
     )
     fitted = validator.fit(_vectors(placed, features, ["fold"]))

@@ -131,20 +131,19 @@ def percentiles(
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per key, one column per point.
 
+    A key whose values are all null has null percentiles.
+
     Equal values are counted before the shuffle. ``few_values`` says that a group holds a bounded
     number of distinct values (clamped whole minutes, months); then one aggregate is enough.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count("*").alias("_n"))
-    )
+    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     if few_values:
         return counted.groupBy(*keys).agg(*[
             F.percentile(value, F.lit(p), F.col("_n")).alias(name) for name, p in points.items()
         ])
     # Used for the size check, the ranks and the totals: written once instead of made three times.
-    counted = stage(counted)
+    every = stage(counted)
+    counted = every.where(F.col(value).isNotNull())
     ranked = running_totals(counted, keys, [F.col(value)], {"_upto": F.col("_n")}, task_rows)
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     ranked = attach(ranked, sizes, keys) if keys else ranked.withColumn("_size", sizes.scalar())
@@ -155,4 +154,5 @@ def percentiles(
         low = F.min(F.when(F.col("_upto") > F.floor(position), F.col(value)))
         high = F.min(F.when(F.col("_upto") > F.ceil(position), F.col(value)))
         parts.append((low + (high - low) * share).alias(name))
-    return ranked.groupBy(*keys).agg(*parts)
+    found = ranked.groupBy(*keys).agg(*parts)
+    return attach(every.select(*keys).distinct(), found, keys) if keys else found

@@ -19,9 +19,13 @@ DEFAULTS = {
 
 
 def hourly_weather(weather: DataFrame) -> DataFrame:
-    """One row per (date, hour): the latest observation of the hour."""
+    """One row per (date, hour): the latest observation of the hour.
+
+    Observations of one time are ordered by station and then by their values, nulls lowest.
+    """
     kept = [c for c in WEATHER_COLUMNS if c in weather.columns]
-    latest = F.max_by(F.struct(*kept), F.col("valid"))
+    order = [c for c in ("valid", "station") if c in weather.columns]
+    latest = F.max_by(F.struct(*kept), F.struct(*order, *[c for c in kept if c not in order]))
     return (
         weather.groupBy(F.to_date("valid").alias("wx_date"), F.hour("valid").alias("wx_hour"))
         .agg(latest.alias("wx"))

@@ -64,7 +64,9 @@ def prepare_scenarios(scenarios: DataFrame, routes: DataFrame | None = None) ->
     reason = first_match([
         (F.col("strategy").isNull(), "unknown schedule_change"),
         (F.col("_route").isNull(), "unknown route"),
+        (delta.isNull(), "no flight change given"),
         (after <= 0, "no flights left"),
+        (F.col("simulation_runs") <= 0, "no runs"),
     ])
     return (
         scenarios.join(config, scenarios["route"] == config["_route"], "left")

@@ -53,11 +53,12 @@ def report_for(tables: dict[str, DataFrame], intent: str, **options) -> DataFram
 
 
 def run_sql(spark: SparkSession, text: str) -> tuple[DataFrame | None, str]:
-    """Analyse a query; (result, "") or (None, message). Only queries are accepted."""
-    statement = text.strip().rstrip(";").lstrip("(").lstrip().lower()
-    if not statement.startswith(("select", "with", "from", "values", "table ")):
-        return None, "only queries are accepted"
+    """Analyse a query; (result, "") or (None, message).
+
+    The text is parsed as a subquery, so that the parser itself refuses everything that is not a
+    query (insertions also behind WITH or FROM, definitions, settings) before anything runs.
+    """
     try:
-        return spark.sql(text.strip().rstrip(";")), ""
+        return spark.sql("SELECT * FROM (\n" + text.strip().rstrip(";") + "\n)"), ""
     except PySparkException as error:
         return None, str(error)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slipstream import fixed_values as fv
 from slipstream.functions.columns import first_match, nullif_zero, ratio, rounded, season, year_month
 
 LONG_SEASONS = ("Winter (Dec-Feb)", "Spring (Mar-May)", "Summer (Jun-Aug)", "Fall (Sep-Nov)")
@@ -146,7 +147,7 @@ def december_by_route(performance: DataFrame) -> DataFrame:
     return _routes_by_otp(december, "avg_otp_pct").orderBy(up("avg_otp_pct"), up("Route"))
 
 
-def one_route_over_time(performance: DataFrame, route: str) -> DataFrame:
+def one_route_over_time(performance: DataFrame, route: str = fv.DEFAULT_ROUTE) -> DataFrame:
     return performance.where(F.col("Route") == route).select(
         "Year", "Month",
         percent("otp_rate", 1).alias("otp_pct"),

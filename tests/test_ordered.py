@@ -45,9 +45,10 @@ def test_percentiles(spark, few_values, task_rows):
         r.g: tuple(r[n] for n in points)
         for r in percentiles(df, ["g"], "x", points, few_values, task_rows).collect()
     }
-    groups = {g for _, g, x in rows if x is not None}
-    assert got.keys() == groups
-    for g in groups:
+    assert got.keys() == {g for _, g, _ in rows}
+    # A key without values stays, with null percentiles.
+    assert got.pop("NULLS") == (None,) * len(points)
+    for g in got:
         values = [x for _, h, x in rows if h == g and x is not None]
         assert got[g] == pytest.approx(np.percentile(values, [p * 100 for p in points.values()]))
 

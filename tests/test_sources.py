@@ -118,8 +118,11 @@ def test_catalog(spark, small):
     df, error = catalog.run_sql(spark, "select count(*) n from route_performance;")
     assert error == "" and df.first().n > 0
     assert catalog.run_sql(spark, "select nothing from route_performance")[0] is None
-    assert catalog.run_sql(spark, "drop view route_performance") == (
-        None, "only queries are accepted")
+    for text in ("drop view route_performance", "create view w as select 1", "set a=b", "select 1) x; drop view w --"):
+        result, error = catalog.run_sql(spark, text)
+        assert result is None and error
+    assert catalog.run_sql(spark, "with x as (select 1 as a) select a from x -- last")[0].collect()[0].a == 1
+    assert catalog.report_for(tables, "one_route_over_time").columns[0] == "Year"
     best = catalog.report_for(tables, "best_otp_routes", k=3)
     assert best.count() == 3
     summary = reports.result_summary(best).first()
