@@ -69,15 +69,15 @@ def fit(
     the prior.
     """
     rows, n, m = [*positive, *unlabelled], len(positive), len(unlabelled)
-    used, flat = np.unique(np.concatenate(rows), return_inverse=True)
-    row = np.repeat(np.arange(n + m), np.fromiter(map(len, rows), np.int64, n + m))
-    toxic = np.bincount(flat[row < n], minlength=len(used))
-    other = np.bincount(flat[row >= n], minlength=len(used))
+    size, split = 1 << BITS, sum(map(len, positive))
+    flat = np.concatenate(rows).astype(np.int32)
+    row = np.repeat(np.arange(n + m, dtype=np.int32), np.fromiter(map(len, rows), np.int64, n + m))
+    toxic, other = np.bincount(flat[:split], minlength=size), np.bincount(flat[split:], minlength=size)
     scale = np.log((toxic + 1) / (n + 2)) - np.log((other + 1) / (m + 2))
     scale[toxic < least] = 0
     counted = scale[flat] != 0
     flat, row = flat[counted], row[counted]
-    value, w = scale[flat], np.zeros(len(used) + 1)
+    value, w = scale[flat], np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
@@ -90,15 +90,13 @@ def fit(
             slope[:n], slope[n:] = -prior / n, p[n:] / m
         else:
             slope[:n], slope[n:] = prior * p[:n] / n, -p[n:] / m
-        grad = np.r_[np.bincount(flat, slope[row] * value, len(used)), slope.sum()]
+        grad = np.r_[np.bincount(flat, slope[row] * value, size), slope.sum()]
         grad[:-1] += decay * w[:-1]
         mean += 0.1 * (grad - mean)
         square += 0.001 * (grad ** 2 - square)
         w -= rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
     z = np.bincount(row, w[flat] * value, n + m)[n:] + w[-1]
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[used] = w[:-1] * scale
-    return Model(weights, float(w[-1] - np.quantile(z, 1 - prior) / 2))
+    return Model((w[:-1] * scale).astype(np.float32), float(w[-1] - np.quantile(z, 1 - prior) / 2))
 
 
 def held_out(column: str = "doc_id"):
@@ -126,13 +124,13 @@ def train(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"kind": batch["kind"], "words": [features(t) for t in batch["text"]]})
+            yield pd.DataFrame({"kind": batch["kind"], "words": [features(t).astype(np.int32).tobytes() for t in batch["text"]]})
 
     importable(docs.sparkSession)
     rows = may.join(F.broadcast(chosen), "doc_id").select("kind", "text").mapInPandas(
-        run, "kind int, words array<long>"
+        run, "kind int, words binary"
     ).collect()
-    sample = [[np.array(r["words"], np.int64) for r in rows if r["kind"] == k] for k in (1, 0)]
+    sample = [[np.frombuffer(r["words"], np.int32) for r in rows if r["kind"] == k] for k in (1, 0)]
     if not sample[0] or not sample[1] or not 0 < prior < 1:
         return Model(np.zeros(1 << BITS, np.float32), 30.0 if sample[0] and prior >= 1 else -30.0)
     return fit(*sample, prior)
