@@ -7,10 +7,14 @@ axes of each rotation a vector lies in PROBES ** AXES buckets of a table. At cos
 dimensions two vectors share a bucket of one table with probability 0.78, so the default ten
 tables miss 3 pairs in ten million; nearer pairs are missed less.
 
-Buckets with one vector are dropped after counting. Larger ones are cut into blocks, and pairs of
-blocks are worked through one after another: cosines in double precision, then for every link a
-test that this is the first bucket the two share, so that it is counted once. What leaves a task
-is one row per vector with its number of links, and the links of a spanning forest, not the pairs.
+Buckets with one vector are dropped after counting. Vectors of buckets with more than ``DENSE`` are
+held against the mean of their fullest bucket. Those within half the angle of a link form its core:
+by the triangle inequality each of them is linked to all others, so their links are the size of
+the core, and no pairs are made. A bucket is cut into blocks, and pairs of blocks are worked
+through one after another, but for those that hold only the core: cosines in double precision, then
+for every link a test that this is the first bucket the two share, so that it is counted once. What
+leaves a task is one row per vector with its number of links, and the links of a spanning forest,
+not the pairs.
 
 Vectors that are null, zero, of another length than ``dims``, or hold null or non-finite
 components link with nothing. Equal vectors, also under one id, are different vectors; rows that
@@ -34,6 +38,8 @@ from slipstream.llm.components import components, spanning
 TABLES, AXES, PROBES, SEED = 10, 3, 2, 7
 # Most vectors of one bucket that a task holds of each side.
 BLOCK = 1_024
+# Vectors of a bucket from which on a core is looked for; results do not depend on it.
+DENSE = 256
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -65,6 +71,37 @@ def buckets(unit: np.ndarray, tables: int = TABLES) -> np.ndarray:
     return np.stack(out, 1)
 
 
+def _cores(units: DataFrame, posted: DataFrame, dense: DataFrame, dims: int, threshold: float) -> DataFrame:
+    """(row, vec_id, core): vectors within half the angle of a link from the mean of their fullest bucket."""
+    half = max(0.0, (1 + threshold) / 2) ** 0.5 + 1e-9
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            unit = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), dims)
+            cores, place = np.unique(rows["core"].to_numpy(), return_inverse=True)
+            total = np.zeros((len(cores), dims))
+            np.add.at(total, place, unit)
+            yield pd.DataFrame({"core": cores, "total": list(total)})
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            unit = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), dims)
+            centre = np.array(rows["centre"].tolist(), np.float64).reshape(len(rows), dims)
+            near = np.einsum("ij,ij->i", unit, centre) >= half * np.linalg.norm(centre, axis=1)
+            yield rows.loc[near & centre.any(axis=1), ["row", "vec_id", "core"]]
+
+    homes = posted.join(dense, "bucket").groupBy("row").agg(F.max(F.struct("n", "bucket")).alias("x"))
+    rows = written(units.join(homes, "row").select("row", "vec_id", "unit", F.col("x.bucket").alias("core")))
+    # A mean is added up per batch, then by place: no task sees all vectors of a bucket.
+    parts = rows.select("core", "unit").mapInPandas(sums, "core long, total array<double>")
+    centres = parts.select("core", F.posexplode("total").alias("at", "x")).groupBy("core", "at").agg(
+        F.sum("x").alias("x")
+    ).groupBy("core").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("all")).select(
+        "core", F.transform("all", lambda p: p["x"]).alias("centre")
+    )
+    return written(rows.join(written(centres), "core").mapInPandas(inside, "row long, vec_id long, core long"))
+
+
 def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = TABLES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for ``vectors(vec_id, embedding)``.
 
@@ -98,28 +135,49 @@ def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = T
     posted = units.select("row", F.posexplode("codes").alias("at", "code")).select(
         "row", (F.floor(F.col("at") / probes) * (1 << 32) + F.col("code")).cast("long").alias("bucket")
     )
-    counted = written(
-        posted.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    )
-    # A row of block i meets all blocks: it is sent to the pair (i, j) for every j.
-    sent = posted.join(counted, "bucket").withColumn("own", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
-    sent = sent.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "row", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    counted = written(posted.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    dense = counted.where(F.col("n") > DENSE)
+    cores = _cores(units, posted, dense, dims, threshold)
+    tagged = posted.join(cores.select("row", "core"), "row", "left")
+    # The largest core of each bucket has its own blocks, behind those of all other vectors.
+    most = tagged.where("core is not null").join(dense, "bucket", "left_semi").groupBy("bucket", "core").agg(
+        F.count("*").alias("m")
+    ).groupBy("bucket").agg(F.max(F.struct("m", "core")).alias("x"))
+    inner = F.coalesce("x.m", F.lit(0))
+    blocks = written(counted.join(most, "bucket", "left").select(
+        "bucket", F.col("x.core").alias("main"),
+        F.ceil((F.col("n") - inner) / BLOCK).cast("int").alias("outer"), F.ceil(inner / BLOCK).cast("int").alias("inner"),
+    ))
+    # A vector of block i meets all blocks: it is sent to the pair (i, j) for every j. Vectors of
+    # the core only meet the others.
+    is_main = F.coalesce(F.col("core") == F.col("main"), F.lit(False))
+    number = F.xxhash64("row")
+    sent = tagged.join(blocks, "bucket").withColumn("meets", F.when(is_main, F.col("outer")).otherwise(
+        F.col("outer") + F.col("inner")
+    )).where("meets > 0").withColumn("own", F.when(
+        is_main, F.col("outer") + F.pmod(number, F.greatest("inner", F.lit(1)))
+    ).otherwise(F.pmod(number, F.greatest("outer", F.lit(1)))).cast("int"))
+    sent = sent.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("meets") - 1))).select(
+        "bucket", "row", F.coalesce("core", F.lit(-1)).alias("core"), "own",
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
     )
     full = sent.join(units, "row")
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in whole_groups(batches, ["bucket", "i", "j"]):
-            bucket, own, name = (rows[c].to_numpy() for c in ("bucket", "own", "vec_id"))
+            bucket, own, core, name = (rows[c].to_numpy() for c in ("bucket", "own", "core", "vec_id"))
             across = (rows["i"] != rows["j"]).to_numpy()
             unit = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), dims)
             codes = np.stack(rows["codes"].to_numpy()).reshape(len(rows), tables, probes)
             table, code = bucket >> 32, bucket & 0xFFFFFFFF
             links, ends = np.zeros(len(rows), np.int64), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-            alike = lambda p, q: unit[p] @ unit[q].T >= threshold - 1e-9
+            alike = lambda p, q: (
+                (unit[p] @ unit[q].T >= threshold - 1e-9)
+                & ((core[p, None] != core[q]) | (core[p, None] < 0))
+                & (~across[p, None] | (own[p, None] != own[q]))
+            )
             for p, q in pairs_within(rows, ["bucket", "i", "j"], test=alike):
-                meet = ~across[p] | (own[p] != own[q])
+                meet = (~across[p] | (own[p] != own[q])) & ((core[p] != core[q]) | (core[p] < 0))
                 p, q = p[meet], q[meet]
                 near = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
                 p, q = p[near], q[near]
@@ -141,10 +199,12 @@ def link(vectors: DataFrame, dims: int, threshold: float = 0.95, tables: int = T
             yield pd.DataFrame({"vec_id": ids, "links": total, "root": ids})[total > 0]
             yield pd.DataFrame({"vec_id": one, "links": np.zeros(len(one), np.int64), "root": root})
 
-    parts = written(
-        full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-        .mapInPandas(linked, "vec_id long, links long, root long")
+    met = full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInPandas(
+        linked, "vec_id long, links long, root long"
     )
+    # In a core all are linked with each other.
+    sizes = cores.groupBy("core").agg(F.count("*").alias("n"), F.min("vec_id").alias("root"))
+    parts = written(met.union(cores.join(sizes, "core").select("vec_id", F.col("n") - 1, "root")))
     named = components(parts.where("vec_id <> root").select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     links = parts.groupBy("vec_id").agg(F.sum("links").alias("n"))
     out = every.select("vec_id").join(links, "vec_id", "left").join(

@@ -209,10 +209,15 @@ def test_minhash(spark, texts, size, num, least, monkeypatch):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_vectors(spark):
+@pytest.mark.parametrize(("dense", "block"), [(256, 1_024), (2, 1_024), (2, 7)])
+def test_vectors(spark, monkeypatch, dense, block):
+    # Tasks get the small limits with the function, which is made on the driver.
+    monkeypatch.setattr(vectors, "DENSE", dense)
+    monkeypatch.setattr(vectors, "BLOCK", block)
     rng = np.random.default_rng(1)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 16)))]
     near = [(100 + i, (rng.normal(size=16) * 0.02 + np.ones(16)).tolist()) for i in range(40)]
+    near += [(140 + i, (rng.normal(size=16) * 0.2 + np.ones(16)).tolist()) for i in range(40)]
     odd = [(200, None), (201, [0.0] * 16), (202, [float("nan")] * 16), (203, [float("inf")] + [1.0] * 15),
            (204, [None] + [1.0] * 15), (205, [1.0] * 3), (206, []), (None, [1.0] * 16), (207, [1e-200] * 16)]
     same = [(300, rows[5][1]), (301, rows[5][1]), (301, rows[7][1])]
