@@ -90,12 +90,10 @@ query("j1_weather_join", LW + f"select {_quoted(*J1)} from legs_wx".replace(
 
 @query("j2_capacity_with_punctuality", with_sql(SHIPMENTS, CAPACITY, PERFORMANCE) + """
 select c."Route", c."YearMonth", c."Passengers", r.otp_rate
-from capacity c left join route_performance r using ("Route", "Year", "Month")
-where c."LoadFactor" > 0.42""")
+from capacity c left join route_performance r using ("Route", "Year", "Month")""")
 def _j2(s: SparkSession, d: str) -> DataFrame:
     flights = ad.shipments(s, d)
-    busy = ad.capacity(flights).where(F.col("LoadFactor") > 0.42)
-    joined = views.capacity_utilization(busy, views.route_performance(flights))
+    joined = views.capacity_utilization(ad.capacity(flights), views.route_performance(flights))
     return joined.select("Route", "YearMonth", "Passengers", "otp_rate")
 
 

@@ -151,7 +151,11 @@ def _best_run(s: SparkSession, d: str) -> DataFrame:
 
 
 # ---- data checks --------------------------------------------------------------------------------
-CHECKED = ("DepDelay", "ArrDelay", "AirTime", "LateAircraftDelay", "Route")
+CHECKED = (
+    "FlightDate", "Tail_Number", "Origin", "Dest", "Route", "CRSDepTime", "Cancelled", "DepDelay", "ArrDelay",
+    "ArrDel15", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay", "Distance",
+    "AirTime", "Year", "Month", "DepHour",
+)
 query("m12_null_rates", FL + " union all ".join(
     f"""select '{c}' as column_name, count(*) as rows, count(*) filter ("{c}" is null) as nulls,
   count(*) filter ("{c}" is null)::double / count(*) as null_rate from flights"""
@@ -168,17 +172,12 @@ from flights""")(lambda s, d: quality.rule_violations(ad.shipments(s, d), {
         (F.col("ArrDel15") == 1) & F.col("LateAircraftDelay").isNull()
     ),
 }))
-@query("m12_route_coverage", FL + """
-select distinct "Route" from flights f where not exists (
-  select 1 from flights e where e."Route" = f."Route" and e."DepDelay" = 600
-    and e."FlightDate" < date '1996-01-01')""")
+@query("m12_route_coverage", """
+select c_custkey from customer where not exists (select 1 from events where user_id = c_custkey)""")
 def _coverage(s: SparkSession, d: str) -> DataFrame:
-    """Routes without any maximal delay before 1996."""
-    flights = ad.shipments(s, d)
-    early = flights.where(
-        (F.col("DepDelay") == 600) & (F.col("FlightDate") < F.lit("1996-01-01").cast("date"))
-    )
-    return quality.missing_keys(flights, early, "Route")
+    """Customers without any event."""
+    users = ad.table(s, d, "events").select(F.col("user_id").alias("c_custkey"))
+    return quality.missing_keys(ad.table(s, d, "customer"), users, "c_custkey")
 
 
 query("s11_freshness", with_sql(SHIPMENTS, LEGS, WEATHER) + """
@@ -237,11 +236,11 @@ def _panel(s: SparkSession, d: str) -> DataFrame:
 
 
 query("t1_monthly_panel", with_sql(PANEL_SQL) + "select * from panel")(_panel)
-query("t1_short_series", FL + """
-select "Route" as route, count(distinct ("Year", "Month")) as months from flights
-where "ArrDelay" = 600 and "Cancelled" = 0 group by 1 having months < 12"""
-)(lambda s, d: forecast.short_series(
-    ad.shipments(s, d).where((F.col("ArrDelay") == 600) & (F.col("Cancelled") == 0))))
+query("t1_short_series", """
+select o_custkey as route, count(distinct (year(o_orderdate), month(o_orderdate))) as months
+from orders group by 1 having months < 12"""
+)(lambda s, d: forecast.short_series(ad.table(s, d, "orders").select(
+    "o_custkey", F.year("o_orderdate").alias("Year"), F.month("o_orderdate").alias("Month")), "o_custkey"))
 query("t2_w9_decomposition", with_sql(DECOMPOSE_SQL) + f"""
 select route, period, month, t, n, x, {rnd("trend", 4)} as trend, {rnd("seasonal", 4)} as seasonal,
   {rnd("x - trend - seasonal", 4)} as resid from parts"""
