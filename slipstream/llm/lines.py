@@ -2,8 +2,9 @@
 
 A line is removed if an earlier line, in the order of (doc_id, line number), is equal to it or one
 edit (a character inserted, deleted or substituted) away from it; the earlier line need not be
-kept itself. Lines are compared without white space at their ends, and only if they have
-``LEAST`` characters or more. Shorter lines stay, as do blank ones.
+kept itself. Lines are compared without white space at their ends. Equal lines are found whatever
+their length; only lines of ``LEAST`` characters or more are compared by one edit, because shorter
+ones an edit apart are mostly different words. Blank lines stay.
 
 Two lines are one edit apart exactly if deleting one character from each, or from the longer one,
 gives the same text. All these variants of all lines would be as many rows as there are
@@ -140,20 +141,20 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     docs = docs.select(*columns, text_key().alias("_key"))
     lines = docs.select("doc_id", "_key", F.posexplode(_lines()).alias("at", "line")).withColumn("line", _line(F.col("line")))
     firsts = written(
-        lines.where(F.length("line") >= LEAST).groupBy("line")
+        lines.where(F.length("line") > 0).groupBy("line")
         .agg(F.min(F.struct("doc_id", "_key", "at")).alias("first"))
     )
-    near = near_earlier(firsts)
+    near = near_earlier(firsts.where(F.length("line") >= LEAST))
     kept = firsts.select("first").join(near, "first", "left_anti").select("first.*").groupBy(
         "doc_id", "_key"
     ).agg(F.collect_list("at").alias("_kept")).withColumnsRenamed({"doc_id": "_id", "_key": "_k"})
     split = _lines()
-    short = F.filter(
-        F.sequence(F.lit(0), F.size(split) - 1), lambda i: F.length(_line(F.get("_split", i))) < LEAST
+    blank = F.filter(
+        F.sequence(F.lit(0), F.size(split) - 1), lambda i: F.length(_line(F.get("_split", i))) == 0
     )
     joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
     joined = joined.withColumn("_split", split).withColumn(
-        "_all", F.sort_array(F.concat(short, F.coalesce("_kept", F.array().cast("array<int>"))))
+        "_all", F.sort_array(F.concat(blank, F.coalesce("_kept", F.array().cast("array<int>"))))
     )
     text = F.array_join(F.transform("_all", lambda i: F.get("_split", i)), "\n")
     return joined.select(
