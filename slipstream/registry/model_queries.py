@@ -597,8 +597,6 @@ select scenario_id, "Route", printf('=== Scenario Analysis: %s %+d Daily Flight(
 from ranked group by 1, 2"""
 
 # ---- classifier ---------------------------------------------------------------------------------
-# Small trees: these entries show the work on any data size; defaults are in fixed_values.
-QUICK = {"maxIter": 6, "maxDepth": 4, "stepSize": 0.2}
 MATRIX = ("weather_severity", "prev_tail_dep_delay", "legs_today_before", "hour_of_day")
 
 
@@ -641,9 +639,7 @@ def _split(s: SparkSession, d: str) -> DataFrame:
 def _model(s: SparkSession, d: str) -> tuple[classifier.Classifier, DataFrame]:
     rows, names = _training(s, d)
     part = F.col("part")
-    model = classifier.train(
-        rows.where(part == "train"), names, rows.where(part == "validation"), **QUICK
-    )
+    model = classifier.train(rows.where(part == "train"), names, rows.where(part == "validation"))
     return model, rows.where(part == "test")
 
 
@@ -658,7 +654,7 @@ def _train(s: SparkSession, d: str) -> DataFrame:
 @query("m5_cross_validation")
 def _cross_validation(s: SparkSession, d: str) -> DataFrame:
     rows, names = _training(s, d)
-    result = classifier.cross_validate(rows, names, ["event_id"], folds=3, maxIter=2, maxDepth=3)
+    result = classifier.cross_validate(rows, names, ["event_id"])
     return s.range(1).select(*[F.lit(v).alias(k) for k, v in result.items()])
 
 
