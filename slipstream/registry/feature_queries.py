@@ -14,7 +14,7 @@ from slipstream.operators.staging import shared_folder
 from slipstream.operators.trailing import trailing_mean_delay
 from slipstream.plans import views
 from slipstream.registry.base import (
-    CAPACITY, LEGS, LEGS_WEATHER, PERFORMANCE, SHIPMENTS, WEATHER, query, rnd, with_sql,
+    BUILDERS, CAPACITY, LEGS, LEGS_WEATHER, PERFORMANCE, SHIPMENTS, WEATHER, query, rnd, with_sql,
 )
 from slipstream.registry.report_queries import legs_with_weather
 from slipstream.sources import adapters as ad
@@ -144,12 +144,12 @@ query("p13_p14_p15_j5_calendar_features", LG + f"select {CALENDAR_SQL} from legs
 
 
 def _route_lookup(s: SparkSession, d: str) -> DataFrame:
-    """Distance and punctuality per route, for half of the routes."""
+    """Distance and punctuality per route."""
     flights = ad.shipments(s, d)
     return flights.groupBy(F.col("Route").alias("route")).agg(
         F.max("Distance").alias("distance"),
         rounded(F.avg(1 - F.col("ArrDel15")), 4).alias("base_otp"),
-    ).where(F.length("route") % 2 == 0)
+    )
 
 
 @query("p16_p17_j4_route_features", FL + f""",
@@ -459,6 +459,14 @@ def _scan(s: SparkSession, d: str) -> DataFrame:
     ).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
 
+# Report tables of the export, but the simulator's, and the queries that make them.
+EXPORTED = {
+    "otp_monthly": "q21_sheet_otp_monthly", "delay_causes": "q22_sheet_delay_causes",
+    "load_factor": "q23_sheet_load_factor", "weather_impact": "q24_sheet_weather_impact",
+    "demand_forecast": "q26_sheet_demand_forecast", "metadata": "s9_export_metadata",
+}
+
+
 @query("s8_export_reports", FL + """
 select "Route", count(*) as n, count(*) filter ("Cancelled" = 1) as cancelled from flights
 group by 1""")
@@ -466,6 +474,7 @@ def _export(s: SparkSession, d: str) -> DataFrame:
     per_route = ad.shipments(s, d).groupBy("Route").agg(
         F.count("*").alias("n"), F.count_if(F.col("Cancelled") == 1).alias("cancelled")
     )
-    (path,) = sinks.export_reports({"per_route": per_route}, _scratch(s, "export"))
+    sheets = {name: BUILDERS[entry](s, d) for name, entry in EXPORTED.items()}
+    path, *_ = sinks.export_reports({"per_route": per_route} | sheets, _scratch(s, "export"))
     return readers.read_parquet(s, path)
 

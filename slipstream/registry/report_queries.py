@@ -219,13 +219,18 @@ SHEETS = {
     "delay_causes": "Minutes and shares of delay causes by route and month",
     "load_factor": "Load factor and seats by route and month",
 }
+# The SQL of the next query lists the three above only.
+MORE_SHEETS = {
+    "weather_impact": "Weather and punctuality by route and month",
+    "demand_forecast": "Passengers, bands and seats of the next twelve months by route",
+}
 query("s9_export_metadata", FL + """
 select 'Data Range' as "Field", strftime(min("FlightDate"), '%Y-%m-%d') || ' to '
   || strftime(max("FlightDate"), '%Y-%m-%d') as "Value" from flights
 union all select 'Routes', cast(count(distinct "Route") as varchar) from flights
 union all select 'Flights', cast(count(*) as varchar) from flights
 """ + "".join(f"union all select '{k}', '{v}'\n" for k, v in SHEETS.items())
-)(lambda s, d: reports.sheet_metadata(ad.shipments(s, d), SHEETS))
+)(lambda s, d: reports.sheet_metadata(ad.shipments(s, d), SHEETS | MORE_SHEETS))
 
 # ---- dashboard and exploration ------------------------------------------------------------------
 OTP_ROWS = 'avg(case when "ArrDel15" = 0 then 1.0::double else 0.0::double end)'
