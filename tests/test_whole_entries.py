@@ -47,6 +47,6 @@ def test_export_writes_all_reports(spark, small, tmp_path, monkeypatch):
 def test_metadata_lists_the_exported_tables(spark, small):
     rows = dict(BUILDERS["s9_export_metadata"](spark, small).collect())
     assert set(feature_queries.EXPORTED) - {"metadata"} == set(rows) - {"Data Range", "Routes", "Flights"}
-    assert rows["weather_impact"] == report_queries.MORE_SHEETS["weather_impact"]
+    assert rows["weather_impact"] == report_queries.SHEETS["weather_impact"]
     first, last = rows["Data Range"].split(" to ")
     assert datetime.date.fromisoformat(first) <= datetime.date.fromisoformat(last)
