@@ -170,14 +170,15 @@ LINES_SQL = """
 _ll as (select doc_id, unnest(ls) as raw, unnest(range(len(ls))) as pos from (
     select doc_id, string_split(text, chr(10)) as ls from DOCS)),
 _l as (select doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as line from _ll),
-_f as (select line, min({'d': doc_id, 'a': pos}) as first from _l where length(line) >= LEAST group by 1),
+_f as (select line, min({'d': doc_id, 'a': pos}) as first from _l where length(line) > 0 group by 1),
 _h as (select line, first, length(line) as n, unnest([length(line) // 2, (length(line) - 1) // 2,
-    (length(line) + 1) // 2]) as h from _f),
+    (length(line) + 1) // 2]) as h from _f
+    where length(line) >= LEAST),
 _e as (select distinct line, first, n, h, left(line, h) as s, 'l' as e from _h
     union all select distinct line, first, n, h, right(line, h), 'r' from _h),
 _near as (select distinct y.line from _e x join _e y using (h, s, e)
     where x.first < y.first and abs(x.n - y.n) <= 1 and levenshtein(x.line, y.line) = 1),
 _kept as (select _l.doc_id, string_agg(raw, chr(10) order by pos) as text, count(*) as n from _l
     left join _f on _l.line = _f.line and _f.first = {'d': _l.doc_id, 'a': _l.pos}
-    where length(_l.line) < LEAST or (_f.line is not null and _l.line not in (select line from _near))
+    where length(_l.line) = 0 or (_f.line is not null and _l.line not in (select line from _near))
     group by 1)""".replace("LEAST", str(LEAST))

@@ -301,13 +301,14 @@ def test_lines(spark, docs, empty, texts):
         for k, line in enumerate((t or "").split("\n") if t is not None else []):
             line = line.strip(white)
             place = (i is not None, i or 0, key, k)
-            if len(line) >= lines.LEAST:
+            if line:
                 first[line] = min(first.get(line, place), place)
-    near = {a for a, p in first.items() if any(q < p and within_one(a, b) for b, q in first.items())}
+    long = {a: p for a, p in first.items() if len(a) >= lines.LEAST}
+    near = {a for a, p in long.items() if any(q < p and within_one(a, b) for b, q in long.items())}
     want = []
     for i, t in rows:
         split = [] if t is None else t.split("\n")
-        kept = [x for k, x in enumerate(split) if len(x.strip(white)) < lines.LEAST or (
+        kept = [x for k, x in enumerate(split) if not x.strip(white) or (
             x.strip(white) not in near and first[x.strip(white)] == (i is not None, i or 0, keys[i, t], k))]
         want.append((i, None if t is None else "\n".join(kept), len(split), len(split) - len(kept)))
     assert near
