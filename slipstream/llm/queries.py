@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe, decontam, lines, minhash, planes, repeats, shards, token_counts, toxicity, vectors
+from slipstream.llm import (
+    bpe, decontam, lines, minhash, planes, repeats, shards, spelling, token_counts, toxicity, vectors,
+)
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
 
@@ -133,3 +135,9 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"),
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their commonest near word and the word it leads to."""
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
