@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.llm import (
-    bpe, decontam, lines, minhash, planes, repeats, shards, spelling, token_counts, toxicity, vectors,
+    balls, bpe, decontam, lines, minhash, planes, repeats, shards, spelling, token_counts, toxicity, vectors,
 )
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
@@ -137,6 +137,12 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings, their errors and the digest of the codebooks."""
+    return balls.codes(table(spark, folder, "embeddings"), dims=64)
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all documents with their commonest near word and the word it leads to."""
