@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.llm import (
-    balls, bpe, decontam, lines, minhash, planes, repeats, shards, spelling, token_counts, toxicity, vectors,
+    balls, bpe, decontam, lines, minhash, neighbours, planes, repeats, shards, spelling, token_counts, toxicity, vectors,
 )
 from slipstream.llm.common import written
 from slipstream.operators.staging import shared_folder
@@ -147,3 +147,9 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all documents with their commonest near word and the word it leads to."""
     return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
+
+
+@query
+def op13_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest embeddings of every fiftieth one, by cosine."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, dims=64, k=5)
