@@ -5,6 +5,8 @@ with letters dealt to groups, one group may have one letter more and one group o
 Words are arranged in a trie whose level ``i`` branches by the number of letters of group ``i``.
 From a word, a depth-first search takes at every level the same count, or one more if the surplus
 is not spent, or one less if the deficit is not spent. Words in the leaves it reaches are verified.
+Of two words with different counts one finds the other: the deficit may be spent only after the
+surplus, and what is found holds both ways.
 
 1. Runs of letters are counted: one partial-and-final aggregation, words of the wrong length or
    seen too rarely go.
@@ -15,8 +17,8 @@ is not spent, or one less if the deficit is not spent. Words in the leaves it re
    nodes of each level; a search goes on below large nodes and waits at homes.
 4. Each task builds the lower levels of its home as sorted arrays of prefixes, and all searches
    that wait there go on through them, a batch at a time. Its words are at most ``NODE``; searches
-   are streamed and not held.
-5. What leaves a task are counts and the best near word per searching word, not pairs.
+   are streamed and not held. Where more than ``SEARCHES`` wait, copies of the home share them.
+5. What leaves a task are counts and the best near word per word and batch, not pairs.
 
 Counts are kept in ``BITS`` bits a level; larger ones count as the largest, which can only let more
 through to the verification. Results do not depend on groups, ``NODE`` or the partitioning.
@@ -29,6 +31,7 @@ the word first in code-point order. Other columns are not looked at. An empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -42,7 +45,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Letters of a group; all others are dealt by their code point.
 GROUPS = ("e", "a", "i", "n", "r", "t", "o", "s", "lz", "uq", "dj", "cx", "mkf", "pvb", "ghwy")
 BITS = 4
-NODE = 4_096
+NODE, SEARCHES = 4_096, 16_384
 # Most cells of a table of characters, and most candidates, that a task verifies at once.
 CELLS = 1 << 21
 
@@ -126,51 +129,44 @@ def one_edit(
 def _nodes(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Words with their home node, and the searches that wait at each home.
 
-    A node is (level, prefix); homes are (word, n, code, level, prefix, block), searches
-    (word, code, level, prefix, more, less, block).
+    Both are (level, prefix, block, word, n, code, more, less); a node is (level, prefix), and
+    ``more`` and ``less`` are what a search has left to spend.
     """
-    prefix = lambda level: F.shiftright("code", BITS * (_LEVELS - level))
-    # The root is a large node, so that the first level is always there.
     homes, waiting = [], []
-    inside = words.withColumn("prefix", F.lit(0).cast("long"))
-    search = words.select(
-        "word", "code", F.lit(0).cast("long").alias("prefix"), F.lit(True).alias("more"), F.lit(True).alias("less")
-    )
+    inside = words
+    search = words.withColumns({"prefix": F.lit(0).cast("long"), "more": F.lit(True), "less": F.lit(True)})
     for level in range(1, _LEVELS + 1):
-        inside = inside.withColumn("prefix", prefix(level))
-        nodes = written(inside.groupBy("prefix").agg(F.count("*").alias("size")))
+        inside = inside.withColumn("prefix", F.shiftright("code", BITS * (_LEVELS - level)))
         last = level == _LEVELS
-        large = F.lit(False) if last else F.col("size") > NODE
-        nodes = nodes.select(
-            "prefix", large.alias("large"), F.ceil(F.col("size") / NODE).cast("int").alias("blocks")
+        nodes = written(inside.groupBy("prefix").agg(F.count("*").alias("size"))).select(
+            "prefix", (F.lit(False) if last else F.col("size") > NODE).alias("large"),
+            F.ceil(F.col("size") / NODE).cast("int").alias("blocks"),
         )
         own = (F.shiftright("code", BITS * (_LEVELS - level)) % (1 << BITS)).cast("int")
-        steps = F.array(F.lit(0), F.lit(1), F.lit(-1))
-        search = search.withColumn("step", F.explode(steps)).where(
-            (F.col("step") == 0) | ((F.col("step") == 1) & F.col("more")) | ((F.col("step") == -1) & F.col("less"))
+        search = search.withColumn("step", F.explode(F.array(F.lit(0), F.lit(1), F.lit(-1)))).where(
+            (F.col("step") == 0) | ((F.col("step") == 1) & F.col("more"))
+            | ((F.col("step") == -1) & F.col("less") & ~F.col("more"))
         ).withColumn("child", own + F.col("step")).where(F.col("child").between(0, _MOST)).select(
-            "word", "code", (F.col("prefix") * (1 << BITS) + F.col("child")).alias("prefix"),
+            "word", "n", "code", (F.col("prefix") * (1 << BITS) + F.col("child")).alias("prefix"),
             (F.col("more") & (F.col("step") != 1)).alias("more"),
             (F.col("less") & (F.col("step") != -1)).alias("less"),
         ).join(nodes, "prefix")
         inside = inside.join(nodes, "prefix")
-        at = F.lit(level).alias("level")
-        homes.append(inside.where("not large").select(
-            "word", "n", "code", at, "prefix", F.pmod(F.xxhash64("word"), "blocks").cast("int").alias("block")
-        ))
+        columns = [F.lit(level).alias("level"), "prefix", "block", "word", "n", "code", "more", "less"]
+        homes.append(inside.where("not large").withColumns({
+            "block": F.pmod(F.xxhash64("word"), "blocks").cast("int"), "more": F.lit(False), "less": F.lit(False),
+        }).select(*columns))
         # A search looks at every block of a home.
-        waiting.append(search.where("not large").select(
-            "word", "code", at, "prefix", "more", "less",
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        ))
+        waiting.append(search.where("not large").withColumn(
+            "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        ).select(*columns))
         if last:
             break
         inside = written(inside.where("large").select("word", "n", "code"))
         if inside.isEmpty():
             break
-        search = written(search.where("large").select("word", "code", "prefix", "more", "less"))
-    union = lambda parts: parts[0] if len(parts) == 1 else parts[0].union(union(parts[1:]))
-    return union(homes), union(waiting)
+        search = written(search.where("large").select("word", "n", "code", "prefix", "more", "less"))
+    return reduce(DataFrame.union, homes), reduce(DataFrame.union, waiting)
 
 
 class _Home:
@@ -180,39 +176,37 @@ class _Home:
         code = rows["code"].to_numpy()
         order = np.argsort(code, kind="stable")
         self.code, self.n = code[order], rows["n"].to_numpy()[order]
-        self.names = [rows["word"].iat[i] for i in order]
-        self.words = [w.encode("latin-1") for w in self.names]
+        names = rows["word"].to_numpy(object)
+        self.names = [names[i] for i in order]
         self.level = int(rows["level"].iat[0])
         self.levels = {
             at: np.unique(self.code >> (BITS * (_LEVELS - at))) for at in range(self.level, _LEVELS + 1)
         }
 
     def near(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """(word, n_near, best) of the searching words that find something."""
+        """(word, n_near, less_n, form) of words that have near ones among these searches."""
         who = np.arange(len(rows))
         code, prefix = rows["code"].to_numpy(), rows["prefix"].to_numpy()
         more, less = rows["more"].to_numpy(bool), rows["less"].to_numpy(bool)
         for level in range(self.level + 1, _LEVELS + 1):
             own = (code[who] >> (BITS * (_LEVELS - level))) & _MOST
             known, parts = self.levels[level], []
-            for step, may in ((0, None), (1, more), (-1, less)):
-                child = own + step
-                ok = (child >= 0) & (child <= _MOST)
-                if may is not None:
-                    ok &= may
-                new = (prefix << BITS) | child
+            for step, may in ((0, slice(None)), (1, more), (-1, less & ~more)):
+                one, before, up, down = who[may], prefix[may], more[may], less[may]
+                child = own[may] + step
+                new = (before << BITS) | (child & _MOST)
                 place = np.minimum(np.searchsorted(known, new), len(known) - 1)
-                ok &= known[place] == new
-                parts.append((who[ok], new[ok], more[ok] & (step != 1), less[ok] & (step != -1)))
+                ok = (known[place] == new) & (child >= 0) & (child <= _MOST)
+                parts.append((one[ok], new[ok], up[ok] & (step != 1), down[ok] & (step != -1)))
             who, prefix, more, less = (np.concatenate(x) for x in zip(*parts))
         low, high = np.searchsorted(self.code, prefix), np.searchsorted(self.code, prefix, "right")
-        names = rows["word"].tolist()
+        names = [*self.names, *rows["word"].tolist()]
+        n = np.r_[self.n, rows["n"].to_numpy()]
         words = [w.encode("latin-1") for w in names]
-        flat = np.frombuffer(b"".join([*self.words, *words]), np.uint8)
-        size = np.fromiter(map(len, [*self.words, *words]), np.int64, len(self.words) + len(words))
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        size = np.fromiter(map(len, words), np.int64, len(words))
         start = np.r_[0, np.cumsum(size)[:-1]]
-        found = np.zeros(len(rows), np.int64)
-        best: dict[int, tuple[int, str]] = {}
+        pairs = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         total = np.cumsum(high - low)
         at = 0
         while at < len(who):
@@ -220,21 +214,23 @@ class _Home:
             base = total[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(total, base + CELLS // 16, "right")))
             width = (high - low)[at:to]
-            p = np.repeat(who[at:to], width)
+            p = np.repeat(who[at:to], width) + len(self.names)
             q = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low[at:to], width)
+            near = one_edit(flat, start, size, p, q)
+            # Words with equal counts find each other; of others only one finds the other.
+            once = near & ~np.repeat(more[at:to], width)
+            pairs += [(p[near], q[near]), (q[once], p[once])]
             at = to
-            near = one_edit(flat, start, size, p + len(self.words), q)
-            p, q = p[near], q[near]
-            found += np.bincount(p, minlength=len(rows))
-            for i, j in zip(p.tolist(), q.tolist()):
-                entry = (-int(self.n[j]), self.names[j])
-                if i not in best or entry < best[i]:
-                    best[i] = entry
-        hit = np.flatnonzero(found)
+        one, other = (np.concatenate(x) for x in zip(*pairs))
+        rank = np.empty(len(names), np.int64)
+        rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+        order = np.lexsort((rank[other], -n[other], one))
+        one, other = one[order], other[order]
+        first = np.flatnonzero(np.r_[True, one[1:] != one[:-1]]) if len(one) else np.empty(0, np.int64)
         return pd.DataFrame({
-            "word": np.array([names[i] for i in hit], object), "n_near": found[hit],
-            "less_n": np.array([best[i][0] for i in hit], np.int64),
-            "form": np.array([best[i][1] for i in hit], object),
+            "word": np.array([names[i] for i in one[first]], object),
+            "n_near": np.diff(np.r_[first, len(one)]).astype(np.int64), "less_n": -n[other[first]],
+            "form": np.array([names[i] for i in other[first]], object),
         })
 
 
@@ -250,34 +246,37 @@ def near_words(words: DataFrame) -> DataFrame:
                 "code": trie_code([w.encode("latin-1") for w in names]),
             })
 
+    node = ["level", "prefix", "block", "copy"]
+
     def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = ["level", "prefix", "block"]
         home, held, at = None, [], None
         for batch in batches:
-            for key, rows in batch.groupby(keys, sort=False):
-                words = rows[rows["n"] > 0]
+            for key, group in batch.groupby(node, sort=False):
                 if key != at:
                     home, held, at = None, [], key
                 # Words of a home come before its searches, maybe in several batches.
-                if len(words):
-                    held.append(words)
-                rows = rows[rows["n"] == 0]
-                if not len(rows) or not held:
-                    continue
-                if home is None:
-                    home = _Home(pd.concat(held))
-                near = home.near(rows)
-                if len(near):
-                    yield near
+                asks = group["asks"].to_numpy(bool)
+                if not asks.all():
+                    held.append(group[~asks])
+                if asks.any() and held:
+                    if home is None:
+                        home = _Home(pd.concat(held))
+                    near = home.near(group[asks])
+                    if len(near):
+                        yield near
 
     coded_words = written(words.select("word", "n").mapInPandas(coded, "word string, n long, code long"))
     homes, waiting = _nodes(coded_words)
-    none = F.lit(False)
-    met = homes.select("level", "prefix", "block", "word", "n", "code", none.alias("more"), none.alias("less")).union(
-        waiting.select("level", "prefix", "block", "word", F.lit(0).cast("long").alias("n"), "code", "more", "less")
-    ).repartition("level", "prefix", "block").sortWithinPartitions(
-        "level", "prefix", "block", (F.col("n") == 0)
-    )
+    crowded = written(waiting.groupBy(node[:3]).agg(F.count("*").alias("size")).where(F.col("size") > SEARCHES))
+    copies = crowded.select(*node[:3], F.ceil(F.col("size") / SEARCHES).cast("int").alias("copies"))
+    number = F.coalesce("copies", F.lit(1))
+    met = homes.join(copies, node[:3], "left").withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), number - 1))
+    ).withColumn("asks", F.lit(False)).union(
+        waiting.join(copies, node[:3], "left").withColumn(
+            "copy", F.pmod(F.xxhash64("word"), number).cast("int")
+        ).withColumn("asks", F.lit(True))
+    ).drop("copies").repartition(*node).sortWithinPartitions(*node, "asks")
     parts = met.mapInPandas(searched, "word string, n_near long, less_n long, form string")
     return parts.groupBy("word").agg(
         F.sum("n_near").alias("n_near"), F.min(F.struct("less_n", "form")).alias("x")

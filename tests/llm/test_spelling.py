@@ -79,6 +79,7 @@ def rows():
 @pytest.mark.parametrize("node", [4_096, 24])
 def test_variants(spark, rows, monkeypatch, node):
     monkeypatch.setattr(spelling, "NODE", node)
+    monkeypatch.setattr(spelling, "SEARCHES", 4 * node)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, word string, n int")
     found = spelling.variants(spelling.vocabulary(docs.repartition(5)))
     assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
