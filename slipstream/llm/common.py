@@ -116,3 +116,47 @@ def with_names(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     if missing:
         raise ValueError(f"the input lacks the columns {missing}")
     return df.select(*wanted)
+
+
+def packed(df: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """The needed columns, and all other columns in one called ``_other``, so that no names clash."""
+    other = [c for c in df.columns if c not in needed]
+    held = F.struct(*[F.col(f"`{c}`") for c in other]) if other else F.lit(0)
+    return df.select(*needed, held.alias("_other"))
+
+
+def unpacked(columns: Sequence[str], needed: Sequence[str]) -> list[Column]:
+    """The columns of the input of ``packed``, in their order; needed ones as they are now."""
+    return [F.col(c) if c in needed else F.col("_other").getField(c).alias(c) for c in columns]
+
+
+def bit_table(slots: DataFrame, bits: int) -> DataFrame:
+    """One row with ``2 ** bits`` bits as an array of numbers: those of ``slots(slot)`` are set."""
+    marks = slots.groupBy(F.shiftright("slot", 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("mark")
+    )
+    every = slots.sparkSession.range(1 << (bits - 6)).select(F.col("id").cast("int").alias("at"))
+    return every.join(marks, "at", "left").agg(
+        F.sort_array(F.collect_list(F.struct("at", F.coalesce("mark", F.lit(0).cast("long")).alias("mark")))).alias("m")
+    ).select(F.transform("m", lambda x: x["mark"]).alias("bits"))
+
+
+def marked(bits: Column, slot: Column) -> Column:
+    """Whether the slot of a bit table is set."""
+    return F.getbit(F.get(bits, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1
+
+
+def semi_join(rows: DataFrame, keys: DataFrame, name: str, most: int = 25) -> DataFrame:
+    """Rows whose ``name`` is among ``keys``, each once; most others go before the shuffle.
+
+    They go by a bit table of the keys' hashes, of at most ``2 ** most`` bits. With too many keys for
+    it the join is made without one; the rows are the same.
+    """
+    keys = written(keys.select(name).distinct())
+    bits = max(12, (8 * keys.count()).bit_length())
+    if bits <= most + 2:
+        bits = min(bits, most)
+        slot = F.shiftrightunsigned(F.xxhash64(name), 64 - bits)
+        table = written(bit_table(keys.select(slot.alias("slot")).distinct(), bits))
+        rows = rows.where(marked(table.scalar(), slot))
+    return rows.join(keys, name, "left_semi")

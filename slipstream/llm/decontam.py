@@ -6,19 +6,23 @@ mask, so that words between them may differ. Whatever two of thirteen words are
 of the two masks fits into the window without touching them (checked by the tests), so every
 overlap has a seed in common with its item at the same distance.
 
+Items shorter than the window are quoted only as a whole: such an item of ``SHORTEST`` words or more
+has one seed, the hash of all its words, and overlaps where a text has them unchanged. Which short
+lengths occur is looked up first, so benchmarks without short items cost nothing more.
+
 1. Benchmark seeds are made at every place, with the words around.
-2. A bit table of ``2 ** BITS`` entries tells which seeds can be among them. It has a fixed size,
-   is made by one aggregation and reaches the tasks as a value in the plan (that is all that
-   passes the driver). Documents keep the
-   seeds that pass; a false pass costs a row in the next step and changes nothing.
+2. A bit table of ``2 ** BITS`` entries tells which seeds can be among them. It has a fixed size, is
+   made by one aggregation and reaches the tasks as the value of a scalar subquery. Documents keep
+   the seeds that pass; a false pass costs a row in the next step and changes nothing.
 3. These seeds are joined with the benchmark's; join size decides on broadcast or shuffle, and hot
    seeds are split by the adaptive skew join.
 4. Around every hit all windows that hold the seed are verified word by word.
 
 Words are lower-cased and separated by ASCII white space; they are compared as 64-bit hashes. Null
-and empty texts, and items of fewer than ``WINDOW`` words, overlap with nothing. Documents are
-known by id and a hash of the text, so ids may repeat or be null. Other columns of documents pass
-through; those of the benchmark are not used.
+and empty texts, and items of fewer than ``SHORTEST`` words, overlap with nothing. Texts are read
+whole, whatever their length. Documents are known by id and a hash of the text, so ids may repeat or
+be null; equal rows get equal results. Other columns of documents pass through, whatever their
+names; those of the benchmark are not used. Empty tables give no rows, or no overlaps.
 """
 
 from __future__ import annotations
@@ -26,13 +30,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.llm.common import text_key, with_names
+from slipstream.llm.common import bit_table, marked, packed, text_key, unpacked, with_names
 
 WINDOW, SUBSTITUTED = 13, 2
 # Places of the words that a seed looks at.
 MASKS = ((0, 1, 2, 3, 5, 7), (0, 1, 3, 7, 8, 9))
+# Fewest words of an item that is looked for as a whole.
+SHORTEST = 5
 BITS = 20
-_HASHES = "_hashes"
+_HASHES, _BITS = "_hashes", "_bits"
 
 
 def _hashed(text: str) -> Column:
@@ -48,67 +54,71 @@ def _slot(seed: Column) -> Column:
     return F.shiftrightunsigned(seed, 64 - BITS).cast("int")
 
 
-def _seeds(rows: DataFrame, names: list[str], bits: Column | None) -> DataFrame:
-    """Seeds of every place, with the words up to a window around; those that pass the bit table."""
+def _seeds(rows: DataFrame, names: list[str], short: list[int], table: DataFrame | None = None) -> DataFrame:
+    """Seeds of every place, with the words up to a window around; those that pass the bit table.
+
+    ``short`` lists lengths of whole items; their seeds are numbered after those of the masks.
+    """
+    if table is not None:
+        rows = rows.withColumn(_BITS, table.scalar())
+    looks = [(n, mask, WINDOW - mask[-1] - 1, WINDOW - 1) for n, mask in enumerate(MASKS)]
+    looks += [(len(MASKS) + n, tuple(range(n)), 0, n - 1) for n in short]
     found = []
-    for number, mask in enumerate(MASKS):
-        before = WINDOW - mask[-1] - 1
+    for number, mask, before, after in looks:
         places = F.when(  # no place fits into fewer words
             F.size(_HASHES) > mask[-1], F.sequence(F.lit(0), F.size(_HASHES) - 1 - mask[-1])
         ).otherwise(F.array().cast("array<int>"))
-        if bits is not None:
-            places = F.filter(places, lambda p: F.substring(bits, _slot(_seed(p, mask, number)) + 1, 1) == F.lit(b"1"))  # noqa: B023
+        if table is not None:
+            places = F.filter(places, lambda p: marked(F.col(_BITS), _slot(_seed(p, mask, number))))  # noqa: B023
         found.append(F.transform(places, lambda p: F.struct(  # noqa: B023
             F.lit(number).alias("mask"), p.alias("place"), _seed(p, mask, number).alias("seed"),
             F.transform(
-                F.sequence(p - before, p + WINDOW - 1), lambda at: F.get(_HASHES, at)
+                F.sequence(p - before, p + after), lambda at: F.get(_HASHES, at)
             ).alias("words"),
         )))
     return rows.select(*names, F.explode(F.concat(*found)).alias("x")).select(*names, "x.*")
 
 
-def _bit_table(seeds: DataFrame) -> Column:
-    """A value of ``2 ** BITS`` bytes: "1" in the slots of the seeds."""
-    marks = seeds.select(_slot(F.col("seed")).alias("slot")).distinct().withColumn("mark", F.lit("1"))
-    every = seeds.sparkSession.range(1 << BITS).select(F.col("id").cast("int").alias("slot"))
-    table = every.join(marks, "slot", "left").agg(
-        F.sort_array(F.collect_list(F.struct("slot", F.coalesce("mark", F.lit("0")).alias("mark")))).alias("m")
-    ).select(F.array_join(F.transform("m", lambda x: x["mark"]), "")).first()[0]
-    return F.lit(table.encode())
-
-
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, _key, n_overlap) of documents that overlap: words under overlapping windows."""
     items = with_names(benchmark, ["text"]).select(_hashed("text").alias(_HASHES))
-    theirs = _seeds(items, [], None).select("mask", "seed", "words").distinct()
+    size = F.size(_HASHES)
+    # At most a window's worth of lengths.
+    short = [
+        r[0] for r in items.where(size.between(SHORTEST, WINDOW - 1)).select(size.alias("n")).distinct().collect()
+    ]
+    theirs = _seeds(items.where(size >= WINDOW), [], [])
+    for n in short:
+        theirs = theirs.union(_seeds(items.where(size == n), [], [n]).where(F.col("mask") == len(MASKS) + n))
+    theirs = theirs.select("mask", "seed", "words").distinct()
     rows = with_names(docs, ["doc_id", "text"]).select(
         "doc_id", text_key().alias("_key"), _hashed("text").alias(_HASHES)
     )
-    ours = _seeds(rows, ["doc_id", "_key"], _bit_table(theirs))
+    slots = theirs.select(_slot(F.col("seed")).alias("slot")).distinct()
+    ours = _seeds(rows, ["doc_id", "_key"], sorted(short), bit_table(slots, BITS))
     theirs = theirs.withColumnRenamed("words", "item")
     hits = ours.join(theirs, ["mask", "seed"]).withColumn(
         "same", F.zip_with("words", "item", lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
-    )
+    ).withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
     # A window lies whole in both texts if its first and last words are there.
     there = lambda at: F.get("words", at).isNotNull() & F.get("item", at).isNotNull()
-    starts = F.filter(F.sequence(F.lit(0), F.size("words") - WINDOW), lambda at: (
-        there(at) & there(at + WINDOW - 1)
-        & (F.aggregate(F.slice("same", at + 1, WINDOW), F.lit(0), lambda n, x: n + x) >= WINDOW - SUBSTITUTED)
+    alike = F.when(F.col("size") < WINDOW, F.col("size")).otherwise(WINDOW - SUBSTITUTED)
+    starts = F.filter(F.sequence(F.lit(0), F.size("words") - F.col("size")), lambda at: (
+        there(at) & there(at + F.col("size") - 1)
+        & (F.aggregate(F.slice("same", at + 1, F.col("size")), F.lit(0), lambda n, x: n + x) >= alike)
     ))
-    # The words begin ``size - WINDOW`` places before the seed.
-    places = hits.select("doc_id", "_key", F.explode(F.transform(
-        starts, lambda at: F.col("place") - (F.size("words") - WINDOW) + at
+    # The words begin ``size - WINDOW`` places before the seed, those of short items at it.
+    places = hits.select("doc_id", "_key", "size", F.explode(F.transform(
+        starts, lambda at: F.col("place") - (F.size("words") - F.col("size")) + at
     )).alias("start")).distinct()
-    # Every window adds the words that the one before it does not hold.
-    return places.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_list("start")).alias("s")).select(
-        "doc_id", "_key",
-        F.aggregate(
-            F.sequence(F.lit(1), F.size("s")), F.lit(0).cast("long"),
-            lambda n, i: n + F.coalesce(
-                F.least(F.element_at("s", i) - F.get("s", i - 2), F.lit(WINDOW)), F.lit(WINDOW)
-            ),
-        ).alias("n_overlap"),
-    )
+    # Every window adds the words that those before it do not hold.
+    held = F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("stop"))))
+    new = lambda x, w: F.greatest(w["stop"] - F.greatest(w["start"], x["upto"]), F.lit(0))
+    return places.groupBy("doc_id", "_key").agg(held.alias("all")).select("doc_id", "_key", F.aggregate(
+        "all", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto")),
+        lambda x, w: F.struct((x["n"] + new(x, w)).alias("n"), F.greatest(x["upto"], w["stop"]).alias("upto")),
+        lambda x: x["n"],
+    ).alias("n_overlap"))
 
 
 def _joined(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -128,10 +138,14 @@ def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without an overlap, with all their columns."""
-    return _joined(docs, overlaps(docs, benchmark), "left_anti").drop("_key")
+    needed = ("doc_id", "text")
+    return _joined(packed(docs, needed), overlaps(docs, benchmark), "left_anti").select(
+        *unpacked(docs.columns, needed)
+    )
 
 
-# DuckDB SQL for ``mark``: thirteen words with two substituted hold four equal words in a row.
+# DuckDB SQL for ``mark``: thirteen words with two substituted hold four equal words in a row, and so
+# do short items.
 OVERLAP_SQL = f"""
 _d as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'),
     lambda w: w <> '') as ws from {{docs}}),
@@ -148,6 +162,11 @@ _eq as (select doc_id, item_id, off, _dw.i, sum(case when _dw.w = _bw.w then 1 e
     count(*) over q as size
     from _diag join _bw using (item_id) join _dw using (doc_id) where _dw.i = _bw.i + off
     window q as (partition by doc_id, item_id, off order by _dw.i rows {WINDOW - 1} preceding)),
+_sh as (select doc_id, off, len(ws) as size from _diag join (select item_id, ws from _b
+        where len(ws) between {SHORTEST} and {WINDOW - 1}) using (item_id)
+    join _bw using (item_id) join _dw using (doc_id) where _dw.i = _bw.i + off and _dw.w = _bw.w
+    group by doc_id, item_id, off, ws having count(*) = len(ws)),
 _over as (select doc_id, count(distinct p) as n from (
     select doc_id, unnest(range(i - {WINDOW - 1}, i + 1)) as p from _eq
-    where size = {WINDOW} and n >= {WINDOW - SUBSTITUTED}) group by 1)"""
+    where size = {WINDOW} and n >= {WINDOW - SUBSTITUTED}
+    union all select doc_id, unnest(range(off + 1, off + size + 1)) from _sh) group by 1)"""

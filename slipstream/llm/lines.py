@@ -25,7 +25,9 @@ before the shuffle, and the join with the counts is split by the adaptive skew j
 cuts pieces as often as the longest line needs, each time over the lines that are left.
 
 Documents are known by id and a hash of the text: rows that are equal in both are one document and
-get the same text. Null ids come first. Null texts stay null. Other columns pass through.
+get the same text. Null ids come first. Null texts stay null. Texts are read whole, and lines have
+no maximal length: a line of many characters is cut into pieces in more rounds. Other columns pass
+through, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.llm.common import text_key, written
+from slipstream.llm.common import packed, text_key, unpacked, written
 
 LEAST = 16
 # Characters of a piece whose variants are made; pieces that a longer piece is cut into.
@@ -135,16 +137,20 @@ def near_earlier(firsts: DataFrame) -> DataFrame:
     ).select("first").distinct()
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` without repeated lines; adds ``n_lines`` and ``n_removed`` (replacing such columns)."""
+def deduplicate(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``docs`` without repeated lines; adds ``n_lines`` and ``n_removed`` (replacing such columns).
+
+    Lines of ``least`` characters or more are compared by one edit; with 1 all that are not blank are.
+    """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    docs = docs.select(*columns, text_key().alias("_key"))
+    needed = ("doc_id", "text")
+    docs = packed(docs.select(*[F.col(f"`{c}`") for c in columns]), needed).withColumn("_key", text_key())
     lines = docs.select("doc_id", "_key", F.posexplode(_lines()).alias("at", "line")).withColumn("line", _line(F.col("line")))
     firsts = written(
         lines.where(F.length("line") > 0).groupBy("line")
         .agg(F.min(F.struct("doc_id", "_key", "at")).alias("first"))
     )
-    near = near_earlier(firsts.where(F.length("line") >= LEAST))
+    near = near_earlier(firsts.where(F.length("line") >= least))
     kept = firsts.select("first").join(near, "first", "left_anti").select("first.*").groupBy(
         "doc_id", "_key"
     ).agg(F.collect_list("at").alias("_kept")).withColumnsRenamed({"doc_id": "_id", "_key": "_k"})
@@ -157,10 +163,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         "_all", F.sort_array(F.concat(blank, F.coalesce("_kept", F.array().cast("array<int>"))))
     )
     text = F.array_join(F.transform("_all", lambda i: F.get("_split", i)), "\n")
-    return joined.select(
-        *[F.when(F.col("text").isNotNull(), text).alias("text") if c == "text" else c for c in columns],
-        F.coalesce(F.size("_split"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_split") - F.size("_all"), F.lit(0)).cast("long").alias("n_removed"),
+    return joined.withColumns({
+        "text": F.when(F.col("text").isNotNull(), text),
+        "_lines": F.coalesce(F.size("_split"), F.lit(0)).cast("long"),
+        "_gone": F.coalesce(F.size("_split") - F.size("_all"), F.lit(0)).cast("long"),
+    }).select(
+        *unpacked(columns, needed), F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_removed")
     )
 
 

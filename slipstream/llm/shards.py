@@ -13,7 +13,8 @@ so that no task sorts a whole shard; bucket counts give the slots before each bu
 
 The input is written once with the place of every row, so that repeated tasks see the same rows in
 the same place. Row numbers, not values, drive the draw: null and equal rows need no special case,
-and ids may repeat. An empty table gives no rows. Columns called ``shard`` or ``slot`` are replaced.
+and ids may repeat; texts are moved whole and not read. An empty table gives no rows. Columns called
+``shard`` or ``slot`` are replaced, all others pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slipstream.llm.common import written
+from slipstream.llm.common import packed, unpacked, written
 
 # Rows of a bucket in which one task puts the second order, about.
 BUCKET_ROWS = 20_000
@@ -45,10 +46,11 @@ def matrix(counts: list[int], shards: int, seed: int) -> np.ndarray:
 def shuffle(docs: DataFrame, shards: int = 8, seed: int = 1) -> DataFrame:
     """``docs`` with ``shard`` (sizes at most one apart) and ``slot`` (gapless from 0)."""
     spark = docs.sparkSession
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    docs = packed(docs.select(*[F.col(f"`{c}`") for c in columns]), ())
     # A monotonically increasing id is the partition and the row's number in it.
     rows = written(
-        docs.select(*kept).withColumn("_id", F.monotonically_increasing_id())
+        docs.withColumn("_id", F.monotonically_increasing_id())
         .sortWithinPartitions(F.xxhash64(F.lit(seed), "_id"))
         .drop("_id").withColumn("_at", F.monotonically_increasing_id())
     )
@@ -65,7 +67,7 @@ def shuffle(docs: DataFrame, shards: int = 8, seed: int = 1) -> DataFrame:
     ).select("x.*")
     buckets = max(1, sum(n for _, n in counts) // (shards * BUCKET_ROWS))
     sent = placed.join(F.broadcast(ends), "_part").select(
-        *kept, "_at",
+        "_other", "_at",
         F.size(F.filter("_ends", lambda e: e <= F.col("_row"))).alias("shard"),
         F.xxhash64(F.lit(seed + 1), "_at").alias("_order"),
     ).withColumn("_bucket", F.expr(f"cast(shiftrightunsigned(_order, 32) * {buckets}L div 4294967296L as int)"))
@@ -80,4 +82,4 @@ def shuffle(docs: DataFrame, shards: int = 8, seed: int = 1) -> DataFrame:
     ranked = sent.withColumn("_rank", F.row_number().over(inside))
     return ranked.join(
         first, (F.col("shard") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))
-    ).select(*kept, "shard", (F.col("_first") + F.col("_rank") - 1).alias("slot"))
+    ).select(*unpacked(columns, ()), "shard", (F.col("_first") + F.col("_rank") - 1).alias("slot"))

@@ -6,7 +6,9 @@ import itertools
 import random
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -244,7 +246,7 @@ def test_masks_fit_any_substitutions():
 
 def test_decontamination(spark, docs, empty, texts):
     rng = random.Random(8)
-    items = [prose(rng, n) for n in (14, 30, 5, 13)] + [None, "", texts[12][1][:200]]
+    items = [prose(rng, n) for n in (14, 30, 5, 13)] + [None, "", texts[12][1][:200], "only four words here", prose(rng, 9)]
     bench = spark.createDataFrame([(i, t, 1) for i, t in enumerate(items)], "item_id long, text string, seed int")
 
     def leak(text, places):
@@ -254,7 +256,8 @@ def test_decontamination(spark, docs, empty, texts):
         return " ".join(words)
 
     extra = [(500, "a b " + leak(items[1], [3, 9, 17, 25]) + " c"), (501, leak(items[0], [0, 13])),
-             (502, leak(items[3], [5, 6, 7])), (503, leak(items[3], [2, 8])), (504, items[2])]
+             (502, leak(items[3], [5, 6, 7])), (503, leak(items[3], [2, 8])),
+             (504, "x " + items[2].upper() + " y"), (505, leak(items[2], [4])), (506, items[4 + 3]), (507, items[8] + " " + items[2] + " " + items[8])]
     rows = texts + extra
     frame = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
     theirs = [(t or "").lower().split() for t in items]
@@ -265,9 +268,19 @@ def test_decontamination(spark, docs, empty, texts):
             if any(sum(a == b for a, b in zip(words[k:k + w], it[q:q + w])) >= w - decontam.SUBSTITUTED
                    for it in theirs for q in range(len(it) - w + 1)):
                 over.update(range(k, k + w))
+        for it in (x for x in theirs if decontam.SHORTEST <= len(x) < w):
+            for k in range(len(words) - len(it) + 1):
+                if words[k:k + len(it)] == it:
+                    over.update(range(k, k + len(it)))
         want.append((i, len(over), bool(over)))
     assert by_row(map(tuple, decontam.mark(frame, bench).collect())) == by_row(want)
-    assert {i for i, _, hit in want if hit} >= {500, 501, 503} and (502, 0, False) in want
+    assert {i for i, _, hit in want if hit} >= {500, 501, 503, 504, 507} and (502, 0, False) in want
+    assert {(505, 0, False), (506, 0, False), (504, 5, True)} <= set(want)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([r for r in rows if r[0] is not None and r[0] >= 500], columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame([(i, t) for i, t in enumerate(items)], columns=["item_id", "text"]))
+    by_sql = con.execute("with " + decontam.OVERLAP_SQL.format(docs="documents") + " select doc_id, n from _over").fetchall()
+    assert sorted(by_sql) == sorted((i, n) for i, n, hit in want if hit and i is not None and i >= 500)
     left = decontam.remove(frame, bench).count()
     assert left == sum(not hit for *_, hit in want)
     assert decontam.mark(empty, bench).count() == 0
