@@ -1,4 +1,9 @@
-"""Cleaning of a document table in stages, each written as Parquet and read by the next one."""
+"""Cleaning of a document table in stages, each written as Parquet and read by the next one.
+
+Stages take any columns besides ``doc_id`` and ``text``, whatever their names, and all but the last
+return the same columns. An empty table passes all stages. Ids may be null or repeat: what a stage
+decides holds for rows, and rows that are equal in id and text are copies of each other.
+"""
 
 from __future__ import annotations
 
@@ -7,42 +12,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.llm import bpe, decontam, lines, minhash, toxicity
-from slipstream.llm.common import written
+from slipstream.llm.common import packed, text_key, unpacked, written
+
+NEEDED = ("doc_id", "text")
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half."""
+    """Documents whose toxicity score is below one half.
+
+    Null and empty texts get the score of a text without words. Equal texts get equal scores.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(packed(docs, NEEDED), model).where("predicted = 0").select(
+        *unpacked(docs.columns, NEEDED)
+    )
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one or are an edit away from it.
 
-    All documents stay, also those that are left without text; ``n_chars`` follows the text.
+    All rows stay, also those that are left without text, and null texts; ``n_chars`` follows the
+    text if there is such a column. Rows that are equal in id and text stay equal.
     """
-    return lines.deduplicate(docs).select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
+    out = lines.deduplicate(packed(docs, NEEDED)).select(*unpacked(docs.columns, NEEDED))
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates.
+    """One row of each group of near-duplicates: the smallest id, null ids last, then any one.
 
-    Groups are made of links: 5-word shingles with a similarity of 0.8 or more.
+    Groups are made of links between rows: 5-word shingles with a similarity of 0.8 or more. Rows
+    without words, null texts too, are one group.
     """
-    gone = minhash.near_duplicates(docs, size=5, num=80, den=100, least=34).where("not kept").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = written(packed(docs, NEEDED).withColumn("_at", F.monotonically_increasing_id()))
+    found = minhash.near_duplicates(
+        rows.select(F.col("_at").alias("doc_id"), "text"), size=5, num=80, den=100, least=34
+    ).select(
+        F.col("doc_id").alias("_at"), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(-1).alias("_group")
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text_key().alias("key"), "_at")
+    named = written(found.join(rows.select("_at", order.alias("_order")), "_at"))
+    first = written(named.groupBy("_group").agg(F.min("_order").alias("_first"), F.count("*").alias("_n")).where("_n > 1"))
+    gone = named.join(first, "_group").where("_order <> _first").select("_at")
+    return rows.join(gone, "_at", "left_anti").select(*unpacked(docs.columns, NEEDED))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not overlap the benchmark."""
-    return decontam.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    """Documents that do not overlap the benchmark; null and empty texts do not."""
+    return decontam.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document and the text decoded from them."""
+    """Token ids of every document and the text decoded from them; null texts become empty ones.
+
+    Columns called ``ids`` or ``n_tokens`` are replaced.
+    """
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.encode(docs, path).drop("text")
-    return bpe.decode(coded, path, text="text").withColumn("n_tokens", F.size("ids").cast("long"))
+    kept = docs.drop("ids", "n_tokens")
+    coded = bpe.encode(packed(kept, NEEDED), path).drop("text")
+    return bpe.decode(coded, path, text="text").select(
+        *unpacked(kept.columns, NEEDED), "ids", F.size("ids").cast("long").alias("n_tokens")
+    )
 
 
 STAGES = [
@@ -50,8 +80,8 @@ STAGES = [
     ("decontamination", decontaminate), ("bpe", encode),
 ]
 
-# The classifier of the first stage cannot be expressed in SQL; the tests hold the stages against
-# brute force.
+# The classifier of the first stage cannot be expressed in SQL; tests/llm/test_pipeline.py holds the
+# four filtering stages against brute force.
 ORACLE_SQL = None
 
 
