@@ -2,7 +2,8 @@
 
 All routes are fitted by one job keyed on the route. A series has one row per month after the
 first aggregation, so a group is bounded by the number of months however many rows a route has.
-Positions follow the months that exist; the seasonal index goes by calendar month.
+Series follow the calendar from their first to their last month; months between without passengers
+are unknown, not zero: they keep their place, and nothing is learned from them.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from slipstream import fixed_values as fv
 from slipstream.functions.columns import ratio, rounded, whole
+from slipstream.operators.staging import stage
 
 SEASON = fv.SEASON_MONTHS
 # Points that the trend is extended from at either end.
@@ -29,7 +31,11 @@ def monthly_panel(
     seats: str = "Seats",
     min_months: int = SEASON,
 ) -> DataFrame:
-    """Ordered series: key, period, month, t (0-based), n, x (passengers), seats."""
+    """Ordered series: route, period, month, t (0-based), n (months spanned), x (passengers), seats.
+
+    Every month from the first to the last one known has a row; x and seats of unknown ones are null.
+    Routes with fewer than ``min_months`` known months are left out.
+    """
     monthly = (
         capacity.where(F.col(passengers).isNotNull())
         .groupBy(F.col(key).alias("route"), F.make_date(year, month, F.lit(1)).alias("period"))
@@ -37,18 +43,16 @@ def monthly_panel(
             F.sum(passengers).cast("double").alias("x"), F.sum(seats).cast("double").alias("seats")
         )
     )
-    series = Window.partitionBy("route")
-    return (
-        monthly.withColumns({
-            "month": F.month("period"),
-            "t": F.row_number().over(series.orderBy("period")) - F.lit(1),
-            "n": F.count("*").over(
-                series.orderBy("period").rowsBetween(
-                    Window.unboundedPreceding, Window.unboundedFollowing
-                )
-            ).cast("int"),
-        })
-        .where(F.col("n") >= min_months)
+    # One row per route and known month: the whole series of a route fits into a row.
+    series = monthly.groupBy("route").agg(
+        F.min("period").alias("first"), F.max("period").alias("last"), F.count("*").alias("known"),
+        F.map_from_entries(F.collect_list(F.struct("period", F.struct("x", "seats")))).alias("months"),
+    ).where(F.col("known") >= min_months)
+    months = F.sequence("first", "last", F.expr("interval 1 month"))
+    return series.select(
+        "route", F.size(months).alias("n"), "months", F.posexplode(months).alias("t", "period")
+    ).withColumn("found", F.try_element_at("months", "period")).select(
+        "route", "period", F.month("period").alias("month"), "t", "n", "found.x", "found.seats"
     )
 
 
@@ -65,11 +69,13 @@ def short_series(
 
 
 def decompose(panel: DataFrame) -> DataFrame:
-    """Additive decomposition of series with two full years: trend, seasonal, resid.
+    """Additive decomposition of series that span two full years: trend, seasonal, resid.
 
     The trend is a centred twelve-month mean; both ends are extended along straight lines through
-    the nearest trend points. The seasonal index is the mean detrended value per calendar month,
-    centred on zero.
+    the nearest trend points. The mean takes unknown months from the straight line between the known
+    ones around them. The seasonal index is the mean detrended value of the known months per calendar
+    month, centred on zero; residuals of unknown months are null. A calendar month that is never
+    known inside the trend has no index, and neither seasonal nor residual.
     """
     half = SEASON // 2
     series = Window.partitionBy("route").orderBy("period")
@@ -77,7 +83,13 @@ def decompose(panel: DataFrame) -> DataFrame:
     every = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     t, n = F.col("t"), F.col("n")
     inner = t.between(half, n - half - 1)
-    smooth = (F.sum("x").over(wide) + F.sum("x").over(narrow)) / F.lit(2.0 * SEASON)
+    smooth = (F.sum("filled").over(wide) + F.sum("filled").over(narrow)) / F.lit(2.0 * SEASON)
+
+    # The known months before and after an unknown one; the ends of a series are known.
+    place = F.when(F.col("x").isNotNull(), F.struct("t", "x"))
+    earlier = F.last(place, True).over(series.rowsBetween(Window.unboundedPreceding, -1))
+    later = F.first(place, True).over(series.rowsBetween(1, Window.unboundedFollowing))
+    between = F.col("e.x") + (F.col("l.x") - F.col("e.x")) * (t - F.col("e.t")) / (F.col("l.t") - F.col("e.t"))
 
     # Lines through the first and the last trend points. The last valid point stays outside both.
     last = n - half - 1
@@ -91,6 +103,8 @@ def decompose(panel: DataFrame) -> DataFrame:
 
     trended = (
         panel.where(n >= 2 * SEASON)
+        .withColumns({"e": earlier, "l": later})
+        .withColumn("filled", F.coalesce(F.col("x"), between))
         .withColumn("smooth", F.when(inner, smooth))
         .withColumn(
             "trend",
@@ -100,20 +114,21 @@ def decompose(panel: DataFrame) -> DataFrame:
     )
     index = (
         trended.groupBy("route", "month").agg(F.avg("_raw").alias("_mean"))
+        .where("_mean is not null")
         .withColumn(
             "seasonal", F.col("_mean") - F.avg("_mean").over(Window.partitionBy("route"))
         )
         .select("route", "month", "seasonal")
     )
     return (
-        trended.join(index, ["route", "month"])
+        trended.join(index, ["route", "month"], "left")
         .withColumn("resid", F.col("x") - F.col("trend") - F.col("seasonal"))
         .select("route", "period", "month", "t", "n", "x", "trend", "seasonal", "resid")
     )
 
 
 def seats_per_passenger(panel: DataFrame, months: int = 3) -> DataFrame:
-    """Mean of seats / passengers over the latest months of each route."""
+    """Mean of seats / passengers over the known ones of the latest months of each route."""
     return (
         panel.where(F.col("t") >= F.col("n") - F.lit(months))
         .groupBy("route").agg(F.avg(ratio("seats", "x")).alias("seats_per_pax"))
@@ -136,7 +151,7 @@ def fit_trend_season(panel: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_set(F.struct(
             "month", F.coalesce(F.col("seasonal"), F.lit(0.0)).alias("seasonal")
         ))).alias("season_index"),
-        # Sums for the residual spread, so that no second pass over the series is needed.
+        # Unknown months have no y and count in none of these. Sums for the residual spread, so that no second pass over the series is needed.
         F.var_pop("_y").alias("_vy"), F.covar_pop("_y", t).alias("_cov"),
     )
     spread = F.col("_vy") - F.col("slope") * F.col("_cov")
@@ -166,79 +181,131 @@ def _ahead(fitted: DataFrame, horizon: int) -> DataFrame:
 DEFAULT_GRID = {
     "alpha": (0.05, 0.2, 0.4, 0.6, 0.8), "beta": (0.01, 0.05, 0.2), "gamma": (0.05, 0.2, 0.4),
 }
+# The search from the best grid points: how many, its first step, its rounds, and the open bounds.
+STARTS, FIRST_STEP, SEARCH_ROUNDS, LOWEST, HIGHEST = 3, 0.1, 20, 0.0001, 0.9999
+# Directions of a round: along each axis.
+DIRECTIONS = ((-1, 0, 0), (0, -1, 0), (0, 0, -1), (0, 0, 1), (0, 1, 0), (1, 0, 0))
+_SETTINGS = ("alpha", "beta", "gamma")
 
 
-def fit_holt_winters(panel: DataFrame, grid: dict[str, Sequence[float]] | None = None) -> DataFrame:
-    """Additive trend and season smoothing; the grid point with the least squared error wins.
+def _smoothed(alpha: Column, beta: Column, gamma: Column) -> Column:
+    """Fold of the series ``xs`` from ``_level``, ``_trend`` and ``_first``; the state after it.
 
-    Each series becomes one sorted array, which a fold walks once per grid point; series and grid
-    points run in parallel. The season starts from the first year, the level from its mean and the
-    trend from the change of the yearly mean.
+    In an unknown month the level follows the trend, the season turns, and nothing else changes.
     """
-    grid = grid or DEFAULT_GRID
-    series = panel.groupBy("route").agg(
-        F.max("period").alias("last_period"), F.max("n").alias("n"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("t", "x"))), lambda p: p["x"]
-        ).alias("xs"),
-    )
-    year1 = F.slice("xs", 1, SEASON)
-    mean1 = _mean(year1)
-    start = series.withColumns({
-        "_first": year1,
-        "_level": mean1,
-        "_trend": F.when(
-            F.col("n") >= 2 * SEASON, (_mean(F.slice("xs", SEASON + 1, SEASON)) - mean1) / SEASON
-        ).otherwise(F.lit(0.0)),
-    })
-    for name in ("alpha", "beta", "gamma"):
-        values = F.array(*[F.lit(float(v)) for v in grid[name]])
-        start = start.withColumn(name, F.explode(values))
-
-    level, trend = F.col("_level"), F.col("_trend")
+    one = F.lit(1.0)
     state = F.struct(
-        level.alias("level"), trend.alias("trend"),
-        F.transform("_first", lambda x: x - level).alias("season"),
+        F.col("_level").alias("level"), F.col("_trend").alias("trend"),
+        F.transform("_first", lambda x: F.coalesce(x - F.col("_level"), F.lit(0.0))).alias("season"),
         F.lit(0.0).alias("sse"), F.lit(0.0).alias("se"),
     )
 
     def step(s: Column, x: Column) -> Column:
-        expected_level = s["level"] + s["trend"]
+        ahead = s["level"] + s["trend"]
         oldest = F.element_at(s["season"], 1)
-        error = x - (expected_level + oldest)
-        new_level = F.col("alpha") * (x - oldest) + (F.lit(1.0) - F.col("alpha")) * expected_level
-        new_trend = (
-            F.col("beta") * (new_level - s["level"]) + (F.lit(1.0) - F.col("beta")) * s["trend"]
+        error = x - (ahead + oldest)
+        level = F.coalesce(alpha * (x - oldest) + (one - alpha) * ahead, ahead)
+        trend = F.when(x.isNull(), s["trend"]).otherwise(
+            beta * (level - s["level"]) + (one - beta) * s["trend"]
         )
-        newest = F.col("gamma") * (x - expected_level) + (F.lit(1.0) - F.col("gamma")) * oldest
+        newest = F.coalesce(gamma * (x - ahead) + (one - gamma) * oldest, oldest)
         return F.struct(
-            new_level.alias("level"), new_trend.alias("trend"),
+            level.alias("level"), trend.alias("trend"),
             F.concat(F.slice(s["season"], 2, SEASON - 1), F.array(newest)).alias("season"),
-            (s["sse"] + error * error).alias("sse"), (s["se"] + error).alias("se"),
+            (s["sse"] + F.coalesce(error * error, F.lit(0.0))).alias("sse"),
+            (s["se"] + F.coalesce(error, F.lit(0.0))).alias("se"),
         )
 
-    # Spread the grid before the fold: it is the expensive part.
-    tried = start.repartition("route", "alpha", "beta", "gamma").withColumn(
-        "_fit", F.aggregate("xs", state, step)
+    return F.aggregate("xs", state, step)
+
+
+def _tried(alpha: Column, beta: Column, gamma: Column) -> Column:
+    return F.struct(
+        _smoothed(alpha, beta, gamma)["sse"].alias("sse"),
+        alpha.alias("alpha"), beta.alias("beta"), gamma.alias("gamma"),
     )
-    settings = F.struct(
-        F.col("_fit.sse").alias("sse"), "alpha", "beta", "gamma", F.col("_fit").alias("fit")
+
+
+def _searched(start: Column) -> Column:
+    """The best point of a search from ``start``: a step to the best neighbour, or half the step."""
+    directions = F.array(*[
+        F.struct(*[F.lit(float(x)).alias(n) for x, n in zip(d, _SETTINGS)]) for d in DIRECTIONS
+    ])
+
+    def turn(s: Column, _: Column) -> Column:
+        def neighbour(d: Column) -> Column:
+            return _tried(*[
+                F.least(F.greatest(s["best"][n] + d[n] * s["step"], F.lit(LOWEST)), F.lit(HIGHEST))
+                for n in _SETTINGS
+            ])
+
+        best = F.least(s["best"], F.array_min(F.transform(directions, neighbour)))
+        half = F.when(best == s["best"], s["step"] / 2).otherwise(s["step"])
+        return F.struct(best.alias("best"), half.alias("step"))
+
+    first = F.struct(start.alias("best"), F.lit(FIRST_STEP).alias("step"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SEARCH_ROUNDS)), first, turn)["best"]
+
+
+def fit_holt_winters(
+    panel: DataFrame, grid: dict[str, Sequence[float]] | None = None, search: bool = True
+) -> DataFrame:
+    """Additive trend and season smoothing with the least squared error.
+
+    Each series becomes one sorted array, which a fold walks once per setting. The settings of the
+    grid are tried first; from the best ``STARTS`` of them a search goes on over (0, 1): it moves to
+    the best of its six neighbours, or halves its step if none is better. Series, grid points and starts
+    run in parallel, rounds of a search are one expression. The season starts from the first year,
+    the level from its mean and the trend from the change of the yearly mean, all of known months.
+    """
+    grid = grid or DEFAULT_GRID
+    series = panel.groupBy("route").agg(
+        F.max("period").alias("last_period"), F.max("n").alias("n"), F.count("x").alias("known"),
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("t", "x"))), lambda p: p["x"]
+        ).alias("xs"),
     )
-    best = tried.groupBy("route").agg(
-        F.max("last_period").alias("last_period"), F.max("n").alias("n"),
-        F.min_by(settings, F.struct(F.col("_fit.sse"), "alpha", "beta", "gamma")).alias("b"),
+    year1, year2 = F.slice("xs", 1, SEASON), F.slice("xs", SEASON + 1, SEASON)
+    start = series.withColumns({
+        "_first": year1,
+        "_level": _mean(year1),
+        "_trend": F.when(
+            F.col("n") >= 2 * SEASON, F.coalesce((_mean(year2) - _mean(year1)) / SEASON, F.lit(0.0))
+        ).otherwise(F.lit(0.0)),
+    })
+    tried = start
+    for name in _SETTINGS:
+        tried = tried.withColumn(name, F.explode(F.array(*[F.lit(float(v)) for v in grid[name]])))
+    # Spread the grid before the fold: it is the expensive part, of rows too small for the adaptive
+    # planner to spread by itself.
+    tasks = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tried = tried.repartition(tasks, "route", *_SETTINGS).select(
+        "route", _tried(*map(F.col, _SETTINGS)).alias("best")
+    ).groupBy("route").agg(F.slice(F.array_sort(F.collect_list("best")), 1, STARTS).alias("starts"))
+    if search:
+        starts = start.join(tried, "route").withColumn("start", F.explode("starts"))
+        tried = starts.repartition(tasks, "route", "start").select(
+            "route", _searched(F.col("start")).alias("best")
+        ).groupBy("route").agg(F.min("best").alias("best"))
+    else:
+        tried = tried.select("route", F.col("starts")[0].alias("best"))
+    fitted = start.join(tried, "route").withColumn(
+        "fit", _smoothed(*[F.col("best")[n] for n in _SETTINGS])
     )
-    mean_error = F.col("b.fit.se") / F.col("n")
-    spread = F.col("b.sse") / F.col("n") - mean_error * mean_error
-    return best.select(
-        "route", "last_period", "n", "b.alpha", "b.beta", "b.gamma", "b.sse", "b.fit.level",
-        "b.fit.trend", "b.fit.season",
+    mean_error = F.col("fit.se") / F.col("known")
+    spread = F.col("fit.sse") / F.col("known") - mean_error * mean_error
+    return fitted.select(
+        "route", "last_period", "n", "best.alpha", "best.beta", "best.gamma", "best.sse", "fit.level",
+        "fit.trend", "fit.season",
         F.sqrt(F.greatest(spread, F.lit(0.0))).alias("sigma"),
     )
 
 
 def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
+    """Mean of the known values; null if there are none."""
+    known = F.filter(values, lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0.0), lambda a, x: a + x)
+    return F.when(F.size(known) > 0, total / F.size(known))
 
 
 def holt_winters_path(fitted: DataFrame, horizon: int) -> DataFrame:
@@ -286,8 +353,9 @@ def forecast(
     capacity: DataFrame, horizon: int = 12, model: str = "holt_winters", key: str = "Route",
     grid: dict[str, Sequence[float]] | None = None,
 ) -> DataFrame:
-    """Forecast every route with at least twelve months; shorter ones are in ``short_series``."""
-    panel = monthly_panel(capacity, key)
+    """Forecast every route with at least twelve known months; others are in ``short_series``."""
+    # The panel has a row per route and month; what follows reads it several times.
+    panel = stage(monthly_panel(capacity, key))
     if model == "holt_winters":
         path = holt_winters_path(fit_holt_winters(panel, grid), horizon)
     elif model == "trend_season":

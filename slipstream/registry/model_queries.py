@@ -201,20 +201,34 @@ select "Route", {rnd("quantile_cont(l_extendedprice, 0.1)", 6)} as p10,
     ad.shipments(s, d), ["Route"], "l_extendedprice", {"p10": 0.1, "p90": 0.9}), ["p10", "p90"]))
 
 # ---- forecast -----------------------------------------------------------------------------------
-PANEL_SQL = SHIPMENTS + "," + capacity_sql("Origin") + """,
-panel as (
-  select * from (
-    select "Route" as route, make_date("Year", "Month", 1) as period, "Month" as month,
-      cast(row_number() over (partition by "Route" order by "Year", "Month") - 1 as integer) as t,
-      cast(count(*) over (partition by "Route") as integer) as n, "Passengers"::double as x,
-      "Seats"::double as seats from capacity)
-  where n >= 12)"""
-DECOMPOSE_SQL = PANEL_SQL + """,
+SPINE_SQL = """
+known as (
+  select "Route" as route, make_date("Year", "Month", 1) as period, "Passengers"::double as x,
+    "Seats"::double as seats from capacity),
+spans as (
+  select route, min(period) as first, max(period) as last from known group by 1 having count(*) >= 12),
+spine as (
+  select route, first, last, unnest(generate_series(first, last, interval 1 month))::date as period
+  from spans),
+panel as materialized (
+  select s.route, s.period, cast(month(s.period) as integer) as month,
+    cast(date_diff('month', first, s.period) as integer) as t,
+    cast(date_diff('month', first, last) + 1 as integer) as n, x, seats
+  from spine s left join known k on k.route = s.route and k.period = s.period)"""
+PANEL_SQL = SHIPMENTS + "," + capacity_sql("Origin") + "," + SPINE_SQL
+PARTS_SQL = """,
+around as (
+  select *, last_value(case when x is not null then t end ignore nulls) over (w rows between unbounded preceding and 1 preceding) as et,
+    last_value(x ignore nulls) over (w rows between unbounded preceding and 1 preceding) as ex,
+    first_value(case when x is not null then t end ignore nulls) over (w rows between 1 following and unbounded following) as lt,
+    first_value(x ignore nulls) over (w rows between 1 following and unbounded following) as lx
+  from panel where n >= 24 window w as (partition by route order by t)),
+filled as (select *, coalesce(x, ex + (lx - ex) * (t - et) / (lt - et)) as xx from around),
 smoothed as (
   select *, case when t between 6 and n - 7 then (
-      sum(x) over (s rows between 6 preceding and 6 following)
-      + sum(x) over (s rows between 5 preceding and 5 following)) / 24 end as smooth
-  from panel where n >= 24 window s as (partition by route order by t)),
+      sum(xx) over (s rows between 6 preceding and 6 following)
+      + sum(xx) over (s rows between 5 preceding and 5 following)) / 24 end as smooth
+  from filled window s as (partition by route order by t)),
 ends as (
   select route,
     regr_slope(smooth, t) filter (t >= 6 and t < least(18, n - 7)) as hs,
@@ -223,12 +237,14 @@ ends as (
     regr_intercept(smooth, t) filter (t >= greatest(6, n - 19) and t < n - 7) as ti
   from smoothed group by 1),
 season_raw as (select route, month, avg(x - smooth) as m from smoothed group by 1, 2),
-season as (select route, month, m - avg(m) over (partition by route) as seasonal from season_raw),
+season as (select route, month, m - avg(m) over (partition by route) as seasonal from season_raw
+  where m is not null),
 parts as (
   select s.route, s.period, s.month, s.t, s.n, s.x,
     coalesce(s.smooth, case when s.t < 6 then hi + hs * s.t else ti + ts * s.t end) as trend,
     seasonal
-  from smoothed s join ends using (route) join season using (route, month))"""
+  from smoothed s join ends using (route) left join season using (route, month))"""
+DECOMPOSE_SQL = PANEL_SQL + PARTS_SQL
 
 
 def _panel(s: SparkSession, d: str) -> DataFrame:
@@ -316,34 +332,80 @@ def _values(numbers) -> str:
 
 
 G = forecast.DEFAULT_GRID
-SMOOTHING_SQL = PANEL_SQL + RATIO_SQL + f""",
-year1 as (select route, avg(x) as m1, list(x order by t) as xs from panel where t < 12 group by 1),
-year2 as (select route, avg(x) as m2 from panel where t between 12 and 23 and n >= 24 group by 1),
-fold as (
-  select route, alpha, beta, gamma, 0 as i, m1 as level, coalesce((m2 - m1) / 12, 0) as trend,
-    list_transform(xs, lambda v: v - m1) as season, 0.0::double as sse, 0.0::double as se
-  from year1 left join year2 using (route), (values {_values(G["alpha"])}) a(alpha),
-    (values {_values(G["beta"])}) b(beta), (values {_values(G["gamma"])}) g(gamma)
+_CLIP = f"least(greatest({{}}, {forecast.LOWEST}::double), {forecast.HIGHEST}::double)"
+
+
+def _fold_sql(name: str, source: str) -> str:
+    """Smoothing of every series under the settings (route, place, alpha, beta, gamma) of a table."""
+    return f"""
+{name} as (
+  select p.route, place, alpha, beta, gamma, 0 as i, m1 as level, coalesce((m2 - m1) / 12, 0) as trend,
+    list_transform(xs, lambda v: coalesce(v - m1, 0)) as season, 0.0::double as sse, 0.0::double as se
+  from {source} s join year1 p on p.route = s.route left join year2 y on y.route = s.route
   union all
-  select route, alpha, beta, gamma, i + 1, new_level,
-    beta * (new_level - level) + (1 - beta) * trend,
-    list_append(season[2:12], gamma * (x - level - trend) + (1 - gamma) * season[1]),
-    sse + e * e, se + e
+  select route, place, alpha, beta, gamma, i + 1, new_level,
+    case when x is null then trend else beta * (new_level - level) + (1 - beta) * trend end,
+    list_append(season[2:12], coalesce(gamma * (x - (level + trend)) + (1 - gamma) * season[1], season[1])),
+    sse + coalesce(e * e, 0), se + coalesce(e, 0)
   from (
     select f.*, p.x, p.x - (f.level + f.trend + f.season[1]) as e,
-      f.alpha * (p.x - f.season[1]) + (1 - f.alpha) * (f.level + f.trend) as new_level
-    from fold f join panel p on p.route = f.route and p.t = f.i)),
-best as (
-  select f.*, p.last_period, p.n, row_number() over (
-      partition by f.route order by sse, alpha, beta, gamma) as place
-  from fold f
-  join (select route, max(period) as last_period, max(n) as n from panel group by 1) p
-    on p.route = f.route and f.i = p.n),
+      coalesce(f.alpha * (p.x - f.season[1]) + (1 - f.alpha) * (f.level + f.trend), f.level + f.trend) as new_level
+    from {name} f join panel p on p.route = f.route and p.t = f.i))"""
+
+
+def _search_sql(rounds: int) -> str:
+    """Rounds of the search: the centre or the best of its neighbours, by error and settings."""
+    moves = ", ".join(f"({a}, {b}, {g})" for a, b, g in forecast.DIRECTIONS)
+    out = f""",
+at_0 as materialized (
+  select route, place, alpha, beta, gamma, sse, {forecast.FIRST_STEP}::double as step
+  from (select route, alpha, beta, gamma, sse, row_number() over (
+      partition by route order by sse, alpha, beta, gamma) as place
+    from grid_fold f join spread using (route) where f.i = spread.n)
+  where place <= {forecast.STARTS})"""
+    for k in range(1, rounds + 1):
+        settings = ", ".join(_CLIP.format(f"{c} + d{c} * step") + f" as {c}" for c in ("alpha", "beta", "gamma"))
+        out += f""",
+near_{k} as materialized (select route, place, {settings} from at_{k - 1},
+  (values {moves}) d(dalpha, dbeta, dgamma)),""" + _fold_sql(f"fold_{k}", f"near_{k}") + f""",
+at_{k} as materialized (
+  select route, place, b.alpha, b.beta, b.gamma, b.sse, case when moved then step else step / 2 end as step
+  from (
+    select route, place, step, c <> o as moved, c as b from (
+      select a.route, a.place, any_value(a.step) as step,
+        any_value({{'sse': a.sse, 'alpha': a.alpha, 'beta': a.beta, 'gamma': a.gamma}}) as o,
+        min(least({{'sse': f.sse, 'alpha': f.alpha, 'beta': f.beta, 'gamma': f.gamma}},
+          {{'sse': a.sse, 'alpha': a.alpha, 'beta': a.beta, 'gamma': a.gamma}})) as c
+      from at_{k - 1} a join fold_{k} f using (route, place) join spread using (route)
+      where f.i = spread.n group by 1, 2)))"""
+    return out
+
+
+def smoothing_sql(rounds: int = forecast.SEARCH_ROUNDS) -> str:
+    return f""",
+spread as materialized (
+  select route, max(period) as last_period, max(n) as n, count(x) as known from panel group by 1),
+year1 as materialized (
+  select route, avg(x) as m1, list(x order by t) as xs from panel where t < 12 group by 1),
+year2 as materialized (
+  select route, avg(x) as m2 from panel where t between 12 and 23 and n >= 24 group by 1),
+grid as (select route, 0 as place, alpha, beta, gamma from spread, (values {_values(G["alpha"])}) a(alpha),
+    (values {_values(G["beta"])}) b(beta), (values {_values(G["gamma"])}) g(gamma)),
+""" + _fold_sql("grid_fold", "grid") + _search_sql(rounds) + f""",
+won as materialized (
+  select route, 0 as place, alpha, beta, gamma from (
+    select *, row_number() over (partition by route order by sse, alpha, beta, gamma) as k from at_{rounds})
+  where k = 1),
+""" + _fold_sql("won_fold", "won") + """,
+best as (select f.*, last_period, n, known from won_fold f join spread using (route) where i = n),
 path as (
   select route, h, cast(last_period + to_months(h) as date) as period,
     level + h * trend + season[(h - 1) % 12 + 1] as f,
-    sqrt(greatest(sse / n - (se / n) * (se / n), 0)) as sigma
-  from best, (select unnest(range(1, 13))::int as h) where place = 1)"""
+    sqrt(greatest(sse / known - (se / known) * (se / known), 0)) as sigma
+  from best, (select unnest(range(1, 13))::int as h))"""
+
+
+SMOOTHING_SQL = PANEL_SQL + RATIO_SQL + smoothing_sql()
 
 
 def recursive_sql(*parts: str) -> str:
@@ -352,12 +414,61 @@ def recursive_sql(*parts: str) -> str:
 
 query("t3_t6_holt_winters_forecast", recursive_sql(_forecast_sql(SMOOTHING_SQL)) + """
 select * from forecast""")(_forecast("holt_winters"))
-query("t3_holt_winters_fit", recursive_sql(SMOOTHING_SQL) + f"""
-select route, alpha, beta, gamma, {rnd("level", 4)} as level, {rnd("trend", 4)} as trend,
-  {rnd("sse", 2)} as sse from best where place = 1""")(lambda s, d: _rounded(_rounded(
-    forecast.fit_holt_winters(_panel(s, d)).select(
-        "route", "alpha", "beta", "gamma", "level", "trend", "sse"),
-    ["level", "trend"], 4), ["sse"], 2))
+FIT_ROWS = f"""
+select route, {rnd("alpha", 6)} as alpha, {rnd("beta", 6)} as beta, {rnd("gamma", 6)} as gamma,
+  {rnd("level", 4)} as level, {rnd("trend", 4)} as trend, {rnd("sse", 2)} as sse from best"""
+
+
+def _fit_rows(panel: DataFrame) -> DataFrame:
+    out = forecast.fit_holt_winters(stage(panel)).select(
+        "route", "alpha", "beta", "gamma", "level", "trend", "sse")
+    return _rounded(_rounded(_rounded(out, ["alpha", "beta", "gamma"]), ["level", "trend"], 4), ["sse"], 2)
+
+
+query("t3_holt_winters_fit", recursive_sql(SMOOTHING_SQL) + FIT_ROWS)(
+    lambda s, d: _fit_rows(_panel(s, d)))
+
+# Orders of customers leave most months out: series with gaps.
+CUSTOMER_SQL = """
+capacity as (
+  select o_custkey as "Route", cast(year(o_orderdate) as integer) as "Year",
+    cast(month(o_orderdate) as integer) as "Month",
+    cast(sum(cast(floor(o_totalprice / 1000) as bigint)) as bigint) as "Passengers", count(*) * 60 as "Seats"
+  from orders group by 1, 2, 3),""" + SPINE_SQL
+
+
+def _order_panel(orders: DataFrame, key: str) -> DataFrame:
+    orders = orders.groupBy(
+        F.col(key).alias("Route"), F.year("o_orderdate").alias("Year"),
+        F.month("o_orderdate").alias("Month"),
+    ).agg(
+        # Whole numbers, which both engines add without rounding.
+        F.sum(F.floor(F.col("o_totalprice") / 1000)).alias("Passengers"), (F.count("*") * 60).alias("Seats"),
+    )
+    return forecast.monthly_panel(orders)
+
+
+def _customers(s: SparkSession, d: str) -> DataFrame:
+    return _order_panel(ad.table(s, d, "orders"), "o_custkey")
+
+
+query("t1_panel_with_gaps", with_sql(CUSTOMER_SQL) + "select * from panel")(_customers)
+query("t2_decomposition_with_gaps", with_sql(CUSTOMER_SQL + PARTS_SQL) + f"""
+select route, period, month, t, n, x, {rnd("trend", 4)} as trend, {rnd("seasonal", 4)} as seasonal,
+  {rnd("x - trend - seasonal", 4)} as resid from parts"""
+)(lambda s, d: _rounded(forecast.decompose(_customers(s, d)), ["trend", "seasonal", "resid"], 4))
+
+# Orders by nation and priority leave some months out, and are few enough series for the fold in SQL.
+PRIORITY_SQL = CUSTOMER_SQL.replace(
+    'select o_custkey as "Route"', "select n_name || ' ' || o_orderpriority as \"Route\"", 1
+).replace(
+    "from orders", "from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey", 1
+)
+query("t3_fit_with_gaps", recursive_sql(PRIORITY_SQL + smoothing_sql()) + FIT_ROWS)(
+    lambda s, d: _fit_rows(_order_panel(
+        ad.table(s, d, "orders").join(ad.table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(F.broadcast(ad.table(s, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+        .withColumn("key", F.concat_ws(" ", "n_name", "o_orderpriority")), "key")))
 
 # ---- what-if ------------------------------------------------------------------------------------
 CONFIG_SQL = SHIPMENTS + f""",
