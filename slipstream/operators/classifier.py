@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,10 @@ from slipstream.operators.scoring import risk_band
 from slipstream.operators.staging import ensure_checkpoints
 
 LABEL = "label"
+# Trees are added, up to the configured number, while a tree lowers the error on held-out rows by more
+# than this share.
+EARLY_STOP = 0.0001
+HELD = "held"
 
 
 def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -125,12 +128,15 @@ def margin() -> Column:
     return vector_to_array("rawPrediction")[1]
 
 
-def tree_learner(features: Sequence[str], **overrides) -> GBTClassifier:
+def tree_learner(features: Sequence[str], early_stop: bool = False, **overrides) -> GBTClassifier:
+    """Boosted trees; with ``early_stop`` rows whose ``held`` is true only decide when to stop."""
     settings = {
         "maxIter": fv.TREES, "maxDepth": fv.TREE_DEPTH, "stepSize": fv.LEARNING_RATE,
         "subsamplingRate": fv.ROW_SAMPLE, "featureSubsetStrategy": str(fv.FEATURE_SAMPLE),
         "minInstancesPerNode": fv.MIN_LEAF_ROWS, "seed": 42,
     }
+    if early_stop:
+        settings |= {"validationIndicatorCol": HELD, "validationTol": EARLY_STOP}
     settings.update(overrides)
     return GBTClassifier(
         featuresCol="features", labelCol=LABEL, weightCol="weight", cacheNodeIds=True,
@@ -150,12 +156,19 @@ def train(
     train_rows: DataFrame, features: Sequence[str], validation_rows: DataFrame | None = None,
     calibrate: bool = True, **overrides,
 ) -> Classifier:
-    """Fit the trees; calibrate their margin on the validation rows (else on the training rows)."""
+    """Fit the trees; calibrate their margin on the validation rows (else on the training rows).
+
+    With validation rows the trees stop early: the configured number is the upper limit.
+    """
     ensure_checkpoints(train_rows.sparkSession)
-    trees = tree_learner(features, **overrides).fit(_vectors(train_rows, features))
+    rows, early = _vectors(train_rows, features).withColumn(HELD, F.lit(False)), False
+    if validation_rows is not None and not validation_rows.isEmpty():
+        early = True
+        rows = rows.union(_vectors(validation_rows, features).withColumn(HELD, F.lit(True)))
+    trees = tree_learner(features, early, **overrides).fit(rows)
     model = Classifier(list(features), trees)
     if calibrate:
-        held_out = validation_rows if validation_rows is not None else train_rows
+        held_out = validation_rows if early else train_rows
         raw = trees.transform(_vectors(held_out, features)).withColumn("_margin", margin())
         margins = VectorAssembler(inputCols=["_margin"], outputCol="margin").transform(raw)
         model.calibration = LogisticRegression(
@@ -168,18 +181,22 @@ def train(
 def cross_validate(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], folds: int = 5, seed: int = 42,
     **overrides,
-) -> dict[str, float]:
-    """Mean and spread of the AUC over folds; a row's fold follows from its key."""
+) -> DataFrame:
+    """(fold, n, trees, auc): what a fold's rows say about trees fitted without them.
+
+    A row's fold follows from its key, and so does whether it is held out, in the other folds, to
+    stop the trees early. The AUC is that of the exact curve.
+    """
     ensure_checkpoints(df.sparkSession)
-    placed = df.withColumn("fold", hash_band(seed, folds, *keys))
-    validator = CrossValidator(
-        estimator=tree_learner(features, **overrides),
-        estimatorParamMaps=ParamGridBuilder().build(),
-        # Zero bins: the exact curve, as in the evaluation of scores.
-        evaluator=BinaryClassificationEvaluator(
-            labelCol=LABEL, metricName="areaUnderROC", numBins=0
-        ),
-        numFolds=folds, foldCol="fold",
-    )
-    fitted = validator.fit(_vectors(placed, features, ["fold"]))
-    return {"auc_mean": float(fitted.avgMetrics[0]), "auc_std": float(fitted.stdMetrics[0])}
+    placed = df.withColumns({
+        "fold": hash_band(seed, folds, *keys), HELD: hash_band(seed + 1, 10, *keys) == 0,
+    })
+    vectors = _vectors(placed, features, ["fold", HELD]).persist()
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0)
+    rows = []
+    for fold in range(folds):
+        trees = tree_learner(features, True, **overrides).fit(vectors.where(F.col("fold") != fold))
+        tested = trees.transform(vectors.where(F.col("fold") == fold))
+        rows.append((fold, tested.count(), trees.getNumTrees, float(evaluator.evaluate(tested))))
+    vectors.unpersist()
+    return literal_table(df.sparkSession, ["fold", "n", "trees", "auc"], rows)

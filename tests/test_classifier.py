@@ -101,5 +101,7 @@ def test_without_calibration(fitted):
 
 def test_cross_validation(rows):
     table, names = classifier.prepare_training(rows, keep=["id"])
-    result = classifier.cross_validate(table, names, ["id"], folds=3, maxIter=2, maxDepth=3)
-    assert 0.5 < result["auc_mean"] < 1 and result["auc_std"] >= 0
+    folds = classifier.cross_validate(table, names, ["id"], folds=3, maxIter=4, maxDepth=3).collect()
+    assert [r.fold for r in folds] == [0, 1, 2] and sum(r.n for r in folds) == 498
+    assert all(1 <= r.trees <= 4 for r in folds)
+    assert 0.5 < sum(r.auc for r in folds) / 3 < 1
