@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.llm.common import importable, pairs_within, whole_groups, with_names, words_of, written
+from slipstream.llm.common import importable, pairs_within, semi_join, whole_groups, with_names, words_of, written
 from slipstream.llm.components import components, spanning
 
 COORDINATES, SEED = 64, 11
@@ -157,8 +157,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, size: int, group: float) -> Da
                 ["a", "b", "n_a", "n_b", "common", "difference"],
             )
 
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(texts.join(needed, "doc_id", "left_semi"))
+    texts = written(semi_join(texts, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), "doc_id"))
     left = texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"})
     right = texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"})
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
@@ -270,7 +269,7 @@ def near_duplicates(
     named = with_names(docs, ["doc_id", "text"]).withColumn("doc_id", F.col("doc_id").cast("long"))
     profiles = written(_profiles(named, size, min(COORDINATES // 2, COORDINATES - least + 1)))
     usable = profiles.where("doc_id is not null and n > 0")
-    ids = usable.groupBy("high", "low").agg(F.min("doc_id").alias("a"))
+    ids = written(usable.groupBy("high", "low").agg(F.min("doc_id").alias("a")))
     classes = written(
         usable.join(ids, ["high", "low"]).where("doc_id = a").select("a", "n", "keys", "sketch").distinct()
     )
