@@ -12,11 +12,12 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slipstream import fixed_values as fv
 from slipstream.functions.columns import literal_table
+from slipstream.operators.ordered import TASK_ROWS, attach, running_totals
 from slipstream.operators.scoring import risk_band
 from slipstream.operators.staging import ensure_checkpoints
 
@@ -69,6 +70,56 @@ def split_rows(
     )
 
 
+def _ranked(
+    df: DataFrame, keys: Sequence[str], label: str, seed: int, task_rows: int
+) -> DataFrame:
+    """Rank of each row within its class, in hash order of its key, and the class's size and offset."""
+    mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    # One row per class.
+    sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
+    earlier = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    places = running_totals(
+        df.withColumn("_mixed", mixed), [label], [F.col("_mixed"), *[F.col(k) for k in keys]],
+        {"_place": F.lit(1)}, task_rows,
+    )
+    return attach(places, sizes, [label])
+
+
+def stratified_split(
+    df: DataFrame, keys: Sequence[str], label: str = LABEL, validation: float = 0.10,
+    test: float = 0.20, seed: int = 42, task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Add ``part``: of every class exactly the given shares, rounded to whole rows.
+
+    ``keys`` identify a row; the part follows from their hash and the class alone, whatever the
+    partitioning. Rows are ranked within their class; classes above ``task_rows`` are ranked in
+    pieces. ``df`` is read three times: stage it first if it is costly. A null label is a class.
+    """
+    ranked = _ranked(df, keys, label, seed, task_rows)
+
+    def quota(share: float) -> Column:
+        return F.floor(F.col("_size") * F.lit(float(share)) + F.lit(0.5))
+
+    return ranked.withColumn(
+        "part",
+        F.when(F.col("_place") <= quota(test), "test")
+        .when(F.col("_place") <= quota(test) + quota(validation), "validation")
+        .otherwise("train"),
+    ).select(*df.columns, "part")
+
+
+def stratified_folds(
+    df: DataFrame, keys: Sequence[str], folds: int = 5, label: str = LABEL, seed: int = 42,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Add ``fold``: fold sizes, also those of each class, are at most one row apart."""
+    ranked = _ranked(df, keys, label, seed, task_rows)
+    # Each class goes on where the one before it ended.
+    fold = (F.col("_offset") + F.col("_place") - 1) % F.lit(folds)
+    return ranked.withColumn("fold", fold.cast("int")).select(*df.columns, "fold")
+
+
 @dataclass
 class Classifier:
     """Fitted trees with the calibration on top."""

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slipstream.operators.asof import as_of_join
+from slipstream.operators.ordered import TASK_ROWS
 from slipstream.operators.staging import stage
 
 WEATHER_COLUMNS = (
@@ -49,3 +53,22 @@ def join_weather(
         "left",
     ).drop("wx_date", "wx_hour")
     return joined.fillna({c: v for c, v in DEFAULTS.items() if c in joined.columns})
+
+
+def join_weather_as_of(
+    flights: DataFrame,
+    weather: DataFrame,
+    at: str,
+    tolerance: dt.timedelta = dt.timedelta(hours=1),
+    station: str = "Origin",
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Left join with the station's latest observation up to the departure, if within ``tolerance``.
+
+    ``station`` is the column of the flights that names the weather station. Every flight is kept once;
+    missing weather is defaulted as in ``join_weather``. ``valid`` is the time of the observation used.
+    """
+    kept = [c for c in WEATHER_COLUMNS if c in weather.columns]
+    observed = weather.select(F.col("station").alias(station), "valid", *kept)
+    joined = as_of_join(flights, observed, at, "valid", [station], tolerance, task_rows=task_rows)
+    return joined.fillna({c: v for c, v in DEFAULTS.items() if c in kept})

@@ -123,3 +123,21 @@ def weather_impact(flights: DataFrame) -> DataFrame:
         F.sum("wind_gust_flag").alias("wind_gust_count"),
         F.count("*").alias("total_flights"),
     )
+
+
+def performance_rollup(flights: DataFrame, vehicle: str = "Tail_Number") -> DataFrame:
+    """Flights, vehicles and mean delay per (Route, Year, Month), (Route, Year), Route and over all.
+
+    ``level`` is the grouping id: bit 4 for Route, 2 for Year, 1 for Month, set where the column is
+    added up. Flights are reduced to one row per month, route and vehicle before the levels are made,
+    so the rows are multiplied after the reduction; distinct vehicles are counted anew at each level.
+    """
+    monthly = flights.groupBy("Route", "Year", "Month", vehicle).agg(
+        F.count("*").alias("n"), F.count("DepDelay").alias("known"), F.sum("DepDelay").alias("total"),
+    )
+    return monthly.rollup("Route", "Year", "Month").agg(
+        F.grouping_id().alias("level"),
+        F.sum("n").alias("flights"),
+        F.count_distinct(vehicle).alias("vehicles"),
+        rounded(ratio(F.sum("total"), F.sum("known")), 6).alias("avg_dep_delay"),
+    )

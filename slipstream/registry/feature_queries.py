@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from slipstream import fixed_values as fv
 from slipstream.functions.columns import rounded
-from slipstream.operators import cleaning, features, intent, rotation, scoring, snapshots
+from slipstream.operators import cleaning, features, intent, rotation, scoring, snapshots, weather_join
+from slipstream.operators.asof import as_of_join
 from slipstream.operators.staging import shared_folder
-from slipstream.operators.trailing import trailing_mean_delay
+from slipstream.operators.trailing import trailing_mean_at, trailing_mean_delay
 from slipstream.plans import views
 from slipstream.registry.base import (
     BUILDERS, CAPACITY, LEGS, LEGS_WEATHER, PERFORMANCE, SHIPMENTS, WEATHER, query, rnd, with_sql,
@@ -307,6 +309,67 @@ select event_id, coalesce({rnd("(r.s + coalesce(h.s, 0)) / nullif(r.n + coalesce
 from r left join h on h.at = r.at - interval 1 hour"""
 query("w7_trailing_mean_running", RUNNING_SQL)(_trailing("running"))
 
+
+def _frame(mode: str) -> str:
+    end = "current row" if mode == "peers" else "interval '0.000001 second' preceding"
+    return f"""(partition by event_type order by ts
+      range between interval '7199.999999 seconds' preceding and {end})"""
+
+
+def _trailing_at(mode: str):
+    @query(f"w7_trailing_mean_any_time_{mode}", f"""
+select event_id, coalesce({rnd('cast(s as double) / nullif(n, 0)', 6)}, 0) as rolling_avg_dep_delay
+from (
+  select event_id, count(value) over w as n, sum(cast(value as decimal(18,6))) over w as s
+  from events window w as {_frame(mode)})""")
+    def build(s: SparkSession, d: str) -> DataFrame:
+        """Mean over the two hours up to each event among events of its type, times to the microsecond."""
+        out = trailing_mean_at(
+            ad.table(s, d, "events"), "ts", keys=["event_type"], mode=mode, value="value"
+        )
+        return _rounded(out.select("event_id", "rolling_avg_dep_delay"), ["rolling_avg_dep_delay"])
+
+
+_trailing_at("peers")
+_trailing_at("strict")
+
+# ---- weather of the latest observation ----------------------------------------------------------
+query("j1_weather_as_of", with_sql(WEATHER) + """
+select event_id, ts, case when near then valid end as valid, case when near then tmpf end as tmpf,
+  case when near then vsby else 10 end as vsby,
+  case when near then weather_severity else 0 end as weather_severity
+from (
+  select *, coalesce(ts <= valid + interval 75 minutes, false) as near
+  from events asof left join weather on ts >= valid)""")(
+    lambda s, d: weather_join.join_weather_as_of(
+        ad.table(s, d, "events").select("event_id", "ts", F.lit("HUB").alias("Origin")),
+        ad.weather(s, d), "ts", dt.timedelta(minutes=75),
+    ).select("event_id", "ts", "valid", "tmpf", "vsby", "weather_severity"))
+
+
+@query("j1_as_of_by_key", """
+select event_id, asked as user_id, case when near then seen_at end as seen_at,
+  case when near then seen_id end as seen_id, case when near then seen_value end as seen_value
+from (
+  select event_id, e.user_id as asked, seen_at, seen_id, seen_value,
+    coalesce(ts <= seen_at + interval 2 days, false) as near
+  from events e asof left join (
+    select user_id, date_trunc('day', ts) as seen_at, max(event_id) as seen_id,
+      arg_max(value, event_id) as seen_value
+    from events where event_type = 'view' group by 1, 2) as seen
+  on e.user_id = seen.user_id and ts >= seen_at)""")
+def _as_of_by_key(s: SparkSession, d: str) -> DataFrame:
+    """Each event with its user's latest view day, at most two days ago; many views share a day."""
+    events = ad.table(s, d, "events")
+    seen = events.where(F.col("event_type") == "view").select(
+        "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("seen_at"),
+        F.col("event_id").alias("seen_id"), F.col("value").alias("seen_value"),
+    )
+    return as_of_join(
+        events.select("event_id", "user_id", "ts"), seen, "ts", "seen_at", ["user_id"],
+        dt.timedelta(days=2), ["seen_id"],
+    ).drop("ts")
+
 # ---- all features -------------------------------------------------------------------------------
 FEATURES_SQL = with_sql(LEGS_WEATHER + ROTATION_SQL[len(LEGS):]) + f"""
 select x.* exclude (day_of_year),

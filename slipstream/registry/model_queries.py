@@ -755,6 +755,34 @@ def _split(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+# Rows by class and hash order, with the class's size and the rows of the classes before it.
+STRATA = LG + """,
+sizes as (select "ArrDel15", count(*) as size from legs where "Cancelled" = 0 group by 1),
+strata as (
+  select event_id, "ArrDel15", size,
+    row_number() over (partition by "ArrDel15" order by md5('42:' || event_id), event_id) as place,
+    coalesce((select sum(size) from sizes s where s."ArrDel15" < legs."ArrDel15"), 0) as before
+  from legs join sizes using ("ArrDel15") where "Cancelled" = 0)
+"""
+
+
+@query("m2_stratified_split", STRATA + """
+select event_id, "ArrDel15", case when place <= floor(size * 0.2::double + 0.5::double) then 'test'
+  when place <= floor(size * 0.2::double + 0.5::double) + floor(size * 0.1::double + 0.5::double)
+    then 'validation' else 'train' end as part
+from strata""")
+def _stratified_split(s: SparkSession, d: str) -> DataFrame:
+    legs = ad.legs(s, d).where(F.col("Cancelled") == 0).select("event_id", "ArrDel15")
+    return classifier.stratified_split(legs, ["event_id"], "ArrDel15")
+
+
+@query("m5_stratified_folds", STRATA + """
+select event_id, "ArrDel15", cast((before + place - 1) % 5 as integer) as fold from strata""")
+def _stratified_folds(s: SparkSession, d: str) -> DataFrame:
+    legs = ad.legs(s, d).where(F.col("Cancelled") == 0).select("event_id", "ArrDel15")
+    return classifier.stratified_folds(legs, ["event_id"], label="ArrDel15")
+
+
 def _model(s: SparkSession, d: str) -> tuple[classifier.Classifier, DataFrame]:
     rows, names = _training(s, d)
     part = F.col("part")

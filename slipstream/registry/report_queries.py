@@ -378,6 +378,11 @@ select "Route", "Year", "Month", carrier_delay_pct, weather_delay_pct, nas_delay
   late_ac_delay_pct from delay_cause_decomposition""")(lambda s, d: _causes(s, d).select(
     "Route", "Year", "Month", "carrier_delay_pct", "weather_delay_pct", "nas_delay_pct",
     "late_ac_delay_pct"))
+query("a1_performance_rollup", FL + f"""
+select "Route", "Year", "Month", grouping("Route", "Year", "Month") as level, count(*) as flights,
+  count(distinct "Tail_Number") as vehicles, {rnd('sum("DepDelay") / nullif(count("DepDelay"), 0)', 6)} as avg_dep_delay
+from flights group by rollup ("Route", "Year", "Month")""")(
+    lambda s, d: views.performance_rollup(ad.shipments(s, d)))
 query("a6_distinct_routes", S + 'select "Year", "Month", routes_operated from monthly_otp_summary')(
     lambda s, d: _summary(s, d).select("Year", "Month", "routes_operated"))
 query("a7_mean_of_monthly_means", P + f"""

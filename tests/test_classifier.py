@@ -105,3 +105,28 @@ def test_cross_validation(rows):
     assert [r.fold for r in folds] == [0, 1, 2] and sum(r.n for r in folds) == 498
     assert all(1 <= r.trees <= 4 for r in folds)
     assert 0.5 < sum(r.auc for r in folds) / 3 < 1
+
+
+def _classes(spark, parts=3):
+    # One class holds most rows, one has a single row, one is null.
+    rows = [(i, 0 if i % 10 else 1) for i in range(500)] + [(900, 2), *[(i, None) for i in range(1000, 1013)]]
+    return spark.createDataFrame(rows, "id long, label int").repartition(parts)
+
+
+@pytest.mark.parametrize("task_rows", [20, 10_000])
+def test_strata_have_exact_shares(spark, task_rows):
+    found, folds = [], []
+    for parts in (1, 4, 17):
+        frame = _classes(spark, parts)
+        found.append({r.id: (r.label, r.part) for r in classifier.stratified_split(frame, ["id"], task_rows=task_rows).collect()})
+        folds.append({r.id: (r.label, r.fold) for r in classifier.stratified_folds(frame, ["id"], 4, task_rows=task_rows).collect()})
+    assert found[0] == found[1] == found[2] and folds[0] == folds[1] == folds[2]
+    assert len(found[0]) == len(folds[0]) == 514
+    for label, n in ((0, 450), (1, 50), (2, 1), (None, 13)):
+        of = [part for got, part in found[0].values() if got == label]
+        assert len(of) == n
+        assert (of.count("test"), of.count("validation")) == (int(n * 0.2 + 0.5), int(n * 0.1 + 0.5))
+        sizes = [list(folds[0].values()).count((label, k)) for k in range(4)]
+        assert max(sizes) - min(sizes) <= 1
+    totals = [sum(k == fold for _, fold in folds[0].values()) for k in range(4)]
+    assert max(totals) - min(totals) <= 1

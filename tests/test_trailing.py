@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from slipstream.operators.trailing import trailing_mean_delay
+from slipstream.operators.trailing import trailing_mean_at, trailing_mean_delay
 
 SCHEMA = "id long, Origin string, FlightDate date, DepHour int, DepDelay double"
 DAY0 = dt.date(2023, 1, 1)
@@ -82,3 +82,62 @@ def test_flights_are_not_shuffled(spark, small):
     plan = executed_plan_of(trailing_mean_delay(ad.legs(spark, small), "peers"))
     assert "Exchange" not in plan.replace("BroadcastExchange", "")
     assert "Window" not in plan and "BroadcastHashJoin" in plan
+
+
+TIMED = "id long, k string, at timestamp_ntz, DepDelay double, _trail_n long"
+SPAN = dt.timedelta(minutes=20)
+
+
+def timed_rows(n=160, seed=11):
+    rng = random.Random(seed)
+    start = dt.datetime(2023, 12, 31, 23, 30)
+    return [
+        (
+            # Repeated rows, null times and keys, and times one microsecond beside the window's edge.
+            i // 2 if i < 20 else i, rng.choice(["hot", "hot", "b", None]),
+            None if rng.random() < 0.05 else start + dt.timedelta(
+                minutes=rng.randrange(0, 120, 5), microseconds=rng.randrange(-1, 2)),
+            rng.choice([None, 0.1, 0.2, 1e9, -3.25, float("nan"), float("inf")]), -i,
+        )
+        for i in range(n)
+    ]
+
+
+def timed_means(rows, mode, keyed):
+    out = []
+    for r in rows:
+        seen = [
+            q[3] for q in rows
+            if r[2] is not None and q[2] is not None and r[2] - SPAN < q[2] <= r[2]
+            and (mode == "peers" or q[2] < r[2]) and (not keyed or q[1] == r[1])
+            and q[3] is not None and abs(q[3]) < 1e12
+        ]
+        exact = sum(round(v * 1_000_000) for v in seen)
+        out.append((r[0], r[4], exact / 1_000_000 / len(seen) if seen else 0.0))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("task_rows", [3, 40, 10_000])
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("mode", ["peers", "strict"])
+def test_any_time_matches_loops(spark, mode, keyed, task_rows):
+    rows = timed_rows()
+    out = trailing_mean_at(
+        spark.createDataFrame(rows, TIMED).repartition(5), "at", SPAN, ["k"] if keyed else [], mode,
+        task_rows=task_rows,
+    )
+    assert out.columns == ["id", "k", "at", "DepDelay", "_trail_n", "rolling_avg_dep_delay"]
+    got = sorted((r.id, r["_trail_n"], r.rolling_avg_dep_delay) for r in out.collect())
+    want = timed_means(rows, mode, keyed)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-12)
+
+
+def test_any_time_of_counted_rows_and_empty_table(spark):
+    rows = [(1, "a", dt.datetime(2024, 1, 1, 5), 10.0, 0), (2, "b", dt.datetime(2024, 1, 1, 5, 1), 30.0, 0)]
+    frame = spark.createDataFrame(rows, TIMED)
+    out = trailing_mean_at(frame, "at", SPAN, counted=F.col("k") == "a", output="m")
+    assert {r.id: r.m for r in out.collect()} == {1: 10.0, 2: 10.0}
+    assert trailing_mean_at(frame.limit(0), "at").count() == 0
+    with pytest.raises(ValueError):
+        trailing_mean_at(frame, "at", mode="running")
