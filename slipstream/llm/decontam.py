@@ -12,8 +12,9 @@ lengths occur is looked up first, so benchmarks without short items cost nothing
 
 1. Benchmark seeds are made at every place, with the words around.
 2. A bit table of ``2 ** BITS`` entries tells which seeds can be among them. It has a fixed size, is
-   made by one aggregation and reaches the tasks as the value of a scalar subquery. Documents keep
-   the seeds that pass; a false pass costs a row in the next step and changes nothing.
+   made by one aggregation and reaches the tasks as the value of a scalar subquery, once each. Texts
+   are cut into overlapping blocks, so that a row stays small however long its text is. The seeds
+   that pass are kept; a false pass costs a row in the next step and changes nothing.
 3. These seeds are joined with the benchmark's; join size decides on broadcast or shuffle, and hot
    seeds are split by the adaptive skew join.
 4. Around every hit all windows that hold the seed are verified word by word.
@@ -38,7 +39,9 @@ MASKS = ((0, 1, 2, 3, 5, 7), (0, 1, 3, 7, 8, 9))
 # Fewest words of an item that is looked for as a whole.
 SHORTEST = 5
 BITS = 20
-_HASHES, _BITS = "_hashes", "_bits"
+# Places that are worked on as one row, and the words around them that a window can reach.
+BLOCK, REACH = 512, WINDOW - 1
+_HASHES = "_hashes"
 
 
 def _hashed(text: str) -> Column:
@@ -46,37 +49,45 @@ def _hashed(text: str) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seed(place: Column, mask: tuple[int, ...], number: int) -> Column:
-    return F.xxhash64(F.lit(number), *[F.get(_HASHES, place + F.lit(at)) for at in mask])
-
-
 def _slot(seed: Column) -> Column:
     return F.shiftrightunsigned(seed, 64 - BITS).cast("int")
 
 
+def _blocks(rows: DataFrame, names: list[str]) -> DataFrame:
+    """(names, first, _hashes): ``BLOCK`` words in a row with those up to a window around, null where none are."""
+    starts = F.when(F.size(_HASHES) > 0, F.sequence(F.lit(0), F.size(_HASHES) - 1, F.lit(BLOCK)))
+    firsts = rows.select(*names, _HASHES, F.explode(starts).alias("first"))
+    return firsts.select(*names, "first", F.transform(
+        F.sequence(F.col("first") - REACH, F.col("first") + BLOCK + REACH - 1), lambda at: F.get(_HASHES, at)
+    ).alias(_HASHES))
+
+
 def _seeds(rows: DataFrame, names: list[str], short: list[int], table: DataFrame | None = None) -> DataFrame:
     """Seeds of every place, with the words up to a window around; those that pass the bit table.
 
     ``short`` lists lengths of whole items; their seeds are numbered after those of the masks.
     """
-    if table is not None:
-        rows = rows.withColumn(_BITS, table.scalar())
     looks = [(n, mask, WINDOW - mask[-1] - 1, WINDOW - 1) for n, mask in enumerate(MASKS)]
     looks += [(len(MASKS) + n, tuple(range(n)), 0, n - 1) for n in short]
-    found = []
+    places = F.sequence(F.lit(REACH), F.lit(REACH + BLOCK - 1))
+    made = []
     for number, mask, before, after in looks:
-        places = F.when(  # no place fits into fewer words
-            F.size(_HASHES) > mask[-1], F.sequence(F.lit(0), F.size(_HASHES) - 1 - mask[-1])
-        ).otherwise(F.array().cast("array<int>"))
-        if table is not None:
-            places = F.filter(places, lambda p: marked(F.col(_BITS), _slot(_seed(p, mask, number))))  # noqa: B023
-        found.append(F.transform(places, lambda p: F.struct(  # noqa: B023
-            F.lit(number).alias("mask"), p.alias("place"), _seed(p, mask, number).alias("seed"),
-            F.transform(
-                F.sequence(p - before, p + after), lambda at: F.get(_HASHES, at)
-            ).alias("words"),
-        )))
-    return rows.select(*names, F.explode(F.concat(*found)).alias("x")).select(*names, "x.*")
+        # No place fits into fewer words.
+        made.append(F.transform(
+            F.filter(places, lambda p: F.get(_HASHES, p + mask[-1]).isNotNull()),  # noqa: B023
+            lambda p: F.struct(
+                F.lit(number).alias("mask"), p.alias("place"),  # noqa: B023
+                F.xxhash64(F.lit(number), *[F.get(_HASHES, p + F.lit(at)) for at in mask]).alias("seed"),  # noqa: B023
+                F.lit(before).alias("before"), F.lit(before + after + 1).alias("size"),  # noqa: B023
+            ),
+        ))
+    found = _blocks(rows, names).select(*names, "first", _HASHES, F.explode(F.concat(*made)).alias("x"))
+    if table is not None:
+        found = found.where(marked(table.scalar(), _slot(F.col("x.seed"))))
+    return found.select(
+        *names, "x.mask", (F.col("first") + F.col("x.place") - REACH).alias("place"), "x.seed",
+        F.slice(_HASHES, F.col("x.place") - F.col("x.before") + 1, F.col("x.size")).alias("words"),
+    )
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
