@@ -28,10 +28,12 @@ names; those of the benchmark are not used. Empty tables give no rows, or no ove
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipstream.llm.common import bit_table, marked, packed, text_key, unpacked, with_names
+from slipstream.llm.common import bit_table, marked, packed, text_key, unpacked, with_names, written
 
 WINDOW, SUBSTITUTED = 13, 2
 # Places of the words that a seed looks at.
@@ -56,10 +58,11 @@ def _slot(seed: Column) -> Column:
 def _blocks(rows: DataFrame, names: list[str]) -> DataFrame:
     """(names, first, _hashes): ``BLOCK`` words in a row with those up to a window around, null where none are."""
     starts = F.when(F.size(_HASHES) > 0, F.sequence(F.lit(0), F.size(_HASHES) - 1, F.lit(BLOCK)))
-    firsts = rows.select(*names, _HASHES, F.explode(starts).alias("first"))
-    return firsts.select(*names, "first", F.transform(
-        F.sequence(F.col("first") - REACH, F.col("first") + BLOCK + REACH - 1), lambda at: F.get(_HASHES, at)
-    ).alias(_HASHES))
+    # Cut inside the row, so that no block carries the whole text along.
+    blocks = F.transform(starts, lambda first: F.struct(first.alias("first"), F.transform(
+        F.sequence(first - REACH, first + BLOCK + REACH - 1), lambda at: F.get(_HASHES, at)
+    ).alias(_HASHES)))
+    return rows.select(*names, F.explode(blocks).alias("x")).select(*names, "x.first", f"x.{_HASHES}")
 
 
 def _seeds(rows: DataFrame, names: list[str], short: list[int], table: DataFrame | None = None) -> DataFrame:
@@ -69,24 +72,30 @@ def _seeds(rows: DataFrame, names: list[str], short: list[int], table: DataFrame
     """
     looks = [(n, mask, WINDOW - mask[-1] - 1, WINDOW - 1) for n, mask in enumerate(MASKS)]
     looks += [(len(MASKS) + n, tuple(range(n)), 0, n - 1) for n in short]
-    places = F.sequence(F.lit(REACH), F.lit(REACH + BLOCK - 1))
-    made = []
-    for number, mask, before, after in looks:
+    places = _blocks(rows, names).select(
+        *names, "first", _HASHES, F.explode(F.sequence(F.lit(REACH), F.lit(REACH + BLOCK - 1))).alias("at")
+    )
+
+    def seed(number: int, mask: tuple[int, ...]) -> Column:
+        words = [F.get(_HASHES, F.col("at") + F.lit(k)) for k in mask]
         # No place fits into fewer words.
-        made.append(F.transform(
-            F.filter(places, lambda p: F.get(_HASHES, p + mask[-1]).isNotNull()),  # noqa: B023
-            lambda p: F.struct(
-                F.lit(number).alias("mask"), p.alias("place"),  # noqa: B023
-                F.xxhash64(F.lit(number), *[F.get(_HASHES, p + F.lit(at)) for at in mask]).alias("seed"),  # noqa: B023
-                F.lit(before).alias("before"), F.lit(before + after + 1).alias("size"),  # noqa: B023
-            ),
-        ))
-    found = _blocks(rows, names).select(*names, "first", _HASHES, F.explode(F.concat(*made)).alias("x"))
-    if table is not None:
-        found = found.where(marked(table.scalar(), _slot(F.col("x.seed"))))
+        return F.when(words[-1].isNotNull(), F.xxhash64(F.lit(number), *words))
+
+    def passes(made: Column) -> Column:
+        return F.lit(True) if table is None else marked(table.scalar(), _slot(made))
+
+    # Plain expressions of one place, so that most places go before anything is made of them.
+    some = [made.isNotNull() & passes(made) for made in (seed(n, mask) for n, mask, _, _ in looks)]
+    made = F.array(*[F.struct(
+        F.lit(n).alias("mask"), seed(n, mask).alias("seed"), F.lit(before).alias("before"),
+        F.lit(before + after + 1).alias("size"),
+    ) for n, mask, before, after in looks])
+    found = places.where(reduce(lambda a, b: a | b, some)).select(
+        *names, "first", _HASHES, "at", F.explode(made).alias("x")
+    ).where(F.col("x.seed").isNotNull() & passes(F.col("x.seed")))
     return found.select(
-        *names, "x.mask", (F.col("first") + F.col("x.place") - REACH).alias("place"), "x.seed",
-        F.slice(_HASHES, F.col("x.place") - F.col("x.before") + 1, F.col("x.size")).alias("words"),
+        *names, "x.mask", (F.col("first") + F.col("at") - REACH).alias("place"), "x.seed",
+        F.slice(_HASHES, F.col("at") - F.col("x.before") + 1, F.col("x.size")).alias("words"),
     )
 
 
@@ -106,7 +115,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", text_key().alias("_key"), _hashed("text").alias(_HASHES)
     )
     slots = theirs.select(_slot(F.col("seed")).alias("slot")).distinct()
-    ours = _seeds(rows, ["doc_id", "_key"], sorted(short), bit_table(slots, BITS))
+    ours = _seeds(rows, ["doc_id", "_key"], sorted(short), written(bit_table(slots, BITS)))
     theirs = theirs.withColumnRenamed("words", "item")
     hits = ours.join(theirs, ["mask", "seed"]).withColumn(
         "same", F.zip_with("words", "item", lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
