@@ -68,7 +68,24 @@ LF_RANGE = (0.20, 0.98)
 NEW_FLIGHT_LF_RANGE = (0.20, 0.97)
 OTP_RANGE = (0.40, 0.99)
 DEFAULT_RUNS = 10000
-EXPORT_RUNS = 5000
+# The 90th percentile of a standard normal variable.
+Z_TENTH = 1.2815515655446004
+# Abramowitz and Stegun, 7.1.26: the complement of the error function by a polynomial.
+ERROR_FUNCTION = (0.3275911, 0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+# Wording of the what-if reports.
+RECOMMENDATION_TEXT = "%s: %s%d daily %s flight (%s) → LF %+.1fpp, OTP %+.1fpp, Revenue $%+.1fM/yr"
+STRATEGY_TEXT = "  [%-10s] LF=%.1f%% (%+.1fpp) | OTP=%.1f%% (%+.1fpp) | Rev=%+.1fM"
+NARRATIVE_HEAD = """=== Scenario Analysis: %s %+d Daily Flight(s) ===
+
+BASELINE STATE:
+  Load Factor:  %.1f%%
+  OTP:          %.1f%%
+
+SCENARIO COMPARISON:"""
+NARRATIVE_END = """
+BEST OPTION:
+  %s"""
 
 # Forecast intervals: multiples of sigma for the 80 % and 95 % bands.
 Z80 = 1.28

@@ -53,8 +53,13 @@ def prepare_training(
 
 def hash_band(seed: int, buckets: int, *keys: str) -> Column:
     """Bucket 0..buckets-1 from a row's key: the same in every run, and no shuffle."""
-    mixed = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), *map(F.col, keys)), 11)
-    return (mixed % F.lit(buckets)).cast("int")
+    first = F.conv(F.substring(_mixed(seed, keys), 1, 8), 16, 10).cast("long")
+    return (first % F.lit(buckets)).cast("int")
+
+
+def _mixed(seed: int, keys: Sequence[str]) -> Column:
+    """Hash of a row's key as text, the same on other engines."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
 def split_rows(
@@ -74,13 +79,12 @@ def _ranked(
     df: DataFrame, keys: Sequence[str], label: str, seed: int, task_rows: int
 ) -> DataFrame:
     """Rank of each row within its class, in hash order of its key, and the class's size and offset."""
-    mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     # One row per class.
     sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
     earlier = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
     places = running_totals(
-        df.withColumn("_mixed", mixed), [label], [F.col("_mixed"), *[F.col(k) for k in keys]],
+        df.withColumn("_mixed", _mixed(seed, keys)), [label], [F.col("_mixed"), *[F.col(k) for k in keys]],
         {"_place": F.lit(1)}, task_rows,
     )
     return attach(places, sizes, [label])

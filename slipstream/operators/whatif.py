@@ -1,8 +1,7 @@
-"""What-if evaluation of schedule changes by repeated random draws.
+"""What-if evaluation of schedule changes.
 
-Scenarios are rows; the number of scenarios is the scale. A draw is a function of (seed, scenario,
-strategy, run, stream) alone, so results do not change with partitioning, retries or engine
-restarts. Runs are produced in place by a generator: no join multiplies rows.
+Scenarios are rows; the number of scenarios is the scale. Means, ranges and chances follow in closed
+form from the moments of demand, yield and cost, one projection per scenario and strategy.
 """
 
 from __future__ import annotations
@@ -13,13 +12,8 @@ from pyspark.sql import functions as F
 from slipstream import fixed_values as fv
 from slipstream.functions.columns import clamp, first_match, literal_table, rounded
 from slipstream.operators.features import route_table
-from slipstream.operators.ordered import TASK_ROWS, percentiles
 
 KEY = ["scenario_id", "schedule_change"]
-# Runs one generator row produces; more runs are spread over several rows first.
-BLOCK = 10_000
-# Up to this many runs of a scenario are sorted in memory, as one array.
-SORTED_RUNS = 100_000
 
 
 def strategy_table(spark: SparkSession) -> DataFrame:
@@ -109,106 +103,55 @@ def expected_effects(prepared: DataFrame) -> DataFrame:
     })
 
 
-def uniform(seed: int, stream: int, scenario: str, strategy: str, run: str) -> Column:
-    """Uniform draw in (0, 1) that depends on nothing but its keys.
+def normal_cdf(z: Column) -> Column:
+    """Share of a standard normal variable below ``z``, to seven digits."""
+    p, *terms = fv.ERROR_FUNCTION
+    size = F.abs(z) / F.lit(2.0) ** 0.5
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(p) * size)
+    series = F.lit(0.0)
+    for a in reversed(terms):
+        series = (series + F.lit(a)) * t
+    tail = series * F.exp(-size * size) / F.lit(2.0)
+    return F.when(z >= 0, F.lit(1.0) - tail).otherwise(tail)
 
-    Seed, run, strategy number and stream are packed into one number without overlap (run below
-    2**31, strategy below 8, stream below 4), which is hashed together with the scenario.
-    """
-    code = F.expr(f"{seed * 2**36 + stream}L + bigint({run}) * 32L + {strategy} * 4L")
-    bits = F.shiftrightunsigned(F.xxhash64(F.col(scenario).cast("long"), code), 11)
-    return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**53))
-
-
-def normal_pair(seed: int, pair: int, *keys: str) -> tuple[Column, Column]:
-    """Two independent standard normal draws for (scenario, strategy number, run)."""
-    radius = F.sqrt(F.lit(-2.0) * F.ln(uniform(seed, 2 * pair, *keys)))
-    angle = F.lit(2.0) * F.pi() * uniform(seed, 2 * pair + 1, *keys)
-    return radius * F.cos(angle), radius * F.sin(angle)
 
+def outcomes(prepared: DataFrame) -> DataFrame:
+    """Load factor, punctuality and yearly revenue change per accepted scenario and strategy.
 
-def simulate(prepared: DataFrame, seed: int = 42) -> DataFrame:
-    """One row per run: run, load factor, punctuality and yearly revenue change."""
-    runs = F.col("simulation_runs")
-    base = expected_effects(accepted(prepared)).where(runs > 0)
-    blocks = base.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), ((runs - 1) / BLOCK).cast("int")))
-    )
-    # Spread scenarios and blocks evenly before they are multiplied into runs.
-    blocks = blocks.repartition(*[F.col(k) for k in KEY], F.col("_block"))
-    first = F.col("_block") * BLOCK
-    drawn = blocks.withColumn(
-        "run", F.explode(F.sequence(first, F.least(first + BLOCK, runs) - 1))
-    )
-    draw_key = ("scenario_id", "strategy_rank", "run")
-    z_demand, z_yield = normal_pair(seed, 0, *draw_key)
-    z_cost, z_otp = normal_pair(seed, 1, *draw_key)
-    drawn = drawn.withColumns({
-        "_demand": F.lit(1.0) + F.lit(fv.DEMAND_SIGMA) * z_demand,
-        "_yield": F.lit(1.0) + F.lit(fv.YIELD_SIGMA) * z_yield,
-        "_cost": F.lit(1.0) + F.lit(fv.COST_SIGMA) * z_cost,
-        "_otp_noise": F.lit(fv.OTP_SIGMA) * z_otp,
-    }).withColumns({
-        # One demand draw moves new and existing flights together.
-        "_new_lf": clamp(F.col("new_lf_mean") * F.col("_demand"), *fv.LF_RANGE),
-        "_old_lf": clamp(F.col("existing_lf_mean") * F.col("_demand"), *fv.LF_RANGE),
-    })
+    Demand, yield and cost vary independently around 1 with the known deviations, and one demand
+    moves new and existing flights together. Load factor is then ``m * demand`` and revenue is
+    ``a * demand * yield - b * yield - c * cost``, whose mean and variance are known exactly: no run
+    is drawn. Ranges are the 10th and 90th percentiles of normal variables with these moments, and
+    the limits on load factor and punctuality apply to the results.
+    """
     delta, flights = F.col("additional_daily_flights"), F.col("daily_flights")
     seat_miles = F.lit(float(fv.SEATS_PER_DEPARTURE * fv.DAYS_PER_YEAR)) * F.col("distance")
-    added = delta * seat_miles * (
-        F.lit(fv.REVENUE_PER_SEAT_MILE) * F.col("_new_lf") * F.col("_yield")
-        - F.lit(fv.COST_PER_SEAT_MILE) * F.col("_cost")
-    )
-    kept = (
-        flights * seat_miles * F.lit(fv.REVENUE_PER_SEAT_MILE)
-        * (F.col("_old_lf") - F.col("base_lf")) * F.col("_yield")
-    )
-    mixed = (flights * F.col("_old_lf") + delta * F.col("_new_lf")) / F.col("daily_flights_after")
-    return drawn.select(
-        *KEY, "run",
-        clamp(mixed, *fv.LF_RANGE).alias("lf"),
-        clamp(F.col("otp_mean") + F.col("_otp_noise"), *fv.OTP_RANGE).alias("otp"),
-        (added + kept).alias("revenue"),
+    fare = seat_miles * F.lit(fv.REVENUE_PER_SEAT_MILE)
+    base = expected_effects(accepted(prepared)).withColumns({
+        "_lf": (flights * F.col("existing_lf_mean") + delta * F.col("new_lf_mean"))
+        / F.col("daily_flights_after"),
+        "_a": fare * (delta * F.col("new_lf_mean") + flights * F.col("existing_lf_mean")),
+        "_b": fare * flights * F.col("base_lf"),
+        "_c": seat_miles * F.lit(fv.COST_PER_SEAT_MILE) * delta,
+    })
+    a, kept, c = F.col("_a"), F.col("_a") - F.col("_b"), F.col("_c")
+    demand, yields, cost = (F.lit(x * x) for x in (fv.DEMAND_SIGMA, fv.YIELD_SIGMA, fv.COST_SIGMA))
+    variance = a * a * demand + kept * kept * yields + a * a * demand * yields + c * c * cost
+    base = base.withColumns({"_mean": kept - c, "_sd": F.sqrt(variance)})
+    z = F.lit(fv.Z_TENTH)
+    return base.select(
+        *KEY, clamp(F.col("_lf"), *fv.LF_RANGE).alias("mean_lf"),
+        clamp(F.col("otp_mean"), *fv.OTP_RANGE).alias("mean_otp"),
+        F.col("_mean").alias("mean_revenue"),
+        F.when(F.col("_sd") > 0, normal_cdf(F.col("_mean") / F.nullif("_sd", F.lit(0.0))))
+        .otherwise((F.col("_mean") > 0).cast("double")).alias("p_revenue_positive"),
+        *[clamp(F.col("_lf") * (F.lit(1.0) + sign * z * F.lit(fv.DEMAND_SIGMA)), *fv.LF_RANGE).alias(n)
+          for n, sign in (("p10_lf", -1), ("p90_lf", 1))],
+        *[(F.col("_mean") + sign * z * F.col("_sd")).alias(n)
+          for n, sign in (("p10_revenue", -1), ("p90_revenue", 1))],
     )
 
 
-def summarise(runs: DataFrame, task_rows: int = TASK_ROWS, max_runs: int | None = None) -> DataFrame:
-    """Means and 10th / 90th percentiles per scenario and strategy.
-
-    ``max_runs`` is the largest number of runs of one scenario, if known. A small number is sorted
-    in place, within the same aggregate as the means; otherwise the percentiles are found by rank,
-    in pieces where a scenario has very many runs.
-    """
-    means = [
-        F.avg("lf").alias("mean_lf"), F.avg("otp").alias("mean_otp"),
-        F.avg("revenue").alias("mean_revenue"),
-        F.avg((F.col("revenue") > 0).cast("double")).alias("p_revenue_positive"),
-    ]
-    names = {"lf": ("p10_lf", "p90_lf"), "revenue": ("p10_revenue", "p90_revenue")}
-    if max_runs is not None and max_runs <= min(task_rows, SORTED_RUNS):
-        lists = runs.groupBy(*KEY).agg(
-            *means, *[F.sort_array(F.collect_list(c)).alias(f"_{c}") for c in names]
-        )
-        return lists.withColumns({
-            n: _interpolated(f"_{c}", p)
-            for c, pair in names.items() for n, p in zip(pair, (0.1, 0.9))
-        }).drop(*[f"_{c}" for c in names])
-    out = runs.groupBy(*KEY).agg(*means)
-    for c, pair in names.items():
-        out = out.join(
-            percentiles(runs, KEY, c, dict(zip(pair, (0.1, 0.9))), task_rows=task_rows), KEY
-        )
-    return out
-
-
-def _interpolated(values: str, p: float) -> Column:
-    """Percentile of a sorted array by linear interpolation."""
-    at = f"({p}D * (size({values}) - 1))"
-    low = f"get({values}, int(floor({at})))"
-    high = f"get({values}, int(ceil({at})))"
-    return F.expr(f"{low} + ({high} - {low}) * ({at} - floor({at}))")
-
-
 def verdict(revenue: Column, otp_pp: Column) -> Column:
     return first_match(
         [
@@ -234,7 +177,7 @@ def comparison_table(prepared: DataFrame, summary: DataFrame) -> DataFrame:
     delta = F.col("additional_daily_flights")
     out = joined.withColumn("Verdict", verdict(F.col("mean_revenue"), otp_pp))
     sentence = F.format_string(
-        "%s: %s%d daily %s flight (%s) → LF %+.1fpp, OTP %+.1fpp, Revenue $%+.1fM/yr",
+        fv.RECOMMENDATION_TEXT,
         F.col("Verdict"), F.when(delta >= 0, "+").otherwise(""), delta, F.col("route"),
         F.col("strategy_label"), rounded(lf_pp, 1), rounded(otp_pp, 1),
         rounded(F.col("mean_revenue") / 1e6, 1),
@@ -268,7 +211,7 @@ def best_strategy(comparison: DataFrame) -> DataFrame:
 def narrative(comparison: DataFrame) -> DataFrame:
     """One text per scenario: baseline, the three strategies in order, the best option."""
     line = F.format_string(
-        "  [%-10s] LF=%.1f%% (%+.1fpp) | OTP=%.1f%% (%+.1fpp) | Rev=%+.1fM",
+        fv.STRATEGY_TEXT,
         F.upper("Schedule"), F.col("Projected_LF_%"), F.col("LF_Change_pp"),
         F.col("Projected_OTP_%"), F.col("OTP_Change_pp"),
         rounded(F.col("Annual_Revenue_Delta_M$"), 1),
@@ -284,23 +227,16 @@ def narrative(comparison: DataFrame) -> DataFrame:
     lines = F.array_join(F.transform("l", lambda s: s["line"]), "\n")
     text = F.concat_ws(
         "\n",
-        F.format_string("=== Scenario Analysis: %s %+d Daily Flight(s) ===", "route", "k"),
-        F.lit(""), F.lit("BASELINE STATE:"),
-        F.format_string("  Load Factor:  %.1f%%", "lf"), F.format_string("  OTP:          %.1f%%", "otp"),
-        F.lit(""), F.lit("SCENARIO COMPARISON:"), lines,
-        F.lit(""), F.lit("BEST OPTION:"), F.concat(F.lit("  "), F.col("best")),
+        F.format_string(fv.NARRATIVE_HEAD, "route", "k", "lf", "otp"), lines,
+        F.format_string(fv.NARRATIVE_END, "best"),
     )
     return grouped.select("scenario_id", F.col("route").alias("Route"), text.alias("narrative"))
 
 
-def compare(
-    scenarios: DataFrame, routes: DataFrame | None = None, runs: int = fv.DEFAULT_RUNS,
-    seed: int = 42,
-) -> DataFrame:
+def compare(scenarios: DataFrame, routes: DataFrame | None = None) -> DataFrame:
     """Comparison table of all strategies for each scenario row."""
-    asked = compare_strategies(scenarios).withColumn("simulation_runs", F.lit(int(runs)))
-    prepared = prepare_scenarios(asked, routes)
-    return comparison_table(prepared, summarise(simulate(prepared, seed), max_runs=runs))
+    prepared = prepare_scenarios(compare_strategies(scenarios), routes)
+    return comparison_table(prepared, outcomes(prepared))
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str] | None = None) -> DataFrame:

@@ -236,31 +236,3 @@ weather_impact as (
 
 def with_sql(*parts: str) -> str:
     return "with " + ",".join(parts) + "\n"
-
-
-# Fixed values of the public 64-bit hash (XXH64) that keyed draws use.
-_P1, _P2, _P3 = 11400714785074694791, 14029467366897019727, 1609587929392839161
-_P4, _P5 = 9650029242287828579, 2870177450012600261
-
-
-def hashed(source: str, value: str, seed: str, out: str) -> str:
-    """Subquery: ``source`` with the 64-bit hash of a non-negative number as a column ``out``."""
-    size = 2**64
-
-    def times(x: str, factor: int, plus: int = 0) -> str:
-        return f"((({x})::uhugeint * {factor}::uhugeint + {plus}::uhugeint) % {size}::uhugeint)::ubigint"
-
-    def rotated(x: str, bits: int) -> str:
-        return f"({times(x, 2**bits)} | ({x} >> {64 - bits}))"
-
-    start = f"((({seed})::uhugeint + {_P5 + 8}::uhugeint) % {size}::uhugeint)::ubigint"
-    steps = (
-        times(value, _P2), times(rotated("_h0", 31), _P1), f"xor({start}, _h1)",
-        times(rotated("_h2", 27), _P1, _P4), times("xor(_h3, _h3 >> 33)", _P2),
-        times("xor(_h4, _h4 >> 29)", _P3), "xor(_h5, _h5 >> 32)",
-    )
-    query_text = f"select * from {source}"
-    for i, step in enumerate(steps):
-        query_text = f"select *, {step} as _h{i} from ({query_text})"
-    dropped = ", ".join(f"_h{i}" for i in range(len(steps)))
-    return f"(select * exclude ({dropped}), _h{len(steps) - 1} as {out} from ({query_text}))"

@@ -12,15 +12,17 @@ from slipstream import fixed_values as fv
 from slipstream.functions.columns import rounded
 from slipstream.operators import cleaning, features, intent, rotation, scoring, snapshots, weather_join
 from slipstream.operators.asof import as_of_join
-from slipstream.operators.staging import shared_folder
+from slipstream.operators.staging import shared_folder, stage
 from slipstream.operators.trailing import trailing_mean_at, trailing_mean_delay
 from slipstream.plans import views
 from slipstream.registry.base import (
-    BUILDERS, CAPACITY, LEGS, LEGS_WEATHER, PERFORMANCE, SHIPMENTS, WEATHER, query, rnd, with_sql,
+    BUILDERS, CAPACITY, LEGS, LEGS_WEATHER, OTP_SQL, PERFORMANCE, SHIPMENTS, WEATHER, mean_sql, query, rnd,
+    with_sql,
 )
 from slipstream.registry.report_queries import legs_with_weather
 from slipstream.sources import adapters as ad
-from slipstream.sources import readers, sinks
+from slipstream.sources import readers, rejects, sinks
+from slipstream.streaming import daily
 
 FL, LG, LW = with_sql(SHIPMENTS), with_sql(LEGS), with_sql(LEGS_WEATHER)
 
@@ -541,3 +543,69 @@ def _export(s: SparkSession, d: str) -> DataFrame:
     path, *_ = sinks.export_reports({"per_route": per_route} | sheets, _scratch(s, "export"))
     return readers.read_parquet(s, path)
 
+
+
+# ---- files with bad rows ------------------------------------------------------------------------
+# Rows that the entry spoils on purpose: lines with a day that is none, without a route, with text
+# for a delay.
+NO_DAY, NO_ROUTE, NO_DELAY = "l_orderkey % 13 = 0", "l_orderkey % 11 = 0", "l_partkey % 17 = 0"
+
+
+@query("s1_m12_reject_table", FL + f"""
+select case when {NO_DAY} or {NO_ROUTE} then 'rejected' else 'accepted' end as outcome,
+  case when {NO_DAY} then 'unreadable line' when {NO_ROUTE} then 'no Route' end as detail, count(*) as n
+from flights group by 1, 2
+union all
+select 'bad number', 'ArrDelay', count(*) from flights where {NO_DELAY} and not ({NO_DAY} or {NO_ROUTE})
+having count(*) > 0""")
+def _rejects(s: SparkSession, d: str) -> DataFrame:
+    """Flights as CSV with bad rows among them; every row leaves with its outcome."""
+    raw = ad.shipments_raw(s, d).withColumns({
+        "FlightDate": F.expr(f"case when {NO_DAY} then 'someday' else cast(FlightDate as string) end"),
+        "Route": F.expr(f"case when not ({NO_ROUTE}) then Route end"),
+        "ArrDelay": F.expr(f"case when {NO_DELAY} then 'late' else cast(ArrDelay as string) end"),
+    })
+    path = _scratch(s, "spoilt-csv")
+    raw.select(*[
+        (F.col(f.name).cast("string") if f.name in raw.columns else F.lit(None).cast("string")).alias(f.name)
+        for f in readers.schemas.FLIGHTS_RAW
+    ]).write.option("header", True).csv(path)
+    rows = rejects.read_permissive(s, path, readers.schemas.FLIGHTS_RAW)
+    return rejects.summary(*rejects.split(rows, cleaning.FLIGHT_KEYS, cleaning.FLIGHT_MEASURES))
+
+
+# ---- files that arrive --------------------------------------------------------------------------
+_STREAMED = """
+streamed as (select *, cast("FlightDate" as timestamp) + to_hours("DepHour") as moment from legs),
+done as (select * from streamed where "FlightDate" + interval 1 day
+  <= (select max(moment) from streamed) - interval 2 day)"""
+
+
+def _streamed_days(s: SparkSession, d: str) -> DataFrame:
+    """Legs in two deliveries, each worked off by a stream of its own from one checkpoint."""
+    flights = stage(ad.legs(s, d).selectExpr(
+        "from_utc_timestamp(timestamp(FlightDate) + make_interval(0, 0, 0, 0, DepHour), current_timezone())"
+        " as event_time", "Route", "Cancelled",
+        "ArrDel15", "ArrDelay"))
+    ends = flights.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
+    cut = ends.select(F.timestamp_seconds((F.unix_timestamp("lo") + F.unix_timestamp("hi")) / 2)).scalar()
+    source, target, checkpoint = _scratch(s, "arriving"), _scratch(s, "days"), _scratch(s, "progress")
+    earlier = F.col("event_time") < cut
+    for delivery in (flights.where(earlier), flights.where(~earlier)):
+        delivery.write.mode("append").parquet(source)
+        daily.advance(s, source, flights.schema, target, checkpoint)
+    return daily.final_days(s, target)
+
+
+query("q2_streamed_days", with_sql(LEGS, _STREAMED) + """
+select "FlightDate" as day, "Route", count(*) as total, cast(sum("Cancelled") as bigint) as cancelled,
+  count(*) filter ("Cancelled" = 0) as operated,
+  count(*) filter ("Cancelled" = 0 and "ArrDel15" = 0) as punctual,
+  sum("ArrDelay") filter ("Cancelled" = 0) as arr_minutes,
+  count("ArrDelay") filter ("Cancelled" = 0) as arr_known
+from done group by 1, 2""")(_streamed_days)
+query("q2_streamed_months", with_sql(LEGS, _STREAMED) + f"""
+select "Year", "Month", count(*) as total_flights, cast(sum("Cancelled") as bigint) as cancelled_flights,
+  {OTP_SQL} as network_otp, {mean_sql("ArrDelay")} as avg_arr_delay,
+  count(distinct "Route") as routes_operated
+from done group by 1, 2""")(lambda s, d: daily.monthly_summary(_streamed_days(s, d)))

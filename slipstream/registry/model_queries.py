@@ -13,9 +13,9 @@ from slipstream.operators import classifier, forecast, ordered, quality, scoring
 from slipstream.operators.staging import shared_folder, stage
 from slipstream.plans import reports
 from slipstream.registry.base import (
-    LEGS, SHIPMENTS, WEATHER, capacity_sql, hashed, query, rnd, with_sql,
+    LEGS, SHIPMENTS, WEATHER, capacity_sql, query, rnd, with_sql,
 )
-from slipstream.registry.feature_queries import SCORED_SQL, TAU, leg_features, scored_legs
+from slipstream.registry.feature_queries import SCORED_SQL, leg_features, scored_legs
 from slipstream.registry.report_queries import legs_with_weather
 from slipstream.sources import adapters as ad
 
@@ -558,14 +558,14 @@ from (select *, daily_flights_after / daily_flights as fr,
     "scenario_id", "schedule_change", *EFFECTS), EFFECTS))
 
 
-def comparison(s: SparkSession, d: str, runs: int = fv.EXPORT_RUNS) -> DataFrame:
+def comparison(s: SparkSession, d: str) -> DataFrame:
     """All strategies for one more flight on every route."""
     config = stage(route_config(s, d))
     plus_one = config.select(
         F.col("distance").cast("long").alias("scenario_id"), "route",
         F.lit(1).alias("additional_daily_flights"),
     )
-    return whatif.compare(plus_one, config, runs=runs)
+    return whatif.compare(plus_one, config)
 
 
 PLUS_ONE_SQL = CONFIG_SQL.replace("""
@@ -577,58 +577,43 @@ scenarios as (
     strategy as schedule_change from config, strategies),
 prepared as (""", 1)
 
-
-def simulation_sql(config: str, runs: int, seed: int = 42) -> str:
-    """The runs of every accepted scenario, from the same keyed draws."""
-    code = f"{seed * 2**36} + run * 32 + strategy_rank * 4 + stream"
-    draws = hashed(hashed(
-        f"""(select scenario_id, schedule_change, strategy_rank, run, stream
-      from prepared, range({runs}) r(run), range(4) s(stream) where reject_reason is null)""",
-        "scenario_id", "42", "_key"), code, "_key", "bits")
-    return config + f""",
-draws as (
-  select scenario_id, schedule_change, run,
-    max(u) filter (stream = 0) as u0, max(u) filter (stream = 1) as u1,
-    max(u) filter (stream = 2) as u2, max(u) filter (stream = 3) as u3
-  from (select *, ((bits >> 11)::double + 0.5) / {2**53}::double as u from {draws})
-  group by 1, 2, 3),
-noise as (
-  select *, 1 + 0.05::double * sqrt(-2 * ln(u0)) * cos({TAU} * u1) as demand,
-    1 + 0.04::double * sqrt(-2 * ln(u0)) * sin({TAU} * u1) as yields,
-    1 + 0.03::double * sqrt(-2 * ln(u2)) * cos({TAU} * u3) as costs,
-    0.012::double * sqrt(-2 * ln(u2)) * sin({TAU} * u3) as shift from draws),
+_P, *_TERMS = fv.ERROR_FUNCTION
+_SERIES = "0.0::double"
+for _a in reversed(_TERMS):
+    _SERIES = f"({_SERIES} + {_a}::double) * t"
+# Means, deviations and percentiles of every accepted scenario.
+OUTCOMES_SQL = f""",
 effects as (
   select *, {EFFECTS["new_lf_mean"]} as new_mean, {EFFECTS["existing_lf_mean"]} as old_mean,
-    {EFFECTS["otp_mean"]} as otp_mean
+    {EFFECTS["otp_mean"]} as otp_mean, 64970::double * distance as seat_miles
   from (select *, daily_flights_after / daily_flights as fr,
       1 + 0.3::double * (daily_flights_after / daily_flights - 1) as st
     from prepared where reject_reason is null)),
-outcomes as (
-  select *, least(greatest(new_mean * demand, 0.2::double), 0.98::double) as new_lf,
-    least(greatest(old_mean * demand, 0.2::double), 0.98::double) as old_lf
-  from effects join noise using (scenario_id, schedule_change)),
-runs as (
-  select scenario_id, schedule_change, run,
-    least(greatest((daily_flights * old_lf + additional_daily_flights * new_lf)
-      / daily_flights_after, 0.2::double), 0.98::double) as lf,
-    least(greatest(otp_mean + shift, 0.4::double), 0.99::double) as otp,
-    178 * 365 * distance * (
-      additional_daily_flights * (0.1025::double * new_lf * yields - 0.092::double * costs)
-      + daily_flights * 0.1025::double * (old_lf - base_lf) * yields) as revenue
-  from outcomes)"""
-
-
-SUMMARY_SQL = """,
+parts as (
+  select *, (daily_flights * old_mean + additional_daily_flights * new_mean) / daily_flights_after as lf,
+    seat_miles * 0.1025::double * (additional_daily_flights * new_mean + daily_flights * old_mean) as a,
+    seat_miles * 0.1025::double * daily_flights * base_lf as b,
+    seat_miles * 0.092::double * additional_daily_flights as c
+  from effects),
+moments as (
+  select *, a - b - c as mean_revenue, sqrt(a * a * 0.0025::double + (a - b) * (a - b) * 0.0016::double
+    + a * a * 0.0025::double * 0.0016::double + c * c * 0.0009::double) as sd
+  from parts),
+shares as (
+  select *, 1 / (1 + {_P}::double * size) as t
+  from (select *, abs(mean_revenue / nullif(sd, 0)) / sqrt(2.0::double) as size from moments)),
 summary as (
-  select scenario_id, schedule_change, avg(lf) as mean_lf, avg(otp) as mean_otp,
-    avg(revenue) as mean_revenue,
-    avg(case when revenue > 0 then 1.0::double else 0.0::double end) as p_revenue_positive,
-    quantile_cont(lf, 0.1) as p10_lf, quantile_cont(lf, 0.9) as p90_lf,
-    quantile_cont(revenue, 0.1) as p10_revenue, quantile_cont(revenue, 0.9) as p90_revenue
-  from runs group by 1, 2)"""
-def comparison_sql(runs: int) -> str:
-    """Comparison table of ``comparison`` for a number of runs that SQL can manage."""
-    return simulation_sql(PLUS_ONE_SQL, runs) + SUMMARY_SQL + f""",
+  select scenario_id, schedule_change, least(greatest(lf, 0.2::double), 0.98::double) as mean_lf,
+    least(greatest(otp_mean, 0.4::double), 0.99::double) as mean_otp, mean_revenue,
+    case when sd > 0 then case when mean_revenue >= 0 then 1 - {_SERIES} * exp(-size * size) / 2
+      else {_SERIES} * exp(-size * size) / 2 end
+      when mean_revenue > 0 then 1.0::double else 0.0::double end as p_revenue_positive,
+    least(greatest(lf * (1 - {fv.Z_TENTH}::double * 0.05::double), 0.2::double), 0.98::double) as p10_lf,
+    least(greatest(lf * (1 + {fv.Z_TENTH}::double * 0.05::double), 0.2::double), 0.98::double) as p90_lf,
+    mean_revenue - {fv.Z_TENTH}::double * sd as p10_revenue,
+    mean_revenue + {fv.Z_TENTH}::double * sd as p90_revenue
+  from shares)"""
+COMPARISON_SQL = PLUS_ONE_SQL + OUTCOMES_SQL + """,
 comparison as (
   select *, Verdict || ': ' || printf('+%d daily %s flight (%s) → LF %+.1fpp, OTP %+.1fpp, Revenue $%+.1fM/yr',
       "Additional_Daily_Flights", "Route", "Scenario", "LF_Change_pp", "OTP_Change_pp", revenue_m)
@@ -637,58 +622,46 @@ comparison as (
     select scenario_id, route as "Route", strategy_rank,
       additional_daily_flights as "Additional_Daily_Flights", strategy_label as "Scenario",
       schedule_change as "Schedule", daily_flights as "Daily_Flights_Before",
-      daily_flights_after as "Daily_Flights_After", {rnd("base_lf * 100", 1)} as "Baseline_LF_%",
-      {rnd("mean_lf * 100", 1)} as "Projected_LF_%",
-      {rnd("(mean_lf - base_lf) * 100", 1)} as "LF_Change_pp",
-      {rnd("p10_lf * 100", 1)} as "LF_P10_%", {rnd("p90_lf * 100", 1)} as "LF_P90_%",
-      {rnd("base_otp * 100", 1)} as "Baseline_OTP_%",
-      {rnd("mean_otp * 100", 1)} as "Projected_OTP_%",
-      {rnd("(mean_otp - base_otp) * 100", 1)} as "OTP_Change_pp",
-      {rnd("mean_revenue / 1e6", 2)} as "Annual_Revenue_Delta_M$",
-      {rnd("mean_revenue / 1e6", 1)} as revenue_m,
-      {rnd("p10_revenue / 1e6", 2)} as "Rev_P10_M$", {rnd("p90_revenue / 1e6", 2)} as "Rev_P90_M$",
+      daily_flights_after as "Daily_Flights_After", """ + ", ".join(
+    f"{rnd(x, n)} as {name}" for x, n, name in (
+        ("base_lf * 100", 1, '"Baseline_LF_%"'), ("mean_lf * 100", 1, '"Projected_LF_%"'),
+        ("(mean_lf - base_lf) * 100", 1, '"LF_Change_pp"'), ("p10_lf * 100", 1, '"LF_P10_%"'),
+        ("p90_lf * 100", 1, '"LF_P90_%"'), ("base_otp * 100", 1, '"Baseline_OTP_%"'),
+        ("mean_otp * 100", 1, '"Projected_OTP_%"'), ("(mean_otp - base_otp) * 100", 1, '"OTP_Change_pp"'),
+        ("mean_revenue / 1e6", 2, '"Annual_Revenue_Delta_M$"'), ("mean_revenue / 1e6", 1, "revenue_m"),
+        ("p10_revenue / 1e6", 2, '"Rev_P10_M$"'), ("p90_revenue / 1e6", 2, '"Rev_P90_M$"'),
+    )) + """,
       case when mean_revenue > 0 and (mean_otp - base_otp) * 100 > -3 then 'RECOMMENDED'
         when mean_revenue > 0 then 'PROCEED WITH CAUTION' else 'NOT RECOMMENDED' end as "Verdict"
     from prepared join summary using (scenario_id, schedule_change)))"""
-
-
 SUMMARY_COLUMNS = (
     "mean_lf", "mean_otp", "p_revenue_positive", "p10_lf", "p90_lf", "mean_revenue",
     "p10_revenue", "p90_revenue",
 )
 
 
-@query("x2_a17_outcome_histogram", with_sql(simulation_sql(CONFIG_SQL, 1000)) + f""",
-ends as (select scenario_id, schedule_change, min(lf) as lo, (max(lf) - min(lf)) / 60 as w from runs
-  group by 1, 2)
-select scenario_id, schedule_change, bin, {rnd("any_value(lo) + any_value(w) * (bin - 1)", 6)}
+@query("x2_a17_outcome_histogram", with_sql(CONFIG_SQL + OUTCOMES_SQL) + f""",
+ends as (select schedule_change, min(mean_lf) as lo, (max(mean_lf) - min(mean_lf)) / 60 as w
+  from summary group by 1)
+select schedule_change, bin, {rnd("any_value(lo) + any_value(w) * (bin - 1)", 6)}
   as bin_low, {rnd("any_value(lo) + any_value(w) * bin", 6)} as bin_high, count(*) as n
-from (select *, case when w = 0 then 1 else least(cast(floor((lf - lo) / w) as integer) + 1, 60) end
-    as bin from runs join ends using (scenario_id, schedule_change))
-group by 1, 2, 3""")
+from (select *, case when w = 0 then 1 else least(cast(floor((mean_lf - lo) / w) as integer) + 1, 60) end
+    as bin from summary join ends using (schedule_change))
+group by 1, 2""")
 def _outcomes(s: SparkSession, d: str) -> DataFrame:
-    runs = stage(whatif.simulate(_prepared(s, d).withColumn("simulation_runs", F.lit(1000))))
-    return _rounded(whatif.histogram(runs, "lf", 60, whatif.KEY), ["bin_low", "bin_high"])
+    found = stage(whatif.outcomes(_prepared(s, d)))
+    return _rounded(whatif.histogram(found, "mean_lf", 60, ["schedule_change"]), ["bin_low", "bin_high"])
 
 
-@query("x3_a12_outcome_summary", with_sql(simulation_sql(CONFIG_SQL, 1000) + SUMMARY_SQL)
+@query("x3_a12_outcome_summary", with_sql(CONFIG_SQL + OUTCOMES_SQL)
        + "select scenario_id, schedule_change, " + ", ".join(
            f"{rnd(c, 0 if 'revenue' in c and c[:2] != 'p_' else 6)} as {c}"
            for c in SUMMARY_COLUMNS) + " from summary")
 def _summary(s: SparkSession, d: str) -> DataFrame:
-    prepared = _prepared(s, d).withColumn("simulation_runs", F.lit(1000))
-    out = whatif.summarise(whatif.simulate(prepared), max_runs=1000)
+    out = whatif.outcomes(_prepared(s, d))
     return _rounded(_rounded(out, SUMMARY_COLUMNS[:5]), SUMMARY_COLUMNS[5:], 0)
 
 
-# SQL takes minutes for the full number of runs, so these four have none here; the tests compare
-# them with the SQL below for fewer runs.
-query("x4_comparison_table")(comparison)
-query("x5_narrative")(lambda s, d: whatif.narrative(comparison(s, d)))
-query("w11_best_strategy")(lambda s, d: whatif.best_strategy(comparison(s, d)))
-query("q25_sheet_scenario_summary")(
-    lambda s, d: reports.sheet_scenario_summary(comparison(s, d)))
-
 BEST_SQL = """,
 ranked as (
   select *, row_number() over (partition by scenario_id
@@ -707,6 +680,28 @@ select scenario_id, "Route", printf('=== Scenario Analysis: %s %+d Daily Flight(
   || max("Recommendation") filter (place = 1) as narrative
 from ranked group by 1, 2"""
 
+
+query("x4_comparison_table", with_sql(COMPARISON_SQL) + "select * exclude (revenue_m) from comparison")(comparison)
+query("x5_narrative", with_sql(COMPARISON_SQL) + NARRATIVE_SQL)(
+    lambda s, d: whatif.narrative(comparison(s, d)))
+query("w11_best_strategy", with_sql(COMPARISON_SQL) + BEST_SQL
+      + " select * exclude (revenue_m, place) from ranked where place = 1")(
+    lambda s, d: whatif.best_strategy(comparison(s, d)))
+SCENARIO_SHEET = {
+    "Route": "Route", "Schedule Strategy": "Scenario", "Schedule": "Schedule",
+    "Flights Before": "Daily_Flights_Before", "Flights After": "Daily_Flights_After",
+    "Baseline LF %": "Baseline_LF_%", "Projected LF %": "Projected_LF_%",
+    "LF Change (pp)": "LF_Change_pp", "LF P10 %": "LF_P10_%", "LF P90 %": "LF_P90_%",
+    "Baseline OTP %": "Baseline_OTP_%", "Projected OTP %": "Projected_OTP_%",
+    "OTP Change (pp)": "OTP_Change_pp", "Annual Revenue Delta ($M)": "Annual_Revenue_Delta_M$",
+    "Revenue P10 ($M)": "Rev_P10_M$", "Revenue P90 ($M)": "Rev_P90_M$",
+    "Recommendation": "Recommendation",
+}
+query("q25_sheet_scenario_summary", with_sql(COMPARISON_SQL) + "select " + ", ".join(
+    f'"{source}" as "{header}"' for header, source in SCENARIO_SHEET.items()) + " from comparison")(
+    lambda s, d: reports.sheet_scenario_summary(comparison(s, d)))
+
+
 # ---- classifier ---------------------------------------------------------------------------------
 MATRIX = ("weather_severity", "prev_tail_dep_delay", "legs_today_before", "hour_of_day")
 
@@ -741,12 +736,14 @@ def _training(s: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
     return stage(classifier.split_rows(rows, ["event_id"])), names
 
 
+# Band of a key: the first 32 bits of its hash.
+BAND_SQL = "cast('0x' || substr(md5('42:' || event_id), 1, 8) as bigint) % 10000"
+
+
 @query("m2_split", LG + f"""
 select part, count(*) as n, {rnd('avg("ArrDel15")', 6)} as late_share
-from (select *, case when (bits >> 11) % 10000 < 2000 then 'test'
-    when (bits >> 11) % 10000 < 3000 then 'validation' else 'train' end as part
-  from {hashed(hashed('(select * from legs where "Cancelled" = 0)', "42", "42", "_key"),
-               "event_id", "_key", "bits")})
+from (select *, case when {BAND_SQL} < 2000 then 'test' when {BAND_SQL} < 3000 then 'validation'
+    else 'train' end as part from legs where "Cancelled" = 0)
 group by 1""")
 def _split(s: SparkSession, d: str) -> DataFrame:
     legs = ad.legs(s, d).where(F.col("Cancelled") == 0)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from slipstream.functions.aggregates import weighted_mean
 from slipstream.functions.columns import rounded
-from slipstream.operators import weather_join, whatif
+from slipstream.operators import sketches, weather_join, whatif
 from slipstream.operators.scoring import with_prediction
+from slipstream.operators.staging import stage
 from slipstream.plans import catalog, dashboards, reports, views
 from slipstream.registry.base import (
     CAPACITY, DECOMPOSITION, IMPACT, LEGS_WEATHER, PERFORMANCE, SHIPMENTS, SUMMARY, UTILIZATION,
@@ -513,3 +514,37 @@ def _errors(s: SparkSession, d: str) -> DataFrame:
     out = dashboards.error_profile(predicted, ["weather_severity", "DepHour"], label="ArrDel15")
     return _round_all(out, "avg_weather_severity", "avg_DepHour")
 
+
+
+# ---- mergeable summaries ------------------------------------------------------------------------
+def _sketched(s: SparkSession, d: str) -> DataFrame:
+    """Per route and year, from merged monthly sketches: whether the answers are inside the stated errors."""
+    keys, shares = ["Route", "Year"], {"p10": 0.1, "p75": 0.75, "p90": 0.9}
+    flights = ad.shipments(s, d).select("Route", "Year", "Month", "Tail_Number", "ArrDelay")
+    monthly = stage(sketches.build(flights, [*keys, "Month"], ["Tail_Number"], ["ArrDelay"]))
+    merged = sketches.answers(
+        sketches.merge(monthly, keys), keys, {n: ("ArrDelay", p) for n, p in shares.items()}
+    ).withColumnRenamed("Tail_Number_distinct", "tails")
+    # Exact counts of the same rows: vehicles, and the share of delays below and up to each answer.
+    exact = flights.groupBy(*keys, "Tail_Number", "ArrDelay").agg(F.count("ArrDelay").alias("n"))
+    known = F.nullif(F.sum("n"), F.lit(0))
+    checks = exact.join(merged, keys).groupBy(*keys, "n_rows", "tails").agg(
+        F.count_distinct("Tail_Number").alias("_tails"), F.sum("n").alias("known"),
+        *[F.greatest(
+            F.sum(F.when(F.col("ArrDelay") < F.col(n), F.col("n")).otherwise(0)) / known - F.lit(p),
+            F.lit(p) - F.sum(F.when(F.col("ArrDelay") <= F.col(n), F.col("n")).otherwise(0)) / known,
+        ).alias(n) for n, p in shares.items()],
+    )
+    # Twice the stated error at 99 %, and five standard deviations: no answer of thousands is outside.
+    bound = 2 * sketches.rank_error()
+    return checks.select(
+        *keys, "n_rows", "known",
+        (F.abs(F.col("tails") / F.col("_tails") - 1) <= 5 * sketches.distinct_error()).alias("tails_inside"),
+        *[(F.col(n) <= bound).alias(f"{n}_inside") for n in shares],
+    )
+
+
+query("a6_a11_a12_sketches", FL + """
+select "Route", "Year", count(*) as n_rows, count("ArrDelay") as known, true as tails_inside,
+  true as p10_inside, true as p75_inside, true as p90_inside
+from flights group by 1, 2""")(_sketched)

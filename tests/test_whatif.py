@@ -1,11 +1,9 @@
 from __future__ import annotations
 
 import math
-import struct
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from slipstream import fixed_values as fv
@@ -21,80 +19,49 @@ def prepared(spark, *rows):
     return whatif.prepare_scenarios(spark.createDataFrame(list(rows), SCHEMA))
 
 
-def keyed_uniform(seed, stream, scenario, rank, run):
-    """Chained 64-bit hash of the scenario and of the packed other keys."""
-    h = 42
-    for v in (scenario, seed * 2**36 + run * 32 + rank * 4 + stream):
-        h = xxhash.xxh64(struct.pack("<q", v), seed=h).intdigest()
-    return ((h >> 11) + 0.5) / 2**53
-
-
-def by_hand(scenario, route, k, strategy, runs, seed=42):
+def by_hand(route, k, strategy, runs=400_000, seed=5):
+    """The same quantities from many independent draws, with the limits inside each draw."""
     _, distance, otp, lf, flights, _ = next(r for r in fv.ROUTES if r[0] == route)
-    rank = [s[0] for s in fv.STRATEGIES].index(strategy)
-    _, capture, multiplier, _ = fv.STRATEGIES[rank]
+    _, capture, multiplier, _ = next(s for s in fv.STRATEGIES if s[0] == strategy)
+    draw = np.random.default_rng(seed)
     freq = (flights + k) / flights
-    stim = 1 + 0.30 * (freq - 1)
-    mean = min(max(lf * stim / freq * capture, 0.20), 0.97)
-    out = []
-    for run in range(runs):
-        z = []
-        for pair in (0, 1):
-            u1 = keyed_uniform(seed, 2 * pair, scenario, rank, run)
-            u2 = keyed_uniform(seed, 2 * pair + 1, scenario, rank, run)
-            r = math.sqrt(-2 * math.log(u1))
-            z += [r * math.cos(2 * math.pi * u2), r * math.sin(2 * math.pi * u2)]
-        demand, price, cost = 1 + 0.05 * z[0], 1 + 0.04 * z[1], 1 + 0.03 * z[2]
-        new = min(max(mean * demand, 0.2), 0.98)
-        old = min(max((lf - 0.005 * abs(k)) * demand, 0.2), 0.98)
-        mixed = min(max((flights * old + k * new) / (flights + k), 0.2), 0.98)
-        punctual = min(max(otp - k * 0.003 - (multiplier - 1) * 0.025 + 0.012 * z[3], 0.4), 0.99)
-        asm = abs(k) * 178 * distance * 365
-        sign = (k > 0) - (k < 0)
-        revenue = (
-            sign * asm * 0.1025 * new * price - sign * asm * 0.092 * cost
-            + flights * 178 * distance * 365 * 0.1025 * (old - lf) * price
-        )
-        out.append((mixed, punctual, revenue))
-    return np.array(out)
-
-
-@pytest.mark.parametrize("k, strategy", [(1, "all_day"), (-1, "off_peak"), (3, "peak_only")])
-def test_every_run_by_hand(spark, k, strategy):
-    base = prepared(spark, (7, "FLL-ATL", k, strategy, 40))
-    rows = whatif.simulate(base).orderBy("run").collect()
-    got = np.array([(r.lf, r.otp, r.revenue) for r in rows])
-    assert got == pytest.approx(by_hand(7, "FLL-ATL", k, strategy, 40))
-    (s,) = whatif.summarise(whatif.simulate(base), max_runs=40).collect()
-    assert s.p10_lf == pytest.approx(np.percentile(got[:, 0], 10))
-    assert s.p90_revenue == pytest.approx(np.percentile(got[:, 2], 90))
-    (slow,) = whatif.summarise(whatif.simulate(base), task_rows=7).collect()
-    assert (slow.p10_lf, slow.p90_lf, slow.p10_revenue, slow.p90_revenue) == pytest.approx(
-        (s.p10_lf, s.p90_lf, s.p10_revenue, s.p90_revenue))
-
-
-@pytest.mark.parametrize("partitions", [1, 17])
-def test_draws_do_not_depend_on_partitions(spark, partitions):
-    base = prepared(spark, (1, "FLL-ATL", 1, "all_day", 500))
-    one = whatif.simulate(base).agg(F.sum("revenue")).first()[0]
-    other = whatif.simulate(base.repartition(partitions)).agg(F.sum("revenue")).first()[0]
-    assert other == pytest.approx(one, rel=1e-12)
-
-
-def test_more_runs_than_one_block(spark, monkeypatch):
-    base = prepared(spark, (1, "FLL-ATL", 1, "all_day", 25))
-    want = [tuple(r) for r in whatif.simulate(base).orderBy("run").collect()]
-    monkeypatch.setattr(whatif, "BLOCK", 10)
-    assert [tuple(r) for r in whatif.simulate(base).orderBy("run").collect()] == want
-
-
-def test_draws_are_standard_normal(spark):
-    a, b = whatif.normal_pair(1, 0, "scenario", "strategy", "id")
-    ids = spark.range(200_000).selectExpr("id", "id % 9 as scenario", "int(id % 3) as strategy")
-    r = ids.select(a.alias("a"), b.alias("b")).agg(
-        F.avg("a"), F.stddev("a"), F.avg("b"), F.stddev("b"), F.corr("a", "b")).first()
-    assert (r[0], r[2], r[4]) == pytest.approx((0, 0, 0), abs=0.01)
-    assert (r[1], r[3]) == pytest.approx((1, 1), abs=0.01)
+    mean = min(max(lf * (1 + 0.30 * (freq - 1)) / freq * capture, 0.20), 0.97)
+    demand, price, cost = (1 + s * draw.standard_normal(runs) for s in (0.05, 0.04, 0.03))
+    new = np.clip(mean * demand, 0.2, 0.98)
+    old = np.clip((lf - 0.005 * abs(k)) * demand, 0.2, 0.98)
+    miles = 178 * distance * 365
+    revenue = (
+        k * miles * (0.1025 * new * price - 0.092 * cost) + flights * miles * 0.1025 * (old - lf) * price
+    )
+    mixed = np.clip((flights * old + k * new) / (flights + k), 0.2, 0.98)
+    return mixed, otp - k * 0.003 - (multiplier - 1) * 0.025, revenue
+
+
+@pytest.mark.parametrize("k, strategy", [(1, "all_day"), (-1, "off_peak"), (3, "off_peak")])
+def test_outcomes_agree_with_many_draws(spark, k, strategy):
+    (got,) = whatif.outcomes(prepared(spark, (7, "FLL-ATL", k, strategy, 40))).collect()
+    lf, otp, revenue = by_hand("FLL-ATL", k, strategy)
+    spread = revenue.std()
+    assert got.mean_otp == pytest.approx(otp)
+    assert (got.mean_lf, got.p10_lf, got.p90_lf) == pytest.approx(
+        (lf.mean(), *np.percentile(lf, [10, 90])), abs=0.004)
+    assert got.mean_revenue == pytest.approx(revenue.mean(), abs=0.05 * spread)
+    assert (got.p10_revenue, got.p90_revenue) == pytest.approx(
+        tuple(np.percentile(revenue, [10, 90])), abs=0.08 * spread)
+    assert got.p_revenue_positive == pytest.approx((revenue > 0).mean(), abs=0.02)
+
+
+def test_outcomes_have_no_spread_and_no_rows(spark):
+    (still,) = whatif.outcomes(prepared(spark, (1, "FLL-ATL", 0, "all_day", 10))).collect()
+    assert (still.mean_revenue, still.p_revenue_positive) == (pytest.approx(0, abs=1e-6), pytest.approx(0.5, abs=0.01))
+    assert whatif.outcomes(prepared(spark, (1, "FLL-XYZ", 1, "all_day", 10))).count() == 0
+
+
+def test_normal_share(spark):
+    z = [-3.0, -1.2815515655446004, -0.1, 0.0, 0.5, 1.6448536269514722, 4.0]
+    df = spark.createDataFrame([(v,) for v in z], "z double")
+    got = [r[0] for r in df.select(whatif.normal_cdf(F.col("z"))).collect()]
+    assert got == pytest.approx([(1 + math.erf(v / math.sqrt(2))) / 2 for v in z], abs=2e-7)
 
 
 def test_defaults_labels_and_rejects(spark):
@@ -114,7 +81,7 @@ def test_comparison_and_narrative(spark):
     df = spark.createDataFrame(
         [(1, "FLL-ATL", 1), (2, "FLL-LAS", 2)],
         "scenario_id long, route string, additional_daily_flights int")
-    table = whatif.compare(df, runs=2000).cache()
+    table = whatif.compare(df).cache()
     rows = table.collect()
     assert len(rows) == 6
     for r in rows:
