@@ -19,6 +19,7 @@ are. All links are confirmed on the full sets.
    similarity follows exactly from their differences. A member that is not linked to its pivot can
    be linked only to members whose difference shares an element with its own, so the unlinked ones
    are held against the group, in blocks, on the elements that occur twice.
+   The group that counts for a member is the largest one it is in, so that a cluster with many pivots is one group.
 4. Documents within twice that distance are done: by the triangle inequality all they can be linked
    to is in the group. Others stay in their keys. Blocks of the remaining postings count collisions,
    and what agrees in ``least`` coordinates is compared on full sets.
@@ -294,9 +295,11 @@ def near_duplicates(
     links = compared.where(linked).select("a", "b").union(written(_group_links(in_group, num, den)))
     known = components(links)
     similarity = F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    homes = in_group.groupBy("a").agg(F.max(F.struct(similarity, "b")).alias("x")).select(
-        "a", F.col("x.b").alias("home")
-    )
+    # The pivot with the largest group is the home: a cluster that has many pivots gets one home.
+    members = written(in_group.groupBy("b").agg(F.count("*").alias("members")))
+    homes = in_group.select("a", "b").join(members, "b").groupBy("a").agg(
+        F.max(F.struct("members", "b")).alias("x")
+    ).select("a", F.col("x.b").alias("home"))
     close = in_group.where(similarity >= near).select("a", "b").distinct()
     far = assigned.join(close, ["a", "b"], "left_anti").select("key", "a").join(
         classes.select("a", "n", "sketch"), "a"
