@@ -1,7 +1,10 @@
 """What-if evaluation of schedule changes.
 
-Scenarios are rows; the number of scenarios is the scale. Means, ranges and chances follow in closed
-form from the moments of demand, yield and cost, one projection per scenario and strategy.
+Scenarios are rows; the number of scenarios is the scale. For reports, means, ranges and chances follow
+in closed form from the moments of demand, yield and cost, one projection per scenario and strategy.
+Distributions come from repeated draws (``simulate``): a draw is a function of (seed, scenario,
+strategy, run, pair) alone, so results do not change with partitioning, retries or engine restarts.
+Runs are produced in place by a generator: no join multiplies rows.
 """
 
 from __future__ import annotations
@@ -12,8 +15,13 @@ from pyspark.sql import functions as F
 from slipstream import fixed_values as fv
 from slipstream.functions.columns import clamp, first_match, literal_table, rounded
 from slipstream.operators.features import route_table
+from slipstream.operators.ordered import TASK_ROWS, percentiles
 
 KEY = ["scenario_id", "schedule_change"]
+# Runs one generator row produces; more runs are spread over several rows first.
+BLOCK = 1_000
+# Up to this many runs of a scenario are sorted in memory, as one array.
+SORTED_RUNS = 100_000
 
 
 def strategy_table(spark: SparkSession) -> DataFrame:
@@ -152,6 +160,108 @@ def outcomes(prepared: DataFrame) -> DataFrame:
     )
 
 
+def uniform_pair(seed: int, pair: int, scenario: str, strategy: str, run: str) -> list[Column]:
+    """Two uniform draws in (0, 1) that depend on nothing but their keys: 52 bits each of one hash."""
+    keys = [F.col(c).cast("string") for c in (scenario, strategy, run)]
+    digits = F.md5(F.concat_ws(":", F.lit(str(seed)), *keys, F.lit(str(pair))))
+    return [
+        (F.conv(F.substring(digits, at, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2**52))
+        for at in (1, 17)
+    ]
+
+
+def normal_pair(seed: int, pair: int, *keys: str) -> tuple[Column, Column]:
+    """Two independent standard normal draws for (scenario, strategy number, run)."""
+    first, second = uniform_pair(seed, pair, *keys)
+    radius = F.sqrt(F.lit(-2.0) * F.ln(first))
+    angle = F.lit(2.0) * F.pi() * second
+    return radius * F.cos(angle), radius * F.sin(angle)
+
+
+def simulate(prepared: DataFrame, seed: int = 42) -> DataFrame:
+    """One row per run: run, load factor, punctuality and yearly revenue change."""
+    runs = F.col("simulation_runs")
+    base = expected_effects(accepted(prepared)).where(runs > 0)
+    blocks = base.withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), ((runs - 1) / BLOCK).cast("int")))
+    )
+    # Spread scenarios and blocks over the cores before they are multiplied into runs: the rows are
+    # few and small here, so without a number the engine would merge them into one task.
+    spread = prepared.sparkSession.sparkContext.defaultParallelism
+    blocks = blocks.repartition(spread, *[F.col(k) for k in KEY], F.col("_block"))
+    first = F.col("_block") * BLOCK
+    drawn = blocks.withColumn(
+        "run", F.explode(F.sequence(first, F.least(first + BLOCK, runs) - 1))
+    )
+    draw_key = ("scenario_id", "strategy_rank", "run")
+    z_demand, z_yield = normal_pair(seed, 0, *draw_key)
+    z_cost, z_otp = normal_pair(seed, 1, *draw_key)
+    drawn = drawn.withColumns({
+        "_demand": F.lit(1.0) + F.lit(fv.DEMAND_SIGMA) * z_demand,
+        "_yield": F.lit(1.0) + F.lit(fv.YIELD_SIGMA) * z_yield,
+        "_cost": F.lit(1.0) + F.lit(fv.COST_SIGMA) * z_cost,
+        "_otp_noise": F.lit(fv.OTP_SIGMA) * z_otp,
+    }).withColumns({
+        # One demand draw moves new and existing flights together.
+        "_new_lf": clamp(F.col("new_lf_mean") * F.col("_demand"), *fv.LF_RANGE),
+        "_old_lf": clamp(F.col("existing_lf_mean") * F.col("_demand"), *fv.LF_RANGE),
+    })
+    delta, flights = F.col("additional_daily_flights"), F.col("daily_flights")
+    seat_miles = F.lit(float(fv.SEATS_PER_DEPARTURE * fv.DAYS_PER_YEAR)) * F.col("distance")
+    added = delta * seat_miles * (
+        F.lit(fv.REVENUE_PER_SEAT_MILE) * F.col("_new_lf") * F.col("_yield")
+        - F.lit(fv.COST_PER_SEAT_MILE) * F.col("_cost")
+    )
+    kept = (
+        flights * seat_miles * F.lit(fv.REVENUE_PER_SEAT_MILE)
+        * (F.col("_old_lf") - F.col("base_lf")) * F.col("_yield")
+    )
+    mixed = (flights * F.col("_old_lf") + delta * F.col("_new_lf")) / F.col("daily_flights_after")
+    return drawn.select(
+        *KEY, "run",
+        clamp(mixed, *fv.LF_RANGE).alias("lf"),
+        clamp(F.col("otp_mean") + F.col("_otp_noise"), *fv.OTP_RANGE).alias("otp"),
+        (added + kept).alias("revenue"),
+    )
+
+
+def summarise(runs: DataFrame, task_rows: int = TASK_ROWS, max_runs: int | None = None) -> DataFrame:
+    """Means and 10th / 90th percentiles per scenario and strategy.
+
+    ``max_runs`` is the largest number of runs of one scenario, if known. A small number is sorted
+    in place, within the same aggregate as the means; otherwise the percentiles are found by rank,
+    in pieces where a scenario has very many runs.
+    """
+    means = [
+        F.avg("lf").alias("mean_lf"), F.avg("otp").alias("mean_otp"),
+        F.avg("revenue").alias("mean_revenue"),
+        F.avg((F.col("revenue") > 0).cast("double")).alias("p_revenue_positive"),
+    ]
+    names = {"lf": ("p10_lf", "p90_lf"), "revenue": ("p10_revenue", "p90_revenue")}
+    if max_runs is not None and max_runs <= min(task_rows, SORTED_RUNS):
+        lists = runs.groupBy(*KEY).agg(
+            *means, *[F.sort_array(F.collect_list(c)).alias(f"_{c}") for c in names]
+        )
+        return lists.withColumns({
+            n: _interpolated(f"_{c}", p)
+            for c, pair in names.items() for n, p in zip(pair, (0.1, 0.9))
+        }).drop(*[f"_{c}" for c in names])
+    out = runs.groupBy(*KEY).agg(*means)
+    for c, pair in names.items():
+        out = out.join(
+            percentiles(runs, KEY, c, dict(zip(pair, (0.1, 0.9))), task_rows=task_rows), KEY
+        )
+    return out
+
+
+def _interpolated(values: str, p: float) -> Column:
+    """Percentile of a sorted array by linear interpolation."""
+    at = f"({p}D * (size({values}) - 1))"
+    low = f"get({values}, int(floor({at})))"
+    high = f"get({values}, int(ceil({at})))"
+    return F.expr(f"{low} + ({high} - {low}) * ({at} - floor({at}))")
+
+
 def verdict(revenue: Column, otp_pp: Column) -> Column:
     return first_match(
         [

@@ -15,7 +15,7 @@ from slipstream.plans import reports
 from slipstream.registry.base import (
     LEGS, SHIPMENTS, WEATHER, capacity_sql, query, rnd, with_sql,
 )
-from slipstream.registry.feature_queries import SCORED_SQL, leg_features, scored_legs
+from slipstream.registry.feature_queries import SCORED_SQL, TAU, leg_features, scored_legs
 from slipstream.registry.report_queries import legs_with_weather
 from slipstream.sources import adapters as ad
 
@@ -640,17 +640,53 @@ SUMMARY_COLUMNS = (
 )
 
 
-@query("x2_a17_outcome_histogram", with_sql(CONFIG_SQL + OUTCOMES_SQL) + f""",
-ends as (select schedule_change, min(mean_lf) as lo, (max(mean_lf) - min(mean_lf)) / 60 as w
-  from summary group by 1)
-select schedule_change, bin, {rnd("any_value(lo) + any_value(w) * (bin - 1)", 6)}
+# Every run of every accepted scenario, as many as scenarios have by default: per pair of draws 52 bits
+# each of one hash.
+def _uniform_sql(pair: int, at: int) -> str:
+    key = f"concat_ws(':', '42', scenario_id, strategy_rank, run, '{pair}')"
+    return f"(cast('0x' || substr(md5({key}), {at}, 13) as bigint)::double + 0.5) / {2**52}::double"
+
+
+RUNS_SQL = CONFIG_SQL + f""",
+draws as (
+  select *, {_uniform_sql(0, 1)} as u0, {_uniform_sql(0, 17)} as u1,
+    {_uniform_sql(1, 1)} as u2, {_uniform_sql(1, 17)} as u3
+  from prepared, range({fv.DEFAULT_RUNS}) r(run) where reject_reason is null),
+noise as (
+  select *, 1 + 0.05::double * sqrt(-2 * ln(u0)) * cos({TAU} * u1) as demand,
+    1 + 0.04::double * sqrt(-2 * ln(u0)) * sin({TAU} * u1) as yields,
+    1 + 0.03::double * sqrt(-2 * ln(u2)) * cos({TAU} * u3) as costs,
+    0.012::double * sqrt(-2 * ln(u2)) * sin({TAU} * u3) as shift,
+    daily_flights_after / daily_flights as fr,
+    1 + 0.3::double * (daily_flights_after / daily_flights - 1) as st
+  from draws),
+drawn as (
+  select *, least(greatest(new_mean * demand, 0.2::double), 0.98::double) as new_lf,
+    least(greatest(old_mean * demand, 0.2::double), 0.98::double) as old_lf
+  from (select *, {EFFECTS["new_lf_mean"]} as new_mean, {EFFECTS["existing_lf_mean"]} as old_mean,
+      {EFFECTS["otp_mean"]} as otp_mean from noise)),
+runs as (
+  select scenario_id, schedule_change, run,
+    least(greatest((daily_flights * old_lf + additional_daily_flights * new_lf)
+      / daily_flights_after, 0.2::double), 0.98::double) as lf,
+    least(greatest(otp_mean + shift, 0.4::double), 0.99::double) as otp,
+    178 * 365 * distance * (
+      additional_daily_flights * (0.1025::double * new_lf * yields - 0.092::double * costs)
+      + daily_flights * 0.1025::double * (old_lf - base_lf) * yields) as revenue
+  from drawn)"""
+
+
+@query("x2_a17_outcome_histogram", with_sql(RUNS_SQL) + f""",
+ends as (select scenario_id, schedule_change, min(lf) as lo, (max(lf) - min(lf)) / 60 as w from runs
+  group by 1, 2)
+select scenario_id, schedule_change, bin, {rnd("any_value(lo) + any_value(w) * (bin - 1)", 6)}
   as bin_low, {rnd("any_value(lo) + any_value(w) * bin", 6)} as bin_high, count(*) as n
-from (select *, case when w = 0 then 1 else least(cast(floor((mean_lf - lo) / w) as integer) + 1, 60) end
-    as bin from summary join ends using (schedule_change))
-group by 1, 2""")
+from (select *, case when w = 0 then 1 else least(cast(floor((lf - lo) / w) as integer) + 1, 60) end
+    as bin from runs join ends using (scenario_id, schedule_change))
+group by 1, 2, 3""")
 def _outcomes(s: SparkSession, d: str) -> DataFrame:
-    found = stage(whatif.outcomes(_prepared(s, d)))
-    return _rounded(whatif.histogram(found, "mean_lf", 60, ["schedule_change"]), ["bin_low", "bin_high"])
+    runs = stage(whatif.simulate(_prepared(s, d)))
+    return _rounded(whatif.histogram(runs, "lf", 60, whatif.KEY), ["bin_low", "bin_high"])
 
 
 @query("x3_a12_outcome_summary", with_sql(CONFIG_SQL + OUTCOMES_SQL)
