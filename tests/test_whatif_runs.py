@@ -85,3 +85,7 @@ def test_entries_draw_every_run_of_every_scenario(spark, small):
     bins = all_queries()[0]["x2_a17_outcome_histogram"](spark, small).groupBy(*whatif.KEY).agg(F.sum("n").alias("n")).collect()
     found = {(r.scenario_id, r.schedule_change) for r in bins}
     assert found and all(r.n == fv.DEFAULT_RUNS for r in bins)
+    rows = all_queries()[0]["x3_a12_outcome_summary"](spark, small).collect()
+    assert {(r.scenario_id, r.schedule_change) for r in rows} == found
+    # Shares of whole runs.
+    assert all(round(r.p_revenue_positive * fv.DEFAULT_RUNS, 6).is_integer() for r in rows)
