@@ -194,7 +194,7 @@ def tree_learner(features: Sequence[str], early_stop: bool = False, **overrides)
         settings |= {"validationIndicatorCol": HELD, "validationTol": EARLY_STOP}
     settings.update(overrides)
     return GBTClassifier(
-        featuresCol="features", labelCol=LABEL, weightCol="weight", cacheNodeIds=True,
+        featuresCol="features", labelCol=LABEL, weightCol="weight", cacheNodeIds=False,
         checkpointInterval=10, **settings,
     )
 

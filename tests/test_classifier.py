@@ -107,6 +107,16 @@ def test_cross_validation(rows):
     assert 0.5 < sum(r.auc for r in folds) / 3 < 1
 
 
+def test_trees_keep_no_table_of_places(rows):
+    table, names = classifier.prepare_training(rows, keep=["id"])
+    vectors = classifier._vectors(table, names).cache()
+    learner = classifier.tree_learner(names, maxIter=3, maxDepth=4)
+    assert not learner.getCacheNodeIds()
+    with_places = learner.copy({learner.cacheNodeIds: True})
+    lines = [m.toDebugString.split("\n")[1:] for m in (learner.fit(vectors), with_places.fit(vectors))]
+    assert lines[0] == lines[1] and len(lines[0]) > 10
+
+
 def _classes(spark, parts=3):
     # One class holds most rows, one has a single row, one is null.
     rows = [(i, 0 if i % 10 else 1) for i in range(500)] + [(900, 2), *[(i, None) for i in range(1000, 1013)]]
