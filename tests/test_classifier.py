@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,26 @@ def test_cross_validation(rows):
     assert 0.5 < sum(r.auc for r in folds) / 3 < 1
 
 
+def test_folds_are_fitted_side_by_side(rows, monkeypatch):
+    # Each fit waits until all three have begun.
+    begun = threading.Barrier(3, timeout=60)
+    learner = classifier.tree_learner
+
+    def meeting(features, early_stop=False, **overrides):
+        begun.wait()
+        return learner(features, early_stop, **overrides)
+
+    table, names = classifier.prepare_training(rows, keep=["id"])
+    settings = {"folds": 3, "maxIter": 3, "maxDepth": 3}
+    monkeypatch.setattr(classifier, "FOLD_ROWS", 1)
+    want = [tuple(r) for r in classifier.cross_validate(table, names, ["id"], **settings).collect()]
+    monkeypatch.undo()
+    monkeypatch.setattr(classifier, "tree_learner", meeting)
+    got = [tuple(r) for r in classifier.cross_validate(table, names, ["id"], **settings).collect()]
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+
+
 def test_trees_keep_no_table_of_places(rows):
     table, names = classifier.prepare_training(rows, keep=["id"])
     vectors = classifier._vectors(table, names).cache()
