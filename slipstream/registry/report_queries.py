@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slipstream.functions.aggregates import weighted_mean
 from slipstream.functions.columns import rounded
-from slipstream.operators import sketches, weather_join, whatif
+from slipstream.operators import forecast, sketches, weather_join, whatif
 from slipstream.operators.scoring import with_prediction
 from slipstream.operators.staging import stage
 from slipstream.plans import catalog, dashboards, reports, views
@@ -37,6 +37,21 @@ def _utilization(s: SparkSession, d: str) -> DataFrame:
     return views.capacity_utilization(ad.capacity(flights), views.route_performance(flights))
 
 
+def sheets_of(flights: DataFrame) -> dict[str, DataFrame]:
+    """Exported report tables that are made of flights, all from the given ones."""
+    # A row per route and month, which two tables start from.
+    performance = stage(views.route_performance(flights))
+    return {
+        "otp_monthly": reports.sheet_otp_monthly(performance),
+        "delay_causes": reports.sheet_delay_causes(views.delay_cause_decomposition(flights)),
+        "load_factor": reports.sheet_load_factor(
+            views.capacity_utilization(ad.capacity(flights), performance)),
+        "demand_forecast": reports.sheet_demand_forecast(forecast.forecast(
+            ad.capacity(flights, "Origin"), horizon=12, model="trend_season")),
+        "metadata": reports.sheet_metadata(flights, SHEETS),
+    }
+
+
 def legs_with_weather(s: SparkSession, d: str) -> DataFrame:
     return weather_join.join_weather(ad.legs(s, d), ad.weather(s, d))
 

@@ -50,3 +50,11 @@ def test_metadata_lists_the_exported_tables(spark, small):
     assert rows["weather_impact"] == report_queries.SHEETS["weather_impact"]
     first, last = rows["Data Range"].split(" to ")
     assert datetime.date.fromisoformat(first) <= datetime.date.fromisoformat(last)
+
+
+def test_export_makes_its_flights_once(spark, small, monkeypatch):
+    calls = []
+    shipments = adapters.shipments
+    monkeypatch.setattr(adapters, "shipments", lambda s, d: calls.append(d) or shipments(s, d))
+    assert BUILDERS["s8_export_reports"](spark, small).count() > 0
+    assert calls == [small]
