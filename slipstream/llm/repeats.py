@@ -38,6 +38,8 @@ from slipstream.llm.common import importable, text_key, with_names, words_of, wr
 WINDOW, PERIOD = 35, 21
 # A perfect difference set modulo 21.
 COVER = (0, 1, 4, 14, 16)
+# Windows of several documents go on together, about this many.
+BATCH_ROWS = 65_536
 # Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -64,9 +66,7 @@ def anchor_starts(n_words: int, window: int) -> np.ndarray:
 
 def covered(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
     """Which words lie under the windows from these starts."""
-    change = np.zeros(n_words + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + window, -1)
+    change = np.bincount(starts, minlength=n_words + 1) - np.bincount(starts + window, minlength=n_words + 1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -86,9 +86,13 @@ def _documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_places(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Documents with the sorted places of ``rows(doc_id, _key, place)``, or null."""
-    places = rows.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_set("place")).alias("places"))
+def _places(rows: DataFrame) -> DataFrame:
+    """(doc_id, _key, places): the sorted places of ``rows(doc_id, _key, place)``."""
+    return rows.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_set("place")).alias("places"))
+
+
+def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """Documents with their ``places``, or null."""
     # Rows without an id are told apart by their text; they join on it alone.
     places = places.select(F.coalesce("doc_id", "_key").alias("_id"), F.col("_key").alias("_k"), "places")
     return docs.join(
@@ -122,19 +126,30 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
+            starts, high, low = (np.concatenate(column) for column in zip(*found))
+            of = pa.array(np.repeat(rows, [len(x) for x, *_ in found]))
+            return pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(of), batch.column("_key").take(of),
+                pa.array(starts, pa.int64()), _integers(high), _integers(low),
+            ], ["doc_id", "_key", "place", "high", "low"])
+
         for batch in batches:
-            for name, key, text, places in zip(*(batch.column(c) for c in ("doc_id", "_key", "text", "places"))):
+            rows, found, size = [], [], 0
+            for row, (text, places) in enumerate(zip(batch.column("text"), batch.column("places"))):
                 hashes = word_hashes(words_of(text.as_py()))
-                anchor = anchor_starts(len(hashes), window)[np.asarray(places.as_py(), np.int64)]
+                anchor = anchor_starts(len(hashes), window)[places.values.to_numpy()]
                 near = covered(np.maximum(anchor - PERIOD + 1, 0), len(hashes) + PERIOD, PERIOD)
                 starts = np.flatnonzero(near[:max(0, len(hashes) - window + 1)])
                 if len(starts):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([name.as_py()] * len(starts), pa.int64()),
-                        pa.array(np.full(len(starts), key.as_py()), pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        *[_integers(runs(hashes, starts, window, b)) for b in BASES],
-                    ], ["doc_id", "_key", "place", "high", "low"])
+                    rows.append(row)
+                    found.append((starts, *[runs(hashes, starts, window, b) for b in BASES]))
+                    size += len(starts)
+                if size >= BATCH_ROWS:
+                    yield out(batch, rows, found)
+                    rows, found, size = [], [], 0
+            if rows:
+                yield out(batch, rows, found)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,11 +169,12 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Anchors are made for the count and again for the join; written, they are as large as the text.
     hashed = docs.mapInArrow(anchors, "doc_id long, _key long, anchors array<long>")
     found = hashed.select("doc_id", "_key", F.posexplode("anchors").alias("place", "anchor"))
-    likely = written(_repeated(found, ["anchor"]).select("doc_id", "_key", "place"))
+    # Written by document: the table stays while the windows are counted, when the disk is fullest.
+    likely = written(_places(_repeated(found, ["anchor"])))
     full = written(_with_places(docs, likely).where("places is not null").mapInArrow(
         windows, "doc_id long, _key long, place long, high long, low long"
     ))
     starts = written(_repeated(full, ["high", "low"]).select("doc_id", "_key", "place"))
-    return _with_places(docs, starts).mapInArrow(
+    return _with_places(docs, _places(starts)).mapInArrow(
         kept, "doc_id long, n_words long, n_removed long, text string"
     )
