@@ -6,17 +6,17 @@ places there is a shift below the period that brings both to a cover place. So t
 share an anchor, the words from a cover place that fit into the window whatever the shift
 (``WINDOW - PERIOD + 1`` of them), and only those are hashed: 5 of 21 places.
 
-1. Anchors of every document are hashed.
-2. Anchor hashes are counted, combined before the shuffle; those that occur once go.
-3. Repeated anchors are joined back, which gives the places in each document where a repeated
+1. Anchors of every document are hashed and dealt out by their hash, each with its place.
+2. Those whose hash occurs once go. The others give the places in each document where a repeated
    window can lie: up to a period before a repeated anchor.
-4. Around them the anchors are extended: whole windows are hashed (128 bits) at those starts only,
-   counted, and joined back in the same way.
-5. Words under repeated windows are taken out.
+3. Whole windows are hashed (128 bits) at those starts only, dealt out by their hash and judged in
+   the same way.
+4. Words under repeated windows are taken out.
 
-Nothing is compared in pairs, so a passage that a third of all documents share costs one counted
-hash per place. Joins on a hot hash have one row per hash on the other side, and the adaptive skew
-join splits the rest; documents meet their own places only.
+Nothing is compared in pairs. Python works on slices of many documents; of the equal hashes of a
+slice only the first is dealt out by the hash, counting twice. The others are known to be repeated and
+are dealt out by their place, so a passage that a third of all documents share puts one row per
+slice and hash into a task. Places come back to their document as bits of 64 places each.
 
 Documents are known by id and a hash of the text, so ids may repeat. Rows equal in both are copies:
 their windows are repeated. Null ids are documents as any other. Null and empty texts have no
@@ -26,11 +26,14 @@ words. Other columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slipstream.llm.common import importable, text_key, with_names, words_of, written
@@ -38,46 +41,150 @@ from slipstream.llm.common import importable, text_key, with_names, words_of, wr
 WINDOW, PERIOD = 35, 21
 # A perfect difference set modulo 21.
 COVER = (0, 1, 4, 14, 16)
-# Windows of several documents go on together, about this many.
+# Python works on documents of about 16 bytes of text for each of so many rows, or one longer document.
 BATCH_ROWS = 65_536
 # Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+# Odd multipliers that mix the bytes of a word.
+MIXERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+# Words of more bytes are hashed one by one.
+LONG_WORD = 64
+
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+
+
+@lru_cache(maxsize=16)
+def _powers(base: int, size: int) -> np.ndarray:
+    factors = np.full(size, base, np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first powers of ``base`` modulo 2 ** 64, ``n`` at least."""
+    return _powers(base, 1 << max(16, n.bit_length()))
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    for factor, shift in zip(MIXERS, (29, 32)):
+        values = values * np.uint64(factor)
+        values ^= values >> np.uint64(shift)
+    return values
+
+
+class Words:
+    """The words of several texts in one flat array, and their hashes."""
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.fill_null("").cast(pa.large_string())
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        # Eight more bytes, so that eight can be read from every place.
+        self.data = np.concatenate([data, np.zeros(8, np.uint8)])
+        inside, edge = ~SPACE[data], np.ones(len(data) + 1, bool)
+        np.logical_not(inside, out=edge[1:])
+        edge[bounds] = True
+        self.starts = np.flatnonzero(inside & edge[:-1])
+        edge[:-1] = ~inside
+        edge[bounds] = True
+        self.sizes = np.flatnonzero(inside & edge[1:]) + 1 - self.starts
+        # First word of each text, and one more.
+        self.first = np.searchsorted(self.starts, bounds)
+        self.counts = np.diff(self.first)
+        self.of = np.repeat(np.arange(len(texts)), self.counts)
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of each word."""
+        eight = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,))
+        out, at, sizes = self.sizes.astype(np.uint64), np.arange(len(self.sizes)), self.sizes
+        starts = self.starts
+        for done in range(0, LONG_WORD, 8):
+            # The first bytes are the low ones; those behind the word are shifted out.
+            unused = np.maximum(8 - (sizes - done), 0).astype(np.uint64) << np.uint64(3)
+            out[at] = mixed(out[at] ^ (eight[starts + done] << unused))
+            more = sizes > done + 8
+            if not more.any():
+                break
+            at, sizes, starts = at[more], sizes[more], starts[more]
+        for i in np.flatnonzero(self.sizes > LONG_WORD):
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i]:self.starts[i] + self.sizes[i]])
+        return out
+
+    def places(self) -> np.ndarray:
+        """Place of each word in its text."""
+        return np.arange(len(self.starts)) - np.repeat(self.first[:-1], self.counts)
+
+    def fits(self, length: int) -> np.ndarray:
+        """Whether so many words of the text begin at each word."""
+        return np.arange(len(self.starts)) + length <= np.repeat(self.first[1:], self.counts)
 
 
 def runs(hashes: np.ndarray, starts: np.ndarray, length: int, base: int) -> np.ndarray:
     """Hash of the ``length`` word hashes from each start."""
-    out = np.zeros(len(starts), np.uint64)
-    factor = np.uint64(base)
-    for i in range(length):
-        out = out * factor + hashes[starts + i]
+    # Sums of the hashes times rising powers, brought back to power 0.
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers(base, len(hashes))[:len(hashes)], out=sums[1:])
+    out = (sums[starts + length] - sums[starts]) * powers(pow(base, -1, 1 << 64), len(hashes))[starts]
     out ^= out >> np.uint64(32)
-    return out * factor
+    return out * np.uint64(base)
+
 
+def covered(starts: np.ndarray, ends: np.ndarray, n_words: int) -> np.ndarray:
+    """Which words lie between a start and its end."""
+    change = np.bincount(starts, minlength=n_words + 1) - np.bincount(ends, minlength=n_words + 1)
+    return np.cumsum(change[:n_words]) > 0
 
-def anchor_starts(n_words: int, window: int) -> np.ndarray:
-    """Cover places whose anchor fits into a document."""
-    places = np.arange(max(0, n_words - (window - PERIOD)))
-    return places[np.isin(places % PERIOD, COVER)]
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows that Python works on together."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes) // (16 * BATCH_ROWS)
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    yield from (batch.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i)
 
-def covered(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
-    """Which words lie under the windows from these starts."""
-    change = np.bincount(starts, minlength=n_words + 1) - np.bincount(starts + window, minlength=n_words + 1)
-    return np.cumsum(change[:-1]) > 0
+
+def marked_places(places: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of each bit that is set in ``places``."""
+    parts = places.flatten()
+    rows = np.repeat(np.arange(len(places)), pc.fill_null(pc.list_value_length(places), 0))
+    masks = parts.field("mask").to_numpy(zero_copy_only=False).astype("<i8")
+    part, bit = np.nonzero(np.unpackbits(masks.view(np.uint8), bitorder="little").reshape(-1, 64))
+    return rows[part], parts.field("part").to_numpy(zero_copy_only=False).astype(np.int64)[part] * 64 + bit
 
 
 def _integers(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
+def dealt(batch: pa.RecordBatch, rows: np.ndarray, places: np.ndarray, keys: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Places with their hashes ``keys`` and ``n``, how often these occur here, 2 at most.
+
+    Behind the first of equal hashes the others get hashes of their own; they count 2. The rows stay
+    in the order of the documents, whose names then take little room in the shuffle files.
+    """
+    order = np.argsort(next(iter(keys.values())), kind="stable")
+    same = np.zeros(len(order) + 1, bool)
+    same[1:-1] = np.logical_and.reduce([v[order[1:]] == v[order[:-1]] for v in keys.values()])
+    n = np.ones(len(order), np.int8)
+    n[order[same[:-1] | same[1:]]] = 2
+    names, also = batch.column("doc_id").take(pa.array(rows)), batch.column("_key").take(pa.array(rows))
+    others = order[same[:-1]]
+    own = also.to_numpy()[others].view(np.uint64) + places[others].astype(np.uint64)
+    for values in keys.values():
+        own = mixed(own)
+        values[others] = own
+    return pa.RecordBatch.from_arrays(
+        [names, also, pa.array(places, pa.int32()), pa.array(n), *map(_integers, keys.values())],
+        ["doc_id", "_key", "place", "n", *keys],
+    )
+
+
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys occur more than once; counting is combined before the shuffle."""
-    often = written(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys))
-    return rows.join(often, keys, "left_semi")
+    """(doc_id, _key, place) of the rows whose keys occur more than once."""
+    often = F.sum("n").over(Window.partitionBy(*keys))
+    return rows.withColumn("_often", often).where("_often > 1").select("doc_id", "_key", "place")
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -87,8 +194,12 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def _places(rows: DataFrame) -> DataFrame:
-    """(doc_id, _key, places): the sorted places of ``rows(doc_id, _key, place)``."""
-    return rows.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    """(doc_id, _key, places): the places of ``rows(doc_id, _key, place)``, 64 in a part."""
+    # Dealt out by document first: in each task a document's places are few, combining them there saves little.
+    parts = rows.repartition("doc_id", "_key").groupBy(
+        "doc_id", "_key", F.shiftright("place", 6).alias("part")
+    ).agg(F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("mask"))
+    return parts.groupBy("doc_id", "_key").agg(F.collect_list(F.struct("part", "mask")).alias("places"))
 
 
 def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -112,69 +223,57 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     length = window - PERIOD + 1
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cover = np.isin(np.arange(PERIOD), COVER)
         for batch in batches:
-            found = []
-            for text in batch.column("text"):
-                hashes = word_hashes(words_of(text.as_py()))
-                found.append(runs(hashes, anchor_starts(len(hashes), window), length, BASES[0]))
-            ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_key"),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _integers(flat))],
-                ["doc_id", "_key", "anchors"],
-            )
+            for rows in slices(batch):
+                words = Words(rows.column("text"))
+                places = words.places()
+                starts = np.flatnonzero(cover[places % PERIOD] & words.fits(length))
+                if len(starts):
+                    yield dealt(rows, words.of[starts], places[starts], {
+                        "anchor": runs(words.hashes(), starts, length, BASES[0])
+                    })
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
-            starts, high, low = (np.concatenate(column) for column in zip(*found))
-            of = pa.array(np.repeat(rows, [len(x) for x, *_ in found]))
-            return pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(of), batch.column("_key").take(of),
-                pa.array(starts, pa.int64()), _integers(high), _integers(low),
-            ], ["doc_id", "_key", "place", "high", "low"])
-
         for batch in batches:
-            rows, found, size = [], [], 0
-            for row, (text, places) in enumerate(zip(batch.column("text"), batch.column("places"))):
-                hashes = word_hashes(words_of(text.as_py()))
-                anchor = anchor_starts(len(hashes), window)[places.values.to_numpy()]
-                near = covered(np.maximum(anchor - PERIOD + 1, 0), len(hashes) + PERIOD, PERIOD)
-                starts = np.flatnonzero(near[:max(0, len(hashes) - window + 1)])
+            for rows in slices(batch):
+                words = Words(rows.column("text"))
+                row, place = marked_places(rows.column("places"))
+                first = words.first[row]
+                near = covered(first + np.maximum(place - PERIOD + 1, 0), first + place + 1, len(words.starts))
+                starts = np.flatnonzero(near & words.fits(window))
                 if len(starts):
-                    rows.append(row)
-                    found.append((starts, *[runs(hashes, starts, window, b) for b in BASES]))
-                    size += len(starts)
-                if size >= BATCH_ROWS:
-                    yield out(batch, rows, found)
-                    rows, found, size = [], [], 0
-            if rows:
-                yield out(batch, rows, found)
+                    hashes = words.hashes()
+                    high, low = (runs(hashes, starts, window, b) for b in BASES)
+                    yield dealt(rows, words.of[starts], words.places()[starts], {"high": high, "low": low})
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, gone, texts = [], [], []
-            for text, places in zip(batch.column("text"), batch.column("places")):
-                words = words_of(text.as_py())
-                out = covered(np.asarray(places.as_py() or [], np.int64), len(words), window)
-                sizes.append(len(words))
-                gone.append(int(out.sum()))
-                texts.append(b" ".join(w for w, x in zip(words, out.tolist()) if not x).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "text"],
-            )
-
-    # Anchors are made for the count and again for the join; written, they are as large as the text.
-    hashed = docs.mapInArrow(anchors, "doc_id long, _key long, anchors array<long>")
-    found = hashed.select("doc_id", "_key", F.posexplode("anchors").alias("place", "anchor"))
+            for rows in slices(batch):
+                words = [words_of(text.as_py()) for text in rows.column("text")]
+                sizes = np.array([len(w) for w in words], np.int64)
+                first = np.cumsum(sizes) - sizes
+                row, place = marked_places(rows.column("places"))
+                out = covered(first[row] + place, first[row] + place + window, int(sizes.sum()))
+                before = np.concatenate([[0], np.cumsum(out)])
+                gone = before[first + sizes] - before[first]
+                texts = [
+                    b" ".join(compress(w, (~out[i:i + len(w)]).tolist()) if n else w)
+                    for w, n, i in zip(words, gone.tolist(), first.tolist())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
+                     pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())],
+                    ["doc_id", "n_words", "n_removed", "text"],
+                )
+
+    dealt_columns = "doc_id long, _key long, place int, n byte, "
     # Written by document: the table stays while the windows are counted, when the disk is fullest.
-    likely = written(_places(_repeated(found, ["anchor"])))
-    full = written(_with_places(docs, likely).where("places is not null").mapInArrow(
-        windows, "doc_id long, _key long, place long, high long, low long"
+    likely = written(_places(_repeated(docs.mapInArrow(anchors, dealt_columns + "anchor long"), ["anchor"])))
+    starts = written(_repeated(
+        _with_places(docs, likely).where("places is not null")
+        .mapInArrow(windows, dealt_columns + "high long, low long"), ["high", "low"],
     ))
-    starts = written(_repeated(full, ["high", "low"]).select("doc_id", "_key", "place"))
     return _with_places(docs, _places(starts)).mapInArrow(
         kept, "doc_id long, n_words long, n_removed long, text string"
     )
