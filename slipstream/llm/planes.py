@@ -20,6 +20,8 @@ An empty table gives no chunks.
 from __future__ import annotations
 
 import os
+import string
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,6 +41,10 @@ CHUNK_IDS = 65_536
 PLANES = ("plane0", "plane1", "plane2", "plane3")
 # Most pieces between spaces whose ids a task remembers; beyond it the memory starts anew.
 REMEMBERED = 1_000_000
+# Longer pieces are encoded each time, so that the memory stays bounded.
+LONGEST = 64
+# Characters that are neither letters, numbers nor white space; a run of them is one pre-token.
+MARKS = string.punctuation
 
 CHUNKS = (
     "part int, chunk long, before long, n_ids long, doc_ids array<long>, lengths array<long>, "
@@ -66,61 +72,53 @@ def unpack(planes: list[bytes], n_ids: int) -> np.ndarray:
 
 def _plain(word: str) -> bool:
     """Lower-case letters of the first 256 characters only; no normal form changes these."""
-    return word.isalpha() and max(word) <= "\xff" and word == word.lower()
+    return word.isalpha() and (word.isascii() or max(word) <= "\xff") and word == word.lower()
 
 
-class Encoder:
+class Encoder(dict):
     """The tokenizers library over the pieces between spaces, whose ids do not depend on others.
 
     White space is never part of a token of the vocabularies this is for (lower-cased words with
     white space dropped; runs of letters apart from marks), so the ids of a text are those of its
-    pieces in order.
+    pieces in order. The dictionary holds the ids of the pieces met, as bytes of unsigned 32-bit
+    integers; a piece is encoded when it is looked up for the first time.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.model, self.letters = self.library.model, {b: c for c, b in byte_letters().items()}
-        self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
-        """Encode new pieces in one text, and give its ids back to the pieces by their places."""
-        new = [w for w in words if w and w not in self.known]
-        plain = [w for w in new if _plain(w)]
-        for w in plain:
+    def __missing__(self, word: str) -> bytes:
+        base = word.rstrip(MARKS)
+        low = base.lower()
+        if not _plain(low):
+            code = _bytes(self.library.encode(word, add_special_tokens=False).ids)
+        elif low != word:
+            # Plain letters of any case with marks behind them: two pre-tokens.
+            code = self[low] + self[word[len(base):]] if base != word else self[low]
+        else:
             # Letters that the normaliser leaves alone are one pre-token: the model alone decides.
-            letters = w if w.isascii() else "".join(map(self.letters.__getitem__, w.encode()))
-            self.known[w] = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-        new = [w for w in new if w not in self.known]
-        coded = self.library.encode(" ".join(new), add_special_tokens=False)
-        starts = np.cumsum([0, *[len(w) + 1 for w in new]])
-        places = np.fromiter((o[0] for o in coded.offsets), np.int64, len(coded.offsets))
-        ends = (4 * np.searchsorted(places, starts[1:])).tolist()
-        data = np.array(coded.ids, "<u4").tobytes()
-        self.known.update((w, data[i:j]) for w, i, j in zip(new, [0, *ends], ends))
-        self.known[""] = b""
+            letters = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
+            code = _bytes([t.id for t in self.model.tokenize(letters)])
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= LONGEST:
+            self[word] = code
+        return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of unsigned 32-bit integers."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        words = {w for pieces in cut for w in pieces}
-        missing = words.difference(self.known)
-        if len(self.known) + 2 * len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = words
-        # Letters with one mark behind them, and plain letters of any case, are known by their base.
-        split = {}
-        for w in missing:
-            mark = w[-1:] if w[-1:] in (",", ".") and w[:-1].isalpha() else ""
-            base = w[:-1] if mark else w
-            split[w] = (base.lower() if _plain(base.lower()) else base, mark)
-        self._learn({x for pair in split.values() for x in pair})
-        self.known.update((w, self.known[base] + self.known[mark]) for w, (base, mark) in split.items())
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
