@@ -47,22 +47,26 @@ BATCH_ROWS = 65_536
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 # Odd multipliers that mix the bytes of a word.
 MIXERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+# So many powers of a base are remembered; longer documents have their own made.
+POWERS = 1 << 20
 # Words of more bytes are hashed one by one.
 LONG_WORD = 64
 
 SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
-@lru_cache(maxsize=16)
-def _powers(base: int, size: int) -> np.ndarray:
-    factors = np.full(size, base, np.uint64)
-    factors[0] = 1
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
     return np.multiply.accumulate(factors)
 
 
+_first_powers = lru_cache(_powers)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """The first powers of ``base`` modulo 2 ** 64, ``n`` at least."""
-    return _powers(base, 1 << max(16, n.bit_length()))
+    """The first ``n`` powers of ``base`` modulo 2 ** 64; only short lists are remembered."""
+    return _first_powers(base, POWERS)[:n] if n <= POWERS else _powers(base, n)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -125,7 +129,7 @@ def runs(hashes: np.ndarray, starts: np.ndarray, length: int, base: int) -> np.n
     """Hash of the ``length`` word hashes from each start."""
     # Sums of the hashes times rising powers, brought back to power 0.
     sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * powers(base, len(hashes))[:len(hashes)], out=sums[1:])
+    np.cumsum(hashes * powers(base, len(hashes)), out=sums[1:])
     out = (sums[starts + length] - sums[starts]) * powers(pow(base, -1, 1 << 64), len(hashes))[starts]
     out ^= out >> np.uint64(32)
     return out * np.uint64(base)
@@ -195,10 +199,10 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def _places(rows: DataFrame) -> DataFrame:
     """(doc_id, _key, places): the places of ``rows(doc_id, _key, place)``, 64 in a part."""
-    # Dealt out by document first: in each task a document's places are few, combining them there saves little.
-    parts = rows.repartition("doc_id", "_key").groupBy(
-        "doc_id", "_key", F.shiftright("place", 6).alias("part")
-    ).agg(F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("mask"))
+    # Combined before the shuffle: rows that share id and text have the same places.
+    parts = rows.groupBy("doc_id", "_key", F.shiftright("place", 6).alias("part")).agg(
+        F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("mask")
+    )
     return parts.groupBy("doc_id", "_key").agg(F.collect_list(F.struct("part", "mask")).alias("places"))
 
 

@@ -68,3 +68,17 @@ def test_texts_go_through_python_three_times(spark, monkeypatch):
     docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(60))) for i in range(3)], "doc_id long, text string")
     plans.append(repeats.remove(docs))
     assert sum(df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") for df in plans) == 3
+
+
+def test_long_documents_and_many_copies(spark, monkeypatch):
+    # Powers beyond those remembered, and rows that share id and text, are judged as any others.
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(None, " ".join(words))] * 40 + [(5, " ".join([*words[100:150], "end"]))],
+                                 "doc_id long, text string")
+    want = sorted(map(str, repeats.remove(docs).collect()))
+    monkeypatch.setattr(repeats, "POWERS", 16)
+    assert sorted(map(str, repeats.remove(docs).collect())) == want
+    assert sum("n_removed=300" in r for r in want) == 40 and sum("n_removed=50" in r for r in want) == 1
+    rows = spark.createDataFrame([(None, 1, p) for p in (0, 63, 64, 200) * 50], "doc_id long, _key long, place int")
+    row, = repeats._places(rows.repartition(3)).collect()
+    assert sorted(64 * p.part + i for p in row.places for i in range(64) if p.mask >> i & 1) == [0, 63, 64, 200]
